@@ -39,9 +39,8 @@ class Size:
     sum_label: float
     key_bytes: int
 
-    @property
-    def small(self) -> bool:
-        return self.n_keys <= BROADCAST_ROWS and self.key_bytes + 32 * self.n_keys <= BROADCAST_BYTES
+    def fits(self, rows: int) -> bool:
+        return self.n_keys <= rows and self.key_bytes + 32 * self.n_keys <= BROADCAST_BYTES
 
 
 @dataclass(frozen=True)
@@ -60,6 +59,7 @@ class Encoding:
         df: DataFrame,
         columns: Mapping[str, str] | Sequence[str] | None = None,
         unseen: float | str | None = 0.0,
+        broadcast_rows: int = BROADCAST_ROWS,
     ) -> DataFrame:
         """``df`` with each column's code in its output column.
 
@@ -79,7 +79,8 @@ class Encoding:
             lookup = self.table.where((F.col("feature") == column) & stored.isNotNull()).select(
                 stored.alias(key), F.col("code").alias(code)
             )
-            joined = lookup_join(joined, number if numeric else text, lookup, key, small=self.sizes[column].small)
+            small = self.sizes[column].fits(broadcast_rows)
+            joined = lookup_join(joined, number if numeric else text, lookup, key, small=small)
             fallback = self.overall_mean(column) if unseen == "mean" else unseen
             codes[output] = F.col(code) if fallback is None else F.coalesce(code, F.lit(float(fallback)))
         kept = [codes.pop(name).alias(name) if name in codes else F.col(f"`{name}`") for name in df.columns]
@@ -154,6 +155,36 @@ def fit_rank_bins(
     return Encoding(cut(table), means.sizes)
 
 
+def held_out_means(
+    df: DataFrame, column: str, label: str, fold: str, output: str, *, broadcast_rows: int = BROADCAST_ROWS
+) -> DataFrame:
+    """Each row's mean label of its ``column`` value over the *other* folds (null if none).
+
+    Sums per fold and value give every fold's training mean by subtraction: one
+    pass over the rows for all folds, then one lookup join.
+    """
+    numeric = keyed_by_number(df, column)
+    number, text = key_pair(df, column)
+    key = number if numeric else text
+    per_fold = df.where(key.isNotNull()).groupBy(key.alias("_k"), F.col(fold).alias("_f")).agg(
+        F.sum(label).alias("s"), F.count(label).alias("n")
+    )
+    lookup = cut(
+        per_fold.groupBy("_k").agg(
+            F.sum("s").alias("_s"),
+            F.sum("n").alias("_n"),
+            F.map_from_entries(F.collect_list(F.struct("_f", F.struct("s", "n")))).alias("_own"),
+        )
+    )
+    extent = lookup.agg(F.count(F.lit(1)), F.sum(F.octet_length(F.col("_k").cast("string")))).first()
+    folds_bytes = (extent[1] or 0) + extent[0] * 64 * 16
+    small = extent[0] <= broadcast_rows and folds_bytes <= BROADCAST_BYTES
+    own = F.col("_own")[F.col(fold)]
+    mean = (F.col("_s") - own["s"]).cast("double") / F.nullif(F.col("_n") - own["n"], F.lit(0))
+    joined = lookup_join(df, key, lookup, "_k", small=small)
+    return joined.select(*[F.col(f"`{c}`") for c in df.columns], mean.alias(output))
+
+
 class _MeanEncoderParams(HasInputCols, HasOutputCols, HasLabelCol):
     unseen: Param[str] = Param(
         Params._dummy(), "unseen", "code of an unseen value: a number as text, 'mean' or 'null'",

@@ -8,15 +8,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def metric_columns(label: str = "label", prediction: str = "prediction", weight: Column | None = None) -> list[Column]:
+#: Names of the columns `metric_columns` gives.
+METRICS = ("n", "rmse", "r2")
+
+
+def metric_columns(label: str = "label", prediction: str = "prediction") -> list[Column]:
     """n, rmse and r2 = 1 - SSres / SStot (not the squared correlation; may be negative)."""
     y, error = F.col(label), F.col(label) - F.col(prediction)
-    if weight is None:
-        n, residual = F.count(error), F.sum(error * error)
-        total = F.var_pop(F.when(error.isNotNull(), y)) * n
-    else:
-        n, residual = F.sum(weight), F.sum(weight * error * error)
-        total = F.sum(weight * y * y) - F.sum(weight * y) * F.sum(weight * y) / n
+    n, residual = F.count(error), F.sum(error * error)
+    total = F.var_pop(F.when(error.isNotNull(), y)) * n
     return [
         n.alias("n"),
         F.sqrt(residual / F.nullif(n, F.lit(0))).alias("rmse"),

@@ -16,11 +16,14 @@ _AS_DOUBLE = (T.ByteType, T.ShortType, T.IntegerType, T.FloatType, T.DoubleType)
 
 
 def mean_by_key(df: DataFrame, key: str | Column, label: str, name: str = "key") -> DataFrame:
-    """(key, mean_label, n): map-side partial aggregation, one shuffle of distinct keys."""
+    """(key, mean_label, n): map-side partial aggregation, one shuffle of distinct keys.
+
+    With a decimal label the sums are exact, so means (and any order built on
+    them) are the same bits whatever the order of addition.
+    """
     value = F.col(key) if isinstance(key, str) else key
-    return df.groupBy(value.alias(name)).agg(
-        F.avg(label).alias("mean_label"), F.count(F.lit(1)).alias("n")
-    )
+    mean = F.sum(label).cast("double") / F.nullif(F.count(label), F.lit(0))
+    return df.groupBy(value.alias(name)).agg(mean.alias("mean_label"), F.count(F.lit(1)).alias("n"))
 
 
 def study_by_mean(df: DataFrame, key: str | Column, label: str, name: str = "key", digits: int = 9) -> DataFrame:
@@ -59,11 +62,11 @@ def multi_column_study(df: DataFrame, columns: Sequence[str], label: str, by: Se
     for column in columns:
         entries += [F.lit(column), *key_pair(df, column)]
     tall = df.select(
-        *by, F.col(label).cast("double").alias("_y"),
+        *by, F.col(label).alias("_y"),
         F.stack(F.lit(len(columns)), *entries).alias("feature", "num_key", "text_key"),
     )
     grouped = tall.groupBy(*by, "feature", "num_key", "text_key").agg(
-        F.sum("_y").alias("sum_label"), F.count("_y").alias("n")
+        F.sum("_y").cast("double").alias("sum_label"), F.count("_y").alias("n")
     )
     return grouped.withColumn("mean_label", F.col("sum_label") / F.nullif(F.col("n"), F.lit(0)))
 
@@ -86,8 +89,8 @@ def month_mean_per_day(
     )
     return monthly.select(
         "mnth", "n", "n_days",
-        (F.col("_sum") / (F.col("n") * nominal[F.col("mnth")])).alias("per_row_day"),
-        (F.col("_sum") / F.col("n_days")).alias("per_day"),
+        (F.col("_sum").cast("double") / (F.col("n") * nominal[F.col("mnth")])).alias("per_row_day"),
+        (F.col("_sum").cast("double") / F.col("n_days")).alias("per_day"),
     )
 
 

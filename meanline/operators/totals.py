@@ -26,7 +26,7 @@ def daily_rollup(df: DataFrame, ts: str, value: str) -> DataFrame:
     return df.groupBy(F.to_date(ts).alias("day")).agg(
         F.count(F.lit(1)).alias("n"),
         F.sum(F.col(value).cast(MONEY)).alias("total"),
-        F.avg(value).alias("mean_value"),
+        (F.sum(F.col(value).cast(MONEY)).cast("double") / F.count(value)).alias("mean_value"),
     )
 
 

@@ -8,6 +8,12 @@ from pyspark.sql import functions as F
 from meanline.functions.calendar import calendar_columns, weekday
 from meanline.sources.readers import read_table
 
+#: Labels are decimals, so sums of them are exact.
+MONEY = "decimal(18,2)"
+
+#: Age bands, dealt to customers by key.
+AGES = ("0-17", "18-25", "26-35", "36-45", "46-50", "51-55", "55+")
+
 #: First calendar year of the order tables.
 BASE_YEAR = 1995
 
@@ -30,7 +36,7 @@ def hourly_view(spark: SparkSession, directory: str) -> DataFrame:
         weekday(ts).between(1, 5).cast("int").alias("workingday"),
         F.col("event_type").alias("weather"),
         (F.get_json_object("props", "$.k").cast("int") / F.lit(100.0)).alias("hum"),
-        "value",
+        F.col("value").cast(MONEY).alias("value"),
     )
 
 
@@ -39,7 +45,15 @@ def monthly_view(spark: SparkSession, directory: str) -> DataFrame:
     date = F.col("o_orderdate")
     return read_table(spark, directory, "orders").select(
         "o_orderkey", F.year(date).alias("yr"), F.month(date).alias("mnth"), "o_orderpriority", "o_orderstatus",
-        "o_totalprice", "o_orderdate",
+        F.col("o_totalprice").cast(MONEY).alias("o_totalprice"), "o_orderdate",
+    )
+
+
+def measures_view(spark: SparkSession, directory: str) -> DataFrame:
+    """`lineitem` as keyed readings with the price as label."""
+    return read_table(spark, directory, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_quantity", "l_discount", "l_tax", "l_returnflag",
+        F.col("l_extendedprice").cast(MONEY).alias("price"),
     )
 
 
@@ -73,20 +87,21 @@ def purchases_view(spark: SparkSession, directory: str) -> DataFrame:
     Both sides are partitioned on the order key once.
     """
     orders = read_table(spark, directory, "orders").select(
-        "o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority"
+        "o_orderkey", "o_custkey", "o_orderstatus"
     )
     lines = read_table(spark, directory, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_returnflag", "l_linestatus", "l_extendedprice"
     )
+    ages = F.array(*[F.lit(age) for age in AGES])
     stay = F.when(F.col("l_linenumber") >= 4, "4+").otherwise(F.col("l_linenumber").cast("string"))
     return lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
         F.col("o_custkey").alias("User_ID"),
         F.col("l_orderkey").alias("Order_ID"),
         F.col("l_linenumber").alias("Line_ID"),
         F.col("o_orderstatus").alias("Gender"),
-        F.col("o_orderpriority").alias("Age"),
+        ages[F.pmod("o_custkey", F.lit(len(AGES))).cast("int")].alias("Age"),
         F.col("l_linenumber").alias("Occupation"),
-        F.col("l_returnflag").alias("City_Category"),
+        F.translate("l_returnflag", "NR", "CB").alias("City_Category"),
         stay.alias("Stay_In_Current_City_Years"),
         F.when(F.col("l_linestatus") == "F", "0").otherwise("1").alias("Marital_Status"),
         F.col("l_linenumber").cast("string").alias("Product_Category_1"),
