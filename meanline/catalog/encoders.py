@@ -81,7 +81,7 @@ _HOUR_RANKS = f"""e as (select hour(ts) as hr, {_mean("value")} as m from events
 def rank_encode_fit(spark: SparkSession, directory: str) -> DataFrame:
     rows = hourly_view(spark, directory).where("hr <> 7")
     table = encode.fit_ranks(rows, ["hr"], "value").table
-    return table.select(F.col("num_key").cast("bigint").alias("hr"), "code")
+    return table.select(F.col("int_key").alias("hr"), "code")
 
 
 @query(

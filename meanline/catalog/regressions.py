@@ -16,7 +16,8 @@ from meanline.operators.split import hash_split, with_fold
 from meanline.operators.totals import sum_per_user
 from meanline.plans import jobs, models
 from meanline.plans.moments import tune_linear
-from meanline.sources.readers import literal_rows, read_table
+from meanline.sources.readers import literal_rows, read_table, spread
+from meanline.sources.storage import cut
 from meanline.sources.views import TRIP_FEATURES, purchases_view, trips_view
 
 _CHARGED = "l_extendedprice * (1 - l_discount) / 1000"
@@ -137,17 +138,20 @@ def tree_stump(spark: SparkSession, directory: str) -> DataFrame:
         "l_discount", (price * (1 - F.col("l_discount"))).alias("label")
     )
     vectors = models.assembler(["l_discount"], "features").transform(rows)
-    scored = models.tree(max_depth=1).fit(vectors).transform(vectors)
+    scored = models.fit_tree(vectors, models.tree(max_depth=1)).transform(vectors)
     per_value = scored.groupBy("l_discount", "prediction").agg(F.count(F.lit(1)).alias("n"))
     return per_value.select("l_discount", "n", F.round("prediction", 4).alias("prediction"))
 
 
 @query("tree_fit_score")
 def tree_fit_score(spark: SparkSession, directory: str) -> DataFrame:
-    train, test = hash_split(trips_view(spark, directory).withColumnRenamed("cnt", "label"), "key")
+    rows = spread(trips_view(spark, directory).withColumnRenamed("cnt", "label")).persist()
+    train, test = hash_split(rows, "key")
     prepared = models.preparation(TRIP_FEATURES, 24).fit(train)
-    model = models.tree().fit(prepared.transform(train))
-    return regression_metrics(model.transform(prepared.transform(test)))
+    model = models.fit_tree(prepared.transform(train), models.tree())
+    metrics = cut(regression_metrics(model.transform(prepared.transform(test))))
+    rows.unpersist()
+    return metrics
 
 
 def _grid_rows(spark: SparkSession, intercept: bool = True) -> list[tuple]:
@@ -184,8 +188,10 @@ def param_grid(spark: SparkSession, directory: str) -> DataFrame:
 
 
 def _elastic_net(spark: SparkSession, directory: str) -> DataFrame:
-    rows = with_fold(trips_view(spark, directory).withColumnRenamed("cnt", "label"), "key", 3)
+    view = spread(trips_view(spark, directory).withColumnRenamed("cnt", "label"))
+    rows = with_fold(view, "key", 3).persist()
     tuned, grid = tune_linear(rows, TRIP_FEATURES, models.elastic_net_grid, "r2", 3)
+    rows.unpersist()
     return models.metrics_table(spark, grid, tuned.avgMetrics, tuned.stdMetrics)
 
 
@@ -203,7 +209,7 @@ def cv_best_row(spark: SparkSession, directory: str) -> DataFrame:
 @query("cv_metrics_table")
 def cv_metrics_table(spark: SparkSession, directory: str) -> DataFrame:
     """Grid metrics from Spark's own cross-validator over the rows themselves."""
-    rows = with_fold(_charges(spark, directory), "l_orderkey", 3)
+    rows = with_fold(spread(_charges(spark, directory)), "l_orderkey", 3)
     vectors = models.assembler(["price", "l_discount"], "features").transform(rows)
     ready = vectors.select("features", "label", "fold").persist()
     regression = LinearRegression()
@@ -215,12 +221,14 @@ def cv_metrics_table(spark: SparkSession, directory: str) -> DataFrame:
 
 @query("tree_cv")
 def tree_cv(spark: SparkSession, directory: str) -> DataFrame:
-    rows = with_fold(trips_view(spark, directory).withColumnRenamed("cnt", "label"), "key", 3)
+    view = spread(trips_view(spark, directory).withColumnRenamed("cnt", "label"))
+    rows = with_fold(view, "key", 3).persist()
     prepared = models.preparation(TRIP_FEATURES, 24).fit(rows)
     ready = prepared.transform(rows).select("features", "label", "fold").persist()
     grid = models.default_grid()
     tuned = models.cross_validate(ready, models.tree(), grid, "rmse", 3)
     ready.unpersist()
+    rows.unpersist()
     return models.metrics_table(spark, grid, tuned.avgMetrics, tuned.stdMetrics)
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meanline.catalog.registry import query
-from meanline.operators import segments, totals
+from meanline.operators import neighbours, segments, totals
 from meanline.sources.readers import read_table
 from meanline.sources.views import hourly_view
 
@@ -87,3 +87,21 @@ def rfm_segments(spark: SparkSession, directory: str) -> DataFrame:
 def count_anomalies(spark: SparkSession, directory: str) -> DataFrame:
     found = segments.count_anomalies(hourly_view(spark, directory), "ts")
     return found.withColumn("z", F.round("z", 6))
+
+
+@query(
+    "knn_topk",
+    """with e as (select vec_id, label, unnest(embedding) as x, generate_subscripts(embedding, 1) as slot
+                  from embeddings),
+          c as (select label, slot, avg(cast(x as double)) as m from e group by label, slot),
+          d as (select c.label, e.vec_id, sqrt(sum((e.x - c.m) * (e.x - c.m))) as distance
+                from e join c on e.slot = c.slot group by c.label, e.vec_id),
+          r as (select *, row_number() over (partition by label order by distance, vec_id) as rank from d)
+        select cast(label as bigint) as query_id, cast(rank as integer) as rank, vec_id as row_id,
+               round(distance, 6) as distance from r where rank <= 10""",
+)
+def knn_topk(spark: SparkSession, directory: str) -> DataFrame:
+    """The ten rows nearest to the centre of each label."""
+    rows = read_table(spark, directory, "embeddings")
+    found = neighbours.nearest(rows, "vec_id", "embedding", neighbours.centres(rows, "embedding", "label"), 10)
+    return found.withColumn("distance", F.round("distance", 6))

@@ -87,19 +87,19 @@ def study_wind(spark: SparkSession, directory: str) -> DataFrame:
 @query(
     "multi_column_study",
     " union all ".join(
-        f"""select '{name}' as feature, {number} as num_key, {text} as text_key, count(*) as n,
+        f"""select '{name}' as feature, {number} as num_key, {whole} as int_key, {text} as text_key, count(*) as n,
             cast(sum(cast(l_extendedprice as decimal(18,2))) as double) / count(*) as mean_label
             from lineitem group by {name}"""
-        for name, number, text in [
-            ("l_quantity", "l_quantity", "null"),
-            ("l_discount", "l_discount", "null"),
-            ("l_tax", "l_tax", "null"),
-            ("l_returnflag", "cast(null as double)", "l_returnflag"),
+        for name, number, whole, text in [
+            ("l_quantity", "l_quantity", "null", "null"),
+            ("l_discount", "l_discount", "null", "null"),
+            ("l_linenumber", "null", "cast(l_linenumber as bigint)", "null"),
+            ("l_returnflag", "null", "null", "l_returnflag"),
         ]
     ),
 )
 def multi_column_study(spark: SparkSession, directory: str) -> DataFrame:
-    columns = ["l_quantity", "l_discount", "l_tax", "l_returnflag"]
+    columns = ["l_quantity", "l_discount", "l_linenumber", "l_returnflag"]
     return study.multi_column_study(measures_view(spark, directory), columns, "price").drop("sum_label")
 
 

@@ -191,7 +191,7 @@ def conform_schema(spark: SparkSession, directory: str) -> DataFrame:
 @query("filter_month", "select o_orderkey, o_totalprice from orders where month(o_orderdate) = 6")
 def filter_month(spark: SparkSession, directory: str) -> DataFrame:
     orders = read_table(spark, directory, "orders")
-    return orders.where(F.month("o_orderdate") == 6).select("o_orderkey", "o_totalprice")
+    return project.filter_month(orders, "o_orderdate", 6).select("o_orderkey", "o_totalprice")
 
 
 _FILLED = """

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from meanline.operators.order import WINDOW_ROWS, global_rank
-from meanline.operators.study import key_pair, keyed_by_number, multi_column_study
+from meanline.operators.study import KEY_TYPES, key_slot, key_value, multi_column_study
 from meanline.sources.storage import cut
 
 #: A lookup side is broadcast up to this many rows and this much key text.
@@ -45,7 +45,7 @@ class Size:
 
 @dataclass(frozen=True)
 class Encoding:
-    """A fitted encoder: table (feature, num_key, text_key, mean_label, n, code)."""
+    """A fitted encoder: table (feature, num_key, int_key, text_key, mean_label, n, code)."""
 
     table: DataFrame
     sizes: Mapping[str, Size]
@@ -73,14 +73,12 @@ class Encoding:
         joined, codes = df, {}
         for position, (column, output) in enumerate(outputs.items()):
             key, code = f"_k{position}", f"_c{position}"
-            number, text = key_pair(df, column)
-            numeric = keyed_by_number(df, column)
-            stored = F.col("num_key" if numeric else "text_key")
+            stored = F.col(key_slot(df, column))
             lookup = self.table.where((F.col("feature") == column) & stored.isNotNull()).select(
                 stored.alias(key), F.col("code").alias(code)
             )
             small = self.sizes[column].fits(broadcast_rows)
-            joined = lookup_join(joined, number if numeric else text, lookup, key, small=small)
+            joined = lookup_join(joined, key_value(df, column), lookup, key, small=small)
             fallback = self.overall_mean(column) if unseen == "mean" else unseen
             codes[output] = F.col(code) if fallback is None else F.coalesce(code, F.lit(float(fallback)))
         kept = [codes.pop(name).alias(name) if name in codes else F.col(f"`{name}`") for name in df.columns]
@@ -126,7 +124,7 @@ def fit_means(df: DataFrame, columns: Sequence[str], label: str) -> Encoding:
 def _ranked(means: Encoding, digits: int) -> DataFrame:
     """The encoder table with ``_rn``: 1-based position by (mean, key) within a feature."""
     table = means.table.withColumn("_mean", F.round("mean_label", digits))
-    order = ["_mean", "num_key", "text_key"]
+    order = ["_mean", *KEY_TYPES]
     if all(size.n_keys <= WINDOW_ROWS for size in means.sizes.values()):
         window = Window.partitionBy("feature").orderBy(*order)
         return table.withColumn("_rn", F.row_number().over(window)).drop("_mean")
@@ -163,9 +161,7 @@ def held_out_means(
     Sums per fold and value give every fold's training mean by subtraction: one
     pass over the rows for all folds, then one lookup join.
     """
-    numeric = keyed_by_number(df, column)
-    number, text = key_pair(df, column)
-    key = number if numeric else text
+    key = key_value(df, column)
     per_fold = df.where(key.isNotNull()).groupBy(key.alias("_k"), F.col(fold).alias("_f")).agg(
         F.sum(label).alias("s"), F.count(label).alias("n")
     )

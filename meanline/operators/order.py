@@ -8,6 +8,7 @@ partitions and add each partition's offset.
 
 from __future__ import annotations
 
+from bisect import bisect_left, bisect_right
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
@@ -17,7 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from meanline.sources.storage import shared_table
+from meanline.sources.storage import cut, shared_table
 
 #: Values brought to the driver to finish one order statistic.
 BRACKET_ROWS = 5_000
@@ -46,18 +47,22 @@ class Wanted:
     rows: int | None = None
     scope: Column | None = None
     base: int = 0
-    above: Column | None = None
-    below: Column | None = None
+    above: object = None
+    below: object = None
     found: Located | None = None
 
-    def inside(self) -> Column:
+    def group(self) -> tuple:
+        """Wanted ranks with the same rows in play share their aggregates."""
+        return self.column, id(self.scope), self.above, self.below
+
+    def inside(self, kind: T.DataType) -> Column:
         """Rows still in play: strictly between the bounds settled so far."""
         value = F.col(f"`{self.column}`")
         test = value.isNotNull() if self.scope is None else self.scope & value.isNotNull()
         if self.above is not None:
-            test = test & (value > self.above)
+            test = test & (value > _literal(self.above, kind))
         if self.below is not None:
-            test = test & (value < self.below)
+            test = test & (value < _literal(self.below, kind))
         return test
 
 
@@ -79,17 +84,18 @@ def order_statistics(df: DataFrame, wanted: Sequence[Wanted], bracket_rows: int
     It cuts the rows in play about 2,500-fold, and values that repeat many times
     are settled by their counts, so ties never pile up.
     """
-    uncounted = [w for w in wanted if w.rows is None]
+    uncounted = [group for group in _groups(df, wanted) if group.first.rows is None]
     if uncounted:
-        counts = df.agg(*[F.count_if(w.inside()).alias(str(i)) for i, w in enumerate(uncounted)]).first()
-        for i, want in enumerate(uncounted):
-            want.rows = counts[str(i)]
+        counts = df.agg(*[F.count_if(g.inside).alias(str(i)) for i, g in enumerate(uncounted)]).first()
+        for i, group in enumerate(uncounted):
+            for want in group.members:
+                want.rows = counts[str(i)]
     for want in wanted:
         if not 1 <= want.rank <= want.rows:
             raise ValueError(f"rank {want.rank} of {want.rows} values in {want.column}")
-    while open_ones := [w for w in wanted if w.found is None]:
-        small = [w for w in open_ones if w.rows <= bracket_rows]
-        large = [w for w in open_ones if w.rows > bracket_rows]
+    while open_groups := _groups(df, [w for w in wanted if w.found is None]):
+        small = [g for g in open_groups if g.first.rows <= bracket_rows]
+        large = [g for g in open_groups if g.first.rows > bracket_rows]
         if small:
             _finish(df, small)
         if large:
@@ -97,68 +103,91 @@ def order_statistics(df: DataFrame, wanted: Sequence[Wanted], bracket_rows: int
     return [w.found for w in wanted]
 
 
-def _restrict(df: DataFrame, wanted: Sequence[Wanted]) -> DataFrame:
+@dataclass
+class _Group:
+    """Wanted ranks over the same rows of the same column."""
+
+    members: list[Wanted]
+    kind: T.DataType
+
+    @property
+    def first(self) -> Wanted:
+        return self.members[0]
+
+    @property
+    def value(self) -> Column:
+        return F.col(f"`{self.first.column}`")
+
+    @property
+    def inside(self) -> Column:
+        return self.first.inside(self.kind)
+
+
+def _groups(df: DataFrame, wanted: Sequence[Wanted]) -> list[_Group]:
+    groups: dict[tuple, list[Wanted]] = {}
+    for want in wanted:
+        groups.setdefault(want.group(), []).append(want)
+    return [_Group(members, df.schema[members[0].column].dataType) for members in groups.values()]
+
+
+def _restrict(df: DataFrame, groups: Sequence[_Group]) -> DataFrame:
     """Let the scan skip what no wanted rank can reach."""
-    return df.where(reduce(or_, [w.inside() for w in wanted]))
+    return df.where(reduce(or_, [group.inside for group in groups]))
 
 
-def _finish(df: DataFrame, wanted: Sequence[Wanted]) -> None:
-    """Read the few values left in play and pick the wanted one."""
+def _finish(df: DataFrame, groups: Sequence[_Group]) -> None:
+    """Read the few values left in play and pick the wanted ones."""
     values = (
-        _restrict(df, wanted)
-        .agg(
-            *[
-                F.sort_array(F.collect_list(F.when(w.inside(), F.col(f"`{w.column}`")))).alias(str(i))
-                for i, w in enumerate(wanted)
-            ]
-        )
+        _restrict(df, groups)
+        .agg(*[F.sort_array(F.collect_list(F.when(g.inside, g.value))).alias(str(i)) for i, g in enumerate(groups)])
         .first()
     )
-    for i, want in enumerate(wanted):
+    for i, group in enumerate(groups):
         ordered = values[str(i)]
-        value = ordered[want.rank - want.base - 1]
-        want.found = Located(value, want.base + sum(v < value for v in ordered), sum(v == value for v in ordered))
+        for want in group.members:
+            value = ordered[want.rank - want.base - 1]
+            before, upto = bisect_left(ordered, value), bisect_right(ordered, value)
+            want.found = Located(value, want.base + before, upto - before)
 
 
-def _narrow(df: DataFrame, wanted: Sequence[Wanted]) -> None:
+def _narrow(df: DataFrame, groups: Sequence[_Group]) -> None:
     """One round: propose bounds by sketch, count exactly, keep the right part."""
-    proposals = []
-    for i, want in enumerate(wanted):
-        at = (want.rank - want.base - 0.5) / want.rows
-        fractions = [max(0.0, at - 2 / _ACCURACY), min(1.0, at + 2 / _ACCURACY)]
-        value = F.when(want.inside(), F.col(f"`{want.column}`"))
-        proposals.append(F.percentile_approx(value, fractions, _ACCURACY).alias(str(i)))
-    bounds = _restrict(df, wanted).agg(*proposals).first()
+    sketches = []
+    for i, group in enumerate(groups):
+        places = [(want.rank - want.base - 0.5) / want.rows for want in group.members]
+        slack = 2 / _ACCURACY
+        fractions = sorted({min(1.0, max(0.0, at + side)) for at in places for side in (-slack, slack)})
+        sketches.append(
+            F.percentile_approx(F.when(group.inside, group.value), fractions, _ACCURACY).alias(str(i))
+        )
+    proposed = _restrict(df, groups).agg(*sketches).first()
+    bounds = [sorted(set(proposed[str(i)])) for i in range(len(groups))]
     counts = []
-    for i, want in enumerate(wanted):
-        value, inside, kind = F.col(f"`{want.column}`"), want.inside(), df.schema[want.column].dataType
-        low, high = (_literal(bound, kind) for bound in bounds[str(i)])
-        counts += [
-            F.count_if(inside & (value < low)).alias(f"before{i}"),
-            F.count_if(inside & (value == low)).alias(f"low{i}"),
-            F.count_if(inside & (value > low) & (value < high)).alias(f"between{i}"),
-            F.count_if(inside & (value == high) & (value > low)).alias(f"high{i}"),
-        ]
-    exact = _restrict(df, wanted).agg(*counts).first()
-    for i, want in enumerate(wanted):
-        low_value, high_value = bounds[str(i)]
-        kind = df.schema[want.column].dataType
-        low, high = _literal(low_value, kind), _literal(high_value, kind)
-        before, at_low, between, at_high = (exact[f"{part}{i}"] for part in ("before", "low", "between", "high"))
-        local = want.rank - want.base
-        if local <= before:
-            want.below, want.rows = low, before
-        elif local <= before + at_low:
-            want.found = Located(low_value, want.base + before, at_low)
-        elif local <= before + at_low + between:
-            want.base += before + at_low
-            want.above, want.below, want.rows = low, high, between
-        elif local <= before + at_low + between + at_high:
-            want.found = Located(high_value, want.base + before + at_low + between, at_high)
-        else:
-            passed = before + at_low + between + at_high
-            want.base += passed
-            want.above, want.rows = high, want.rows - passed
+    for i, group in enumerate(groups):
+        inside = group.inside
+        for j, bound in enumerate(bounds[i]):
+            edge = _literal(bound, group.kind)
+            counts.append(F.count_if(inside & (group.value < edge)).alias(f"less_{i}_{j}"))
+            counts.append(F.count_if(inside & (group.value == edge)).alias(f"equal_{i}_{j}"))
+    exact = _restrict(df, groups).agg(*counts).first()
+    for i, group in enumerate(groups):
+        edges = [(bound, exact[f"less_{i}_{j}"], exact[f"equal_{i}_{j}"]) for j, bound in enumerate(bounds[i])]
+        for want in group.members:
+            _settle(want, edges)
+
+
+def _settle(want: Wanted, edges: Sequence[tuple[object, int, int]]) -> None:
+    """Keep the stretch between two neighbouring bounds that holds the wanted rank."""
+    local, passed, base, rows = want.rank - want.base, 0, want.base, want.rows
+    for bound, less, equal in edges:
+        if local <= less:
+            want.below, want.base, want.rows = bound, base + passed, less - passed
+            return
+        if local <= less + equal:
+            want.found = Located(bound, base + less, equal)
+            return
+        want.above, passed = bound, less + equal
+    want.base, want.rows = base + passed, rows - passed
 
 
 def exact_quantiles(df: DataFrame, columns: Sequence[str], fractions: Sequence[float]) -> dict[str, list[float]]:
@@ -246,11 +275,16 @@ def keys_at_ranks(df: DataFrame, places: Sequence[tuple[Sequence[str], int]]) ->
 
 
 def _text_at_rank(df: DataFrame, column: str, rank: int, scope: Column | None) -> Located:
-    """Order statistic of a column no sketch covers: count per value, then rank the values."""
+    """Order statistic of a column no sketch covers: count per value, then walk or rank the values."""
     rows = df if scope is None else df.where(scope)
-    ranked = global_rank(
-        rows.groupBy(column).agg(F.count(F.lit(1)).alias("_n")), [column], "_at", weight="_n"
-    )
+    counts = cut(rows.groupBy(column).agg(F.count(F.lit(1)).alias("_n")))
+    if counts.count() <= BRACKET_ROWS:
+        passed = 0
+        for row in counts.orderBy(column).collect():
+            if rank <= passed + row["_n"]:
+                return Located(row[column], passed, row["_n"])
+            passed += row["_n"]
+    ranked = global_rank(counts, [column], "_at", weight="_n")
     row = ranked.where((F.col("_at") >= rank) & (F.col("_at") - F.col("_n") < rank)).first()
     return Located(row[column], row["_at"] - row["_n"], row["_n"])
 

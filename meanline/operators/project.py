@@ -17,6 +17,22 @@ def label_first(df: DataFrame, label: str, features: Sequence[str], keep: Sequen
     )
 
 
+def filter_month(df: DataFrame, ts: str, month: int) -> DataFrame:
+    """Rows of one calendar month of any year.
+
+    ``month(ts) = m`` alone reaches no file statistics.  With the years that
+    occur (one pass over this column) it becomes date ranges, which do.
+    """
+    span = df.agg(F.min(F.year(ts)).alias("low"), F.max(F.year(ts)).alias("high")).first()
+    kind = df.schema[ts].dataType
+    ranges = F.lit(False)
+    for year in range(span["low"] or 0, (span["high"] or -1) + 1):
+        start = F.lit(f"{year:04d}-{month:02d}-01").cast(kind)
+        end = F.lit(f"{year + month // 12:04d}-{month % 12 + 1:02d}-01").cast(kind)
+        ranges = ranges | ((F.col(ts) >= start) & (F.col(ts) < end))
+    return df.where(ranges)
+
+
 def preview(df: DataFrame, n: int, order_by: Sequence[str | Column]) -> DataFrame:
     """The first ``n`` rows in a stated order (a per-task top-n, never a full sort)."""
     return df.orderBy(*order_by).limit(n)

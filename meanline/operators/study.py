@@ -11,8 +11,10 @@ from pyspark.sql import types as T
 from meanline.functions.fixed_values import MONTH_DAYS
 from meanline.operators.order import exact_quantiles
 
-#: Types whose values a double holds exactly; other keys travel as text.
-_AS_DOUBLE = (T.ByteType, T.ShortType, T.IntegerType, T.FloatType, T.DoubleType)
+#: The columns a value of any column may be keyed by, and the types that use them.
+KEY_TYPES = {"num_key": "double", "int_key": "bigint", "text_key": "string"}
+_FRACTIONAL = (T.FloatType, T.DoubleType)
+_INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 
 
 def mean_by_key(df: DataFrame, key: str | Column, label: str, name: str = "key") -> DataFrame:
@@ -40,32 +42,33 @@ def study_by_key(df: DataFrame, key: str | Column, label: str, name: str = "key"
     return mean_by_key(df, key, label, name).orderBy(name)
 
 
-def keyed_by_number(df: DataFrame, column: str) -> bool:
-    return isinstance(df.schema[column].dataType, _AS_DOUBLE)
+def key_slot(df: DataFrame, column: str) -> str:
+    """Which key column holds the values of ``column``: fractions, integers or anything else as text."""
+    kind = df.schema[column].dataType
+    return "num_key" if isinstance(kind, _FRACTIONAL) else "int_key" if isinstance(kind, _INTEGRAL) else "text_key"
 
 
-def key_pair(df: DataFrame, column: str) -> tuple[Column, Column]:
-    """A column as (number, text), one of which is null."""
-    value = F.col(f"`{column}`")
-    if keyed_by_number(df, column):
-        return value.cast("double"), F.lit(None).cast("string")
-    return F.lit(None).cast("double"), value.cast("string")
+def key_value(df: DataFrame, column: str) -> Column:
+    """The values of ``column`` in the type of their key column."""
+    return F.col(f"`{column}`").cast(KEY_TYPES[key_slot(df, column)])
 
 
 def multi_column_study(df: DataFrame, columns: Sequence[str], label: str, by: Sequence[str] = ()) -> DataFrame:
-    """Studies of many columns in one pass: (feature, num_key, text_key, sum_label, n, mean_label).
+    """Studies of many columns in one pass: (feature, num_key, int_key, text_key, sum_label, n, mean_label).
 
     Each row is unpivoted into one entry per column and summed up before the
     shuffle, so what moves is the distinct keys, whatever the number of rows.
     """
     entries = []
     for column in columns:
-        entries += [F.lit(column), *key_pair(df, column)]
+        own = key_slot(df, column)
+        entries.append(F.lit(column))
+        entries += [key_value(df, column) if slot == own else F.lit(None).cast(kind) for slot, kind in KEY_TYPES.items()]
     tall = df.select(
         *by, F.col(label).alias("_y"),
-        F.stack(F.lit(len(columns)), *entries).alias("feature", "num_key", "text_key"),
+        F.stack(F.lit(len(columns)), *entries).alias("feature", *KEY_TYPES),
     )
-    grouped = tall.groupBy(*by, "feature", "num_key", "text_key").agg(
+    grouped = tall.groupBy(*by, "feature", *KEY_TYPES).agg(
         F.sum("_y").cast("double").alias("sum_label"), F.count("_y").alias("n")
     )
     return grouped.withColumn("mean_label", F.col("sum_label") / F.nullif(F.col("n"), F.lit(0)))

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 MONEY = "decimal(18,2)"
 
@@ -16,8 +17,10 @@ def sum_per_user(df: DataFrame, user: str, amount: str, attributes: Sequence[str
     The total is a decimal, so it neither overflows nor depends on the order of
     addition; each attribute is the smallest one seen for the user.
     """
+    exact = isinstance(df.schema[amount].dataType, T.DecimalType)
+    money = F.col(amount) if exact else F.col(amount).cast(MONEY)
     return df.groupBy(user).agg(
-        F.sum(F.col(amount).cast(MONEY)).alias("total"), *[F.min(name).alias(name) for name in attributes]
+        F.sum(money).alias("total"), *[F.min(name).alias(name) for name in attributes]
     )
 
 

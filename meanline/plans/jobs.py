@@ -20,6 +20,7 @@ from meanline.operators.project import label_first
 from meanline.operators.split import hash_split, with_fold
 from meanline.plans import models
 from meanline.plans.moments import tune_linear
+from meanline.sources.readers import spread
 from meanline.sources.storage import shared_table
 
 
@@ -76,7 +77,8 @@ def encoded_parts(frame: DataFrame, job: RegressionJob) -> tuple[DataFrame, Data
 
 def run_job(df: DataFrame, job: RegressionJob, label: str = "cnt") -> JobRun:
     """Run ``job`` on a table with a ``key`` column."""
-    train, test = encoded_parts(select_rows(df, job, label), job)
+    rows = spread(select_rows(df, job, label)).persist(StorageLevel.MEMORY_AND_DISK)
+    train, test = encoded_parts(rows, job)
     prepared = models.preparation(job.features, job.max_categories).fit(train)
     train = with_fold(train, "key", job.folds, seed=job.folds)
     if job.regressor == "linear":
@@ -93,6 +95,7 @@ def run_job(df: DataFrame, job: RegressionJob, label: str = "cnt") -> JobRun:
         tuned.bestModel.transform(prepared.transform(test)).select("key", *job.features, "label", "prediction"),
         "scored",
     )
+    rows.unpersist()
     best = max(tuned.avgMetrics) if job.metric == "r2" else min(tuned.avgMetrics)
     quality = scored.agg(*metric_columns()).select(
         F.lit(job.metric).alias("cv_metric"),
@@ -128,7 +131,10 @@ def band_report(scored: DataFrame, n: int = 100) -> DataFrame:
 
 
 def fit_ols(df: DataFrame, features: Sequence[str], label: str = "label"):
-    """Least squares with defaults on assembled features: (preparation, model)."""
+    """Least squares with defaults on assembled features: (preparation, model).
+
+    The normal equations need one pass over the rows.
+    """
     prepared = models.preparation(features, None).fit(df)
     frame = prepared.transform(df)
     return prepared, LinearRegression(featuresCol="features", labelCol=label).fit(frame)

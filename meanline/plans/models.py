@@ -9,12 +9,14 @@ import numpy as np
 from pyspark.ml import Estimator, Model, Pipeline
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import VectorAssembler, VectorIndexer
-from pyspark.ml.regression import DecisionTreeRegressor, LinearRegression
+from pyspark.ml.regression import DecisionTreeRegressionModel, DecisionTreeRegressor, LinearRegression
 from pyspark.ml.tuning import CrossValidatorModel, ParamGridBuilder, TrainValidationSplit
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.storagelevel import StorageLevel
 
 from meanline.operators.metrics import METRICS, metric_columns
+from meanline.sources.readers import spread
 
 #: The elastic-net search: strength, mix and (optionally) the intercept.
 REG_PARAMS = (0.1, 0.01, 0.001)
@@ -66,6 +68,15 @@ def tree(max_depth: int = 5, max_bins: int = 32, seed: int = 7) -> DecisionTreeR
     )
 
 
+def fit_tree(vectors: DataFrame, regressor: DecisionTreeRegressor) -> DecisionTreeRegressionModel:
+    """Fit on ``vectors``, kept while the tree grows: it is read for metadata, cut points and rows."""
+    ready = spread(vectors.select("features", "label")).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return regressor.fit(ready)
+    finally:
+        ready.unpersist()
+
+
 def evaluator(metric: str) -> RegressionEvaluator:
     return RegressionEvaluator(labelCol="label", predictionCol="prediction", metricName=metric)
 

@@ -48,6 +48,17 @@ def read_table(spark: SparkSession, directory: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{directory}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Rows over all cores before work that passes over them many times.
+
+    A table with at least as many splits as cores is left alone; a small file
+    that arrives as a few tasks is dealt out round-robin.  For plans without a
+    shuffle: those are cheap to ask for their number of partitions.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
 def read_csv(
     spark: SparkSession,
     path: str,

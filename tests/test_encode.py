@@ -49,7 +49,7 @@ def test_ranks_of_many_keys_do_not_need_one_task(skewed, monkeypatch):
     want = encode.fit_ranks(skewed, ["key", "name"], "label").table
     monkeypatch.setattr(encode, "WINDOW_ROWS", 1)
     got = encode.fit_ranks(skewed, ["key", "name"], "label").table
-    columns = ["feature", "num_key", "text_key", "code"]
+    columns = ["feature", "num_key", "int_key", "text_key", "code"]
     assert {tuple(r) for r in got.select(*columns).collect()} == {tuple(r) for r in want.select(*columns).collect()}
 
 
