@@ -18,7 +18,7 @@ from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from meanline.operators.order import WINDOW_ROWS, global_rank
+from meanline.operators.order import FREQUENT_SHARE, WINDOW_ROWS, global_rank
 from meanline.operators.study import KEY_TYPES, key_slot, key_value, multi_column_study
 from meanline.sources.storage import cut
 
@@ -26,9 +26,6 @@ from meanline.sources.storage import cut
 BROADCAST_ROWS = 1_000_000
 BROADCAST_BYTES = 64 << 20
 
-#: A key holding more than one row in this many counts as frequent.
-FREQUENT_SHARE = 256
-
 
 @dataclass(frozen=True)
 class Size:

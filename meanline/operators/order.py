@@ -23,6 +23,9 @@ from meanline.sources.storage import cut, shared_table
 #: Values brought to the driver to finish one order statistic.
 BRACKET_ROWS = 5_000
 
+#: A value held by more than one row in this many counts as frequent.
+FREQUENT_SHARE = 256
+
 #: Rows one task may rank by itself.
 WINDOW_ROWS = 200_000
 
@@ -284,9 +287,9 @@ def _text_at_rank(df: DataFrame, column: str, rank: int, scope: Column | None) -
             if rank <= passed + row["_n"]:
                 return Located(row[column], passed, row["_n"])
             passed += row["_n"]
-    ranked = global_rank(counts, [column], "_at", weight="_n")
-    row = ranked.where((F.col("_at") >= rank) & (F.col("_at") - F.col("_n") < rank)).first()
-    return Located(row[column], row["_at"] - row["_n"], row["_n"])
+    ranked = _running_total(counts, [column], F.col("_n"), weighted=True)
+    row = ranked.where((F.col("_run") >= rank) & (F.col("_run") - F.col("_n") < rank)).first()
+    return Located(row[column], row["_run"] - row["_n"], row["_n"])
 
 
 def rank_first(df: DataFrame, order_by: Sequence[str], n: int, output: str = "rnk") -> DataFrame:
@@ -335,42 +338,96 @@ def rank_middle(df: DataFrame, order_by: Sequence[str], n: int = 100, output: st
     return rank_slice(df, order_by, half - n // 2 + 1, half + n // 2, output)
 
 
-def global_rank(
-    df: DataFrame, order_by: Sequence[str], output: str = "rnk", *, weight: str | None = None
-) -> DataFrame:
+def global_rank(df: DataFrame, order_by: Sequence[str], output: str = "rnk") -> DataFrame:
     """Every row with its 1-based rank in the order of ``order_by``.
 
     Rows are range-partitioned on all ordering columns (so a repeated first
     value spreads over tasks by the next ones), sorted within partitions and
     written once; a row's rank is its place in its partition plus the rows of
-    the partitions before.  With ``weight`` the running total of that column is
-    given instead, which ranks rows that stand for several.
+    the partitions before.  Rows that agree in every ordering column cannot be
+    parted by range: if they are many, one row stands in for them in the sort,
+    and they are numbered among themselves task by task.
     """
-    spark = df.sparkSession
-    place = F.monotonically_increasing_id()
+    names = [F.col(f"`{c}`") for c in df.columns]
+    frequent = _frequent_keys(df, order_by)
+    if not frequent:
+        ranked = _running_total(df, order_by, F.lit(1))
+        return ranked.select(F.col("_run").alias(output), *names)
+    key_schema = T.StructType([df.schema[c] for c in order_by] + [T.StructField("_n", T.LongType())])
+    keys = df.sparkSession.createDataFrame(frequent, key_schema)
+    match = reduce(and_, [F.col(f"l.`{c}`").eqNullSafe(F.col(f"r.`{c}`")) for c in order_by])
+    rare = df.alias("l").join(F.broadcast(keys).alias("r"), match, "left_anti")
+    stand_ins = rare.select("*", F.lit(1).cast("bigint").alias("_n")).unionByName(keys, allowMissingColumns=True)
+    ranked = _running_total(stand_ins, order_by, F.col("_n"), weighted=True)
+    ends = ranked.where(F.col("_n") > 1).select(*order_by, (F.col("_run") - F.col("_n")).alias("_base"))
+    numbered = shared_table(
+        df.alias("l").join(F.broadcast(ends).alias("r"), match).select(
+            "l.*", "_base", F.spark_partition_id().alias("_task"), F.monotonically_increasing_id().alias("_place")
+        ),
+        "copies",
+    )
+    per_task = numbered.groupBy("_base", "_task").agg(F.count(F.lit(1)).alias("_size"))
+    before = F.sum("_size").over(Window.partitionBy("_base").orderBy("_task")) - F.col("_size")
+    starts = per_task.select("_base", "_task", before.alias("_before"))
+    local = F.row_number().over(Window.partitionBy("_base", "_task").orderBy("_place"))
+    copies = numbered.select("*", local.alias("_local")).join(starts, ["_base", "_task"])
+    rank = (F.col("_base") + F.col("_before") + F.col("_local")).cast("bigint")
+    singles = ranked.where(F.col("_n") == 1).select(F.col("_run").alias(output), *names)
+    return singles.unionByName(copies.select(rank.alias(output), *names))
+
+
+def _frequent_keys(df: DataFrame, order_by: Sequence[str], share: int = FREQUENT_SHARE) -> list[tuple]:
+    """Ordering keys held by more than one row in ``share`` (so fewer than ``share`` keys), with counts.
+
+    A sketch of the first ordering column tells whether any value is that
+    frequent; only rows with such a value are then counted by their whole key.
+    """
+    first, total = order_by[0], df.count()
+    rows, kind = df, df.schema[first].dataType
+    if isinstance(kind, _SKETCHABLE):
+        steps = [i / (2 * share) for i in range(2 * share + 1)]
+        row = df.agg(
+            F.percentile_approx(F.col(f"`{first}`"), steps, _ACCURACY).alias("q"),
+            F.count_if(F.col(f"`{first}`").isNull()).alias("empty"),
+        ).first()
+        cuts = row["q"] or []
+        repeated = sorted({a for a, b in zip(cuts, cuts[1:]) if a == b})
+        test = F.col(f"`{first}`").isin([_literal(v, kind) for v in repeated]) if repeated else F.lit(False)
+        if row["empty"] * share > total:
+            test = test | F.col(f"`{first}`").isNull()
+        elif not repeated:
+            return []
+        rows = df.where(test)
+    counts = rows.groupBy(*order_by).agg(F.count(F.lit(1)).alias("_n"))
+    return [tuple(row) for row in counts.where((F.col("_n") * share > total) & (F.col("_n") > 1)).collect()]
+
+
+def _running_total(
+    df: DataFrame, order_by: Sequence[str], weight: Column, *, weighted: bool = False
+) -> DataFrame:
+    """``df`` with ``_run``: the sum of ``weight`` up to and with each row in the order of ``order_by``."""
     placed = shared_table(
         df.repartitionByRange(*[F.col(f"`{c}`") for c in order_by])
         .sortWithinPartitions(*order_by)
-        .select("*", place.alias("_place")),
+        .select("*", F.monotonically_increasing_id().alias("_place")),
         "ranked",
     )
     part, local = F.shiftright("_place", 33), F.col("_place").bitwiseAND((1 << 33) - 1)
-    if weight is None:
-        size, rank = F.max(local) + 1, local + 1
-    else:
+    if weighted:
+        placed = placed.select("*", part.alias("_part"))
         within = Window.partitionBy("_part").orderBy("_place")
-        placed = placed.withColumn("_part", part).withColumn("_run", F.sum(weight).over(within))
-        size, rank = F.sum(weight), F.col("_run")
+        placed = placed.select("*", F.sum(weight).over(within).alias("_sum"))
+        size, run = F.sum(weight), F.col("_sum")
+    else:
+        size, run = F.max(local) + 1, local + 1
     sizes = placed.groupBy(part.alias("_part")).agg(size.cast("bigint").alias("_size")).orderBy("_part").collect()
     offsets, total = [], 0
     for row in sizes:  # one entry per shuffle partition
         offsets.append((row["_part"], total))
         total += row["_size"]
-    starts = spark.createDataFrame(offsets, "_from bigint, _offset bigint")
+    starts = df.sparkSession.createDataFrame(offsets, "_from bigint, _offset bigint")
     joined = placed.join(F.broadcast(starts), part == F.col("_from"))
-    return joined.select(
-        (rank + F.col("_offset")).cast("bigint").alias(output), *[F.col(f"`{c}`") for c in df.columns]
-    )
+    return joined.select(*[F.col(f"`{c}`") for c in df.columns], (run + F.col("_offset")).cast("bigint").alias("_run"))
 
 
 def add_ntiles(df: DataFrame, axes: Mapping[str, str], tie: str, tiles: int) -> DataFrame:

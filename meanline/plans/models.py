@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
-from meanline.operators.metrics import METRICS, metric_columns
+from meanline.operators.metrics import METRICS, metric_columns, regression_metrics
 from meanline.sources.readers import spread
 
 #: The elastic-net search: strength, mix and (optionally) the intercept.
@@ -95,8 +95,11 @@ def cross_validate(
 
     def run(fold: int) -> list[float]:
         train, held = frame.where(F.col(fold_col) != fold), frame.where(F.col(fold_col) == fold)
+        fitted = [model for _, model in sorted(estimator.fitMultiple(train, grid), key=lambda pair: pair[0])]
+        if isinstance(estimator, Pipeline):  # its inner columns cannot be made twice in one plan
+            return [regression_metrics(model.transform(held)).first()[metric] for model in fitted]
         scored, measures = held, []
-        for point, model in sorted(estimator.fitMultiple(train, grid), key=lambda fitted: fitted[0]):
+        for point, model in enumerate(fitted):
             output = f"prediction_{point}"
             scored = model.setPredictionCol(output).transform(scored)
             measures += [c.alias(f"{name}_{point}") for name, c in zip(METRICS, metric_columns("label", output))]

@@ -13,22 +13,12 @@ from collections.abc import Callable, Sequence
 from multiprocessing.pool import ThreadPool
 
 import numpy as np
-from pyspark.ml.linalg import Vectors, VectorUDT
 from pyspark.ml.regression import LinearRegression, LinearRegressionModel
 from pyspark.ml.tuning import CrossValidatorModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-_SCHEMA = T.StructType(
-    [
-        T.StructField("fold", T.IntegerType()),
-        T.StructField("features", VectorUDT()),
-        T.StructField("label", T.DoubleType()),
-        T.StructField("weight", T.DoubleType()),
-    ]
-)
 
+from meanline.plans.models import assembler
 
 def moment_rows(df: DataFrame, features: Sequence[str], label: str = "label", fold: str = "fold") -> DataFrame:
     """(fold, features, label, weight): weighted rows with each fold's count, means and covariances."""
@@ -54,8 +44,11 @@ def moment_rows(df: DataFrame, features: Sequence[str], label: str = "label", fo
         weight = group["n"] / (2.0 * size)
         for step in np.vstack([steps.T, -steps.T]):
             point = shift + mean + step
-            rows.append((group["fold"], Vectors.dense(point[:-1]), float(point[-1]), weight))
-    return df.sparkSession.createDataFrame(rows, _SCHEMA).coalesce(1)
+            rows.append((group["fold"], weight, *point.tolist()))
+    slots = [f"x{i}" for i in range(size - 1)]
+    schema = ", ".join(["fold int", "weight double", *[f"{slot} double" for slot in slots], "label double"])
+    flat = df.sparkSession.createDataFrame(rows, schema).coalesce(1)
+    return assembler(slots, "features").transform(flat).select("fold", "features", "label", "weight")
 
 
 def _scores(models: list[LinearRegressionModel], points: np.ndarray, weight: np.ndarray, metric: str) -> list[float]:

@@ -6,6 +6,7 @@ from pyspark.ml.regression import LinearRegression
 from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import functions as F
 
+from meanline.operators.encode import MeanEncoder
 from meanline.operators.split import with_fold
 from meanline.plans import models
 from meanline.plans.moments import moment_rows, tune_linear
@@ -99,3 +100,20 @@ def test_tree_cross_validation(spark, small):
     assert len(tuned.avgMetrics) == 1
     spread = ready.agg(F.stddev_samp("label")).first()[0]
     assert tuned.avgMetrics[0] < spread / 2
+
+
+def test_pipeline_with_an_encoder_is_refitted_per_fold(spark):
+    """With a label of pure noise per key, an encoder fitted on all rows would look good; a refitted one must not."""
+    rows = spark.range(300).select(
+        (F.col("id") / 2).cast("int").alias("key"),
+        F.rand(3).alias("label"),
+        (F.col("id") % 2).cast("int").alias("fold"),
+    ).cache()
+    encoder = MeanEncoder(inputCols=["key"], outputCols=["key_mean"], unseen="mean")
+    pipeline = models.Pipeline(stages=[encoder, models.assembler(["key_mean"], "features"), models.tree()])
+    tuned = models.cross_validate(rows, pipeline, models.default_grid(), "r2", 2)
+    assert tuned.avgMetrics[0] < 0.1
+    spark_cv = CrossValidator(
+        estimator=pipeline, estimatorParamMaps=[{}], evaluator=models.evaluator("r2"), numFolds=2, foldCol="fold"
+    ).fit(rows)
+    assert tuned.avgMetrics == pytest.approx(spark_cv.avgMetrics)

@@ -54,6 +54,26 @@ def test_global_rank_spreads_copies_and_keeps_every_row(skewed):
     assert [tuple(r[c] for c in columns) for r in ranked] == _sorted(skewed, columns)
 
 
+def test_global_rank_parts_copies_over_tasks(spark):
+    """A third of the rows agree in every ordering column and a tenth have none of them."""
+    i = F.col("id")
+    rows = spark.range(0, 9_000, 1, 6).select(
+        F.when(i % 3 == 0, 5).when(i % 10 == 1, None).otherwise(i % 89).cast("int").alias("a"),
+        F.when(i % 3 == 0, "x").when(i % 10 == 1, None).otherwise((i % 71).cast("string")).alias("b"),
+        i,
+    )
+    assert len(order._frequent_keys(rows, ["a", "b"])) == 2
+    ranked = order.global_rank(rows, ["a", "b"]).collect()
+    assert sorted(r["rnk"] for r in ranked) == list(range(1, 9_001))
+    assert sorted(r["id"] for r in ranked) == list(range(9_000))
+
+    def key(r):
+        return (r["a"] is not None, r["a"] or 0, r["b"] is not None, r["b"] or "")
+
+    ordered = sorted(ranked, key=lambda r: r["rnk"])
+    assert [key(r) for r in ordered] == sorted(key(r) for r in ranked)
+
+
 def test_quantiles_interpolate(spark):
     df = spark.createDataFrame([(float(v),) for v in (1, 2, 4, 8)] + [(None,)], "v double")
     assert order.exact_quantiles(df, ["v"], [0.0, 0.25, 0.5, 1.0]) == {"v": [1.0, 1.75, 3.0, 8.0]}
