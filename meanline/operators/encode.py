@@ -15,7 +15,7 @@ from pyspark.ml import Estimator, Model
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasInputCols, HasLabelCol, HasOutputCols
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from meanline.operators.order import FREQUENT_SHARE, WINDOW_ROWS, global_rank
@@ -47,6 +47,15 @@ class Encoding:
     table: DataFrame
     sizes: Mapping[str, Size]
 
+    def save(self, path: str) -> None:
+        """Keep the fitted table, to be applied by later jobs."""
+        self.table.write.parquet(path)
+
+    @staticmethod
+    def load(spark: SparkSession, path: str) -> Encoding:
+        table = spark.read.parquet(path)
+        return Encoding(table, _measure(table))
+
     def overall_mean(self, column: str) -> float:
         size = self.sizes[column]
         return size.sum_label / size.n_rows

@@ -16,7 +16,7 @@ from meanline.functions.recode import recode_fixed
 from meanline.operators.encode import fit_means
 from meanline.operators.metrics import metric_columns
 from meanline.operators.order import rank_first, rank_last, rank_middle
-from meanline.operators.project import label_first
+from meanline.operators.project import filter_month, label_first
 from meanline.operators.split import hash_split, with_fold
 from meanline.plans import models
 from meanline.plans.moments import tune_linear
@@ -58,7 +58,9 @@ class JobRun:
 
 def select_rows(df: DataFrame, job: RegressionJob, label: str) -> DataFrame:
     """Month filter, fixed recodes and the label, with the key kept."""
-    if job.month is not None:
+    if job.month is not None and "dteday" in df.columns:
+        df = filter_month(df, "dteday", job.month)
+    elif job.month is not None:
         df = df.where(F.col("mnth") == job.month)
     frame = label_first(df, label, job.features, keep=["key"])
     for column, table in job.fixed.items():
@@ -136,5 +138,5 @@ def fit_ols(df: DataFrame, features: Sequence[str], label: str = "label"):
     The normal equations need one pass over the rows.
     """
     prepared = models.preparation(features, None).fit(df)
-    frame = prepared.transform(df)
+    frame = prepared.transform(spread(df.select(*features, label)))
     return prepared, LinearRegression(featuresCol="features", labelCol=label).fit(frame)

@@ -71,6 +71,7 @@ def trips_view(spark: SparkSession, directory: str) -> DataFrame:
     season, yr, mnth, _, holiday, day, working = calendar_columns(F.col("l_shipdate"), BASE_YEAR)
     return lines.select(
         F.col("l_orderkey").alias("key"),
+        F.col("l_shipdate").alias("dteday"),
         season, yr, mnth, F.col("l_linenumber").alias("hr"), holiday, day, working,
         weather.alias("weathersit"),
         F.round(F.col("l_quantity") / 50, 2).alias("temp"),

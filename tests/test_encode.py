@@ -8,6 +8,7 @@ from meanline.operators import encode
 from meanline.operators.metrics import regression_metrics, residuals
 from meanline.operators.split import hash_split, is_train, with_fold
 from meanline.plans import models
+from meanline.sources.storage import new_path
 
 
 def _parts(tiny):
@@ -111,3 +112,13 @@ def test_key_split_share(spark):
     share = spark.range(20_000).select(is_train("id", 0.8, seed=1).cast("int").alias("t")).agg(F.avg("t")).first()[0]
     assert share == pytest.approx(0.8, abs=0.02)
     assert spark.range(100).where(is_train("id")).count() == 80
+
+
+def test_saved_encoder_applies_the_same(spark, tiny):
+    train, test = _parts(tiny)
+    encoding = encode.fit_means(train, ["hr", "hum"], "label")
+    path = new_path(spark, "test-encoder")
+    encoding.save(path)
+    loaded = encode.Encoding.load(spark, path)
+    assert loaded.sizes == encoding.sizes
+    assert sorted(loaded.apply(test).collect()) == sorted(encoding.apply(test).collect())
