@@ -121,11 +121,24 @@ def rank_bins(spark: SparkSession, directory: str) -> DataFrame:
     return table.select(F.col("num_key").alias("q"), F.col("code").alias("bin"))
 
 
-@query("random_split")
+@query(
+    "random_split",
+    "select count(*) as n_rows, count(*) as n_keys, cast(0 as bigint) as n_in_both, true as about_80_percent from orders",
+)
 def random_split(spark: SparkSession, directory: str) -> DataFrame:
-    train, test = split.random_split(read_table(spark, directory, "orders"), [0.8, 0.2], 7000)
-    counts = [p.agg(F.lit(n).alias("part"), F.count(F.lit(1)).alias("n")) for n, p in (("train", train), ("test", test))]
-    return counts[0].unionByName(counts[1])
+    """Every row falls into exactly one part, about four fifths into the first."""
+    orders = read_table(spark, directory, "orders").select("o_orderkey")
+    train, test = split.random_split(orders, [0.8, 0.2], 7000)
+    parts = train.select("o_orderkey", F.lit(1).alias("train")).unionByName(
+        test.select("o_orderkey", F.lit(0).alias("train"))
+    )
+    per_key = parts.groupBy("o_orderkey").agg(F.count(F.lit(1)).alias("n"), F.avg("train").alias("train"))
+    return per_key.agg(
+        F.sum("n").alias("n_rows"),
+        F.count(F.lit(1)).alias("n_keys"),
+        F.count_if(~F.col("train").isin(0.0, 1.0)).alias("n_in_both"),
+        F.avg("train").between(0.75, 0.85).alias("about_80_percent"),
+    )
 
 
 @query("hash_split", "select o_orderkey, o_orderkey % 5 < 4 as train from orders")
@@ -135,10 +148,25 @@ def hash_split(spark: SparkSession, directory: str) -> DataFrame:
     return train.withColumn("train", F.lit(True)).unionByName(test.withColumn("train", F.lit(False)))
 
 
-@query("hash_split_seeded")
+@query(
+    "hash_split_seeded",
+    "select count(*) as n_rows, true as about_80_percent, cast(0 as bigint) as n_moved from orders",
+)
 def hash_split_seeded(spark: SparkSession, directory: str) -> DataFrame:
-    orders = read_table(spark, directory, "orders")
-    return orders.groupBy(split.is_train("o_orderkey", 0.8, 7000).alias("train")).agg(F.count(F.lit(1)).alias("n"))
+    """A seeded split by key, and how many keys change sides when the rows are dealt out anew."""
+    orders = read_table(spark, directory, "orders").select("o_orderkey")
+    side = split.is_train("o_orderkey", 0.8, 7000).cast("int")
+    both = orders.select("o_orderkey", side.alias("train")).unionByName(
+        orders.repartition(7).select("o_orderkey", side.alias("train"))
+    )
+    per_key = both.groupBy("o_orderkey").agg(
+        F.count(F.lit(1)).alias("n"), F.min("train").alias("low"), F.max("train").alias("high")
+    )
+    return per_key.agg(
+        (F.sum("n") / 2).cast("bigint").alias("n_rows"),
+        F.avg("low").between(0.75, 0.85).alias("about_80_percent"),
+        F.count_if(F.col("low") != F.col("high")).alias("n_moved"),
+    )
 
 
 @query("kfold_assign", "select o_orderkey, cast(o_orderkey % 10 as integer) as fold from orders")
