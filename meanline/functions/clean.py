@@ -17,6 +17,16 @@ def fill_empty(column: str | Column, default: str = "0") -> Column:
     return F.coalesce(F.nullif(F.trim(value), F.lit("")), F.lit(default)).cast("double")
 
 
+def cents(column: str | Column) -> Column:
+    """Money as whole cents.
+
+    Sums of integers are exact in any order, cost what sums of doubles cost, and
+    stop the job rather than overflow.
+    """
+    value = F.col(column) if isinstance(column, str) else column
+    return F.floor(value * 100 + 0.5).cast("bigint")
+
+
 def null_nan_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Nulls and NaNs per column, all columns in one pass: (feature, n_null, n_nan)."""
     columns = list(columns or df.columns)

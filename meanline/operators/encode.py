@@ -142,7 +142,7 @@ def _ranked(means: Encoding, digits: int) -> DataFrame:
     return ranked.withColumn("_rn", F.col("_rn") - F.create_map(*starts)[F.col("feature")]).drop("_mean")
 
 
-def fit_ranks(df: DataFrame, columns: Sequence[str], label: str, digits: int = 9) -> Encoding:
+def fit_ranks(df: DataFrame, columns: Sequence[str], label: str, digits: int = 6) -> Encoding:
     """Each value's code is its 0-based position when values are sorted by mean label, then key."""
     means = fit_means(df, columns, label)
     table = _ranked(means, digits).withColumn("code", (F.col("_rn") - 1).cast("double")).drop("_rn")
@@ -150,7 +150,7 @@ def fit_ranks(df: DataFrame, columns: Sequence[str], label: str, digits: int = 9
 
 
 def fit_rank_bins(
-    df: DataFrame, columns: Sequence[str], label: str, width: int = 2, digits: int = 9
+    df: DataFrame, columns: Sequence[str], label: str, width: int = 2, digits: int = 6
 ) -> Encoding:
     """Neighbours by mean label share a bin of ``width`` values; the lowest two bins are one."""
     means = fit_means(df, columns, label)

@@ -6,6 +6,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -14,11 +16,10 @@ BLOCK_BYTES = 32 << 20
 
 
 def centres(df: DataFrame, vector: str, label: str) -> DataFrame:
-    """(query_id, query): the mean vector of every label; sums are kept per (label, slot)."""
-    slots = df.select(F.col(label).alias("query_id"), F.posexplode(vector).alias("_slot", "_x"))
-    means = slots.groupBy("query_id", "_slot").agg(F.avg(F.col("_x").cast("double")).alias("_m"))
-    ordered = F.sort_array(F.collect_list(F.struct("_slot", "_m")))
-    return means.groupBy("query_id").agg(ordered["_m"].alias("query"))
+    """(query_id, query): the mean vector of every label, summed up map-side vector by vector."""
+    vectors = df.select(F.col(label).alias("query_id"), array_to_vector(F.col(vector).cast("array<double>")).alias("_v"))
+    means = vectors.groupBy("query_id").agg(Summarizer.mean(F.col("_v")).alias("_m"))
+    return means.select("query_id", vector_to_array("_m").alias("query"))
 
 
 def nearest(

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from meanline.operators.order import add_ntiles
-from meanline.operators.totals import MONEY
+from meanline.operators.totals import exact_sum
 from meanline.sources.storage import cut
 
 
@@ -22,7 +22,7 @@ def rfm_segments(
         df.groupBy(customer).agg(
             F.date_diff(F.lit(as_of).cast("date"), F.to_date(F.max(date))).alias("recency"),
             F.count(F.lit(1)).alias("frequency"),
-            F.sum(F.col(amount).cast(MONEY)).alias("monetary"),
+            exact_sum(df, amount).alias("monetary"),
         )
     )
     axes = {"recency": "r_tile", "frequency": "f_tile", "monetary": "m_tile"}

@@ -20,15 +20,15 @@ _INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 def mean_by_key(df: DataFrame, key: str | Column, label: str, name: str = "key") -> DataFrame:
     """(key, mean_label, n): map-side partial aggregation, one shuffle of distinct keys.
 
-    With a decimal label the sums are exact, so means (and any order built on
-    them) are the same bits whatever the order of addition.
+    With an integer or decimal label the sums are exact, so means (and any order
+    built on them) are the same bits whatever the order of addition.
     """
     value = F.col(key) if isinstance(key, str) else key
     mean = F.sum(label).cast("double") / F.nullif(F.count(label), F.lit(0))
     return df.groupBy(value.alias(name)).agg(mean.alias("mean_label"), F.count(F.lit(1)).alias("n"))
 
 
-def study_by_mean(df: DataFrame, key: str | Column, label: str, name: str = "key", digits: int = 9) -> DataFrame:
+def study_by_mean(df: DataFrame, key: str | Column, label: str, name: str = "key", digits: int = 6) -> DataFrame:
     """A study in ascending order of mean, ties by key.
 
     Means are compared to ``digits`` places: the last bits of a distributed sum

@@ -3,24 +3,29 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from meanline.functions.clean import cents
+
 MONEY = "decimal(18,2)"
 
 
-def sum_per_user(df: DataFrame, user: str, amount: str, attributes: Sequence[str]) -> DataFrame:
-    """Total per user with descriptive attributes.
+def exact_sum(df: DataFrame, column: str) -> Column:
+    """The sum of an amount as a decimal with two places, exact in any order of addition."""
+    kind, amount = df.schema[column].dataType, F.col(f"`{column}`")
+    if isinstance(kind, (T.FloatType, T.DoubleType)):
+        return F.sum(cents(amount)).cast("decimal(20,0)") * F.lit(Decimal("0.01"))
+    return F.sum(amount if isinstance(kind, T.DecimalType) else amount.cast(MONEY))
 
-    The total is a decimal, so it neither overflows nor depends on the order of
-    addition; each attribute is the smallest one seen for the user.
-    """
-    exact = isinstance(df.schema[amount].dataType, T.DecimalType)
-    money = F.col(amount) if exact else F.col(amount).cast(MONEY)
+
+def sum_per_user(df: DataFrame, user: str, amount: str, attributes: Sequence[str]) -> DataFrame:
+    """Exact total per user with descriptive attributes, each the smallest one seen for the user."""
     return df.groupBy(user).agg(
-        F.sum(money).alias("total"), *[F.min(name).alias(name) for name in attributes]
+        exact_sum(df, amount).alias("total"), *[F.min(name).alias(name) for name in attributes]
     )
 
 
@@ -28,8 +33,8 @@ def daily_rollup(df: DataFrame, ts: str, value: str) -> DataFrame:
     """(day, n, total, mean_value) per date of ``ts``."""
     return df.groupBy(F.to_date(ts).alias("day")).agg(
         F.count(F.lit(1)).alias("n"),
-        F.sum(F.col(value).cast(MONEY)).alias("total"),
-        (F.sum(F.col(value).cast(MONEY)).cast("double") / F.count(value)).alias("mean_value"),
+        exact_sum(df, value).alias("total"),
+        (exact_sum(df, value).cast("double") / F.count(value)).alias("mean_value"),
     )
 
 

@@ -6,11 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meanline.functions.calendar import calendar_columns, weekday
+from meanline.functions.clean import cents
 from meanline.sources.readers import read_table
 
-#: Labels are decimals, so sums of them are exact.
-MONEY = "decimal(18,2)"
-
 #: Age bands, dealt to customers by key.
 AGES = ("0-17", "18-25", "26-35", "36-45", "46-50", "51-55", "55+")
 
@@ -25,7 +23,7 @@ TRIP_FEATURES = (
 
 
 def hourly_view(spark: SparkSession, directory: str) -> DataFrame:
-    """`events` as hourly readings: instant, hr, weekday, workingday, weather, hum, value."""
+    """`events` as hourly readings: instant, hr, weekday, workingday, weather, hum, value_cents."""
     events = read_table(spark, directory, "events")
     ts = F.col("ts")
     return events.select(
@@ -36,7 +34,7 @@ def hourly_view(spark: SparkSession, directory: str) -> DataFrame:
         weekday(ts).between(1, 5).cast("int").alias("workingday"),
         F.col("event_type").alias("weather"),
         (F.get_json_object("props", "$.k").cast("int") / F.lit(100.0)).alias("hum"),
-        F.col("value").cast(MONEY).alias("value"),
+        cents("value").alias("value_cents"),
     )
 
 
@@ -45,7 +43,7 @@ def monthly_view(spark: SparkSession, directory: str) -> DataFrame:
     date = F.col("o_orderdate")
     return read_table(spark, directory, "orders").select(
         "o_orderkey", F.year(date).alias("yr"), F.month(date).alias("mnth"), "o_orderpriority", "o_orderstatus",
-        F.col("o_totalprice").cast(MONEY).alias("o_totalprice"), "o_orderdate",
+        cents("o_totalprice").alias("total_cents"), "o_orderdate",
     )
 
 
@@ -53,7 +51,7 @@ def measures_view(spark: SparkSession, directory: str) -> DataFrame:
     """`lineitem` as keyed readings with the price as label."""
     return read_table(spark, directory, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_quantity", "l_discount", "l_tax", "l_returnflag",
-        F.col("l_extendedprice").cast(MONEY).alias("price"),
+        cents("l_extendedprice").alias("price_cents"),
     )
 
 
