@@ -33,7 +33,10 @@ def _charges(spark: SparkSession, directory: str) -> DataFrame:
     )
 
 
-@query("assemble_features", "select l_quantity as label, l_discount as x0, l_tax as x1, cast(l_linenumber as double) as x2 from lineitem")
+@query(
+    "assemble_features",
+    "select l_quantity as label, l_discount as x0, l_tax as x1, cast(l_linenumber as double) as x2 from lineitem",
+)
 def assemble_features(spark: SparkSession, directory: str) -> DataFrame:
     lines = read_table(spark, directory, "lineitem")
     vectors = models.assembler(["l_discount", "l_tax", "l_linenumber"]).transform(lines)
@@ -313,6 +316,7 @@ JOBS = {
         _NINE, "tree", "default", "rmse", 10, 24,
         fixed={
             "hr": fixed_values.HOUR_RANK, "mnth": fixed_values.MONTH_RANK_FRACTIONAL,
+            "weathersit": fixed_values.WEATHER_CODE,
             "temp": fixed_values.TEMPERATURE_RANK, "atemp": fixed_values.FELT_TEMPERATURE_RANK,
             "hum": fixed_values.HUMIDITY_RANK, "windspeed": fixed_values.WIND_BIN,
         },

@@ -25,6 +25,9 @@ MONTH_RANK_FRACTIONAL = {
     7: 9.0, 8: 10.0, 9: 12.0, 10: 7.0, 11: 5.0, 12: 3.0,
 }
 
+# Weather class -> code, counted from 0.
+WEATHER_CODE = {1: 0.0, 2: 1.0, 3: 2.0, 4: 3.0}
+
 # Temperature / 41 -> position by mean label.
 TEMPERATURE_RANK = {
     0.02: 2.0, 0.04: 1.0, 0.06: 3.0, 0.08: 0.0, 0.1: 4.0, 0.12: 6.0, 0.14: 5.0, 0.16: 8.0, 0.18: 7.0, 0.2: 10.0,

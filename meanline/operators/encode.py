@@ -56,9 +56,9 @@ class Encoding:
         table = spark.read.parquet(path)
         return Encoding(table, _measure(table))
 
-    def overall_mean(self, column: str) -> float:
+    def overall_mean(self, column: str) -> float | None:
         size = self.sizes[column]
-        return size.sum_label / size.n_rows
+        return size.sum_label / size.n_rows if size.n_rows else None
 
     def apply(
         self,
@@ -111,20 +111,23 @@ def lookup_join(df: DataFrame, key: Column, lookup: DataFrame, lookup_key: str,
     return hot.unionByName(rest).drop(lookup_key)
 
 
-def _measure(table: DataFrame) -> dict[str, Size]:
+def _measure(table: DataFrame, columns: Sequence[str] = ()) -> dict[str, Size]:
     rows = table.groupBy("feature").agg(
         F.count(F.lit(1)).alias("n_keys"),
         F.sum("n").alias("n_rows"),
         F.sum("sum_label").alias("sum_label"),
         F.sum(F.coalesce(F.octet_length("text_key"), F.lit(8))).alias("key_bytes"),
     )
-    return {r["feature"]: Size(r["n_keys"], r["n_rows"], r["sum_label"] or 0.0, r["key_bytes"]) for r in rows.collect()}
+    sizes = {column: Size(0, 0, 0.0, 0) for column in columns}
+    for r in rows.collect():  # one row per column
+        sizes[r["feature"]] = Size(r["n_keys"], r["n_rows"], r["sum_label"] or 0.0, r["key_bytes"])
+    return sizes
 
 
 def fit_means(df: DataFrame, columns: Sequence[str], label: str) -> Encoding:
     """Each value's code is the mean label of the rows that have it."""
     table = cut(multi_column_study(df, columns, label).withColumn("code", F.col("mean_label")))
-    return Encoding(table, _measure(table))
+    return Encoding(table, _measure(table, columns))
 
 
 def _ranked(means: Encoding, digits: int) -> DataFrame:

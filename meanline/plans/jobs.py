@@ -138,5 +138,5 @@ def fit_ols(df: DataFrame, features: Sequence[str], label: str = "label"):
     The normal equations need one pass over the rows.
     """
     prepared = models.preparation(features, None).fit(df)
-    frame = prepared.transform(spread(df.select(*features, label)))
-    return prepared, LinearRegression(featuresCol="features", labelCol=label).fit(frame)
+    frame = prepared.transform(df.select(*features, label))
+    return prepared, LinearRegression(featuresCol="features", labelCol=label, solver="normal").fit(frame)

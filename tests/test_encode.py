@@ -122,3 +122,9 @@ def test_saved_encoder_applies_the_same(spark, tiny):
     loaded = encode.Encoding.load(spark, path)
     assert loaded.sizes == encoding.sizes
     assert sorted(loaded.apply(test).collect()) == sorted(encoding.apply(test).collect())
+
+
+def test_encoder_fitted_on_no_rows_gives_the_default(tiny):
+    encoding = encode.fit_means(tiny.where("id < 0"), ["hr"], "label")
+    assert {r["hr"] for r in encoding.apply(tiny, unseen=-1.0).collect()} == {-1.0}
+    assert {r["hr"] for r in encoding.apply(tiny, unseen="mean").collect()} == {None}
