@@ -200,7 +200,7 @@ def _elastic_net(spark: SparkSession, directory: str) -> DataFrame:
 
 @query("elastic_net_cv")
 def elastic_net_cv(spark: SparkSession, directory: str) -> DataFrame:
-    """Grid metrics from one pass over the rows."""
+    """Grid metrics from the moments of each fold, not from a pass per grid point."""
     return _elastic_net(spark, directory)
 
 

@@ -1,10 +1,11 @@
-"""Linear tuning in one pass: rows are replaced by a few that have the same moments.
+"""Linear tuning in two passes: rows are replaced by a few that have the same moments.
 
 A linear least-squares fit, with any elastic-net penalty, and its squared error
 depend on the data only through counts, means and second moments.  One grouped
 aggregation collects these per fold; each fold then becomes 2 (p + 1) weighted
 rows with exactly the same moments, and Spark ML fits those.  A grid of 36
-points over 3 folds reads the data once instead of 216 times.
+points over 3 folds reads the data twice (means to centre on, then moments)
+instead of 216 times.
 """
 
 from __future__ import annotations

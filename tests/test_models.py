@@ -1,4 +1,4 @@
-"""Tuning: the one-pass route, the fold loop and Spark's own cross-validator must agree."""
+"""Tuning: the route by moments, the fold loop and Spark's own cross-validator must agree."""
 
 import numpy as np
 import pytest
@@ -32,7 +32,7 @@ def small_grid(regression):
 
 
 @pytest.mark.parametrize("metric", ["r2", "rmse"])
-def test_one_pass_tuning_equals_tuning_on_the_rows(frame, metric):
+def test_tuning_on_moments_equals_tuning_on_the_rows(frame, metric):
     regression = LinearRegression()
     grid = small_grid(regression)
     spark_cv = CrossValidator(
