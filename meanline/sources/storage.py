@@ -1,8 +1,9 @@
 """Where intermediate results go when a plan has to be cut.
 
 Everything lands in the shared folder that ``spark.checkpoint.dir`` names, so a
-lost executor loses nothing.  Only a local session without that setting gets a
-folder of its own.
+lost executor loses nothing.  Only a single-process local session without that
+setting gets a folder of its own, one for the whole session.  Files stay until
+whoever owns the folder removes them.
 """
 
 from __future__ import annotations
@@ -15,15 +16,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors can reach."""
-    configured = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    configured = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if configured:
         return configured
-    current = spark.sparkContext.getCheckpointDir()
-    if current:
-        return current
-    if not spark.sparkContext.master.startswith("local"):
+    if context.master != "local" and not context.master.startswith("local["):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    return tempfile.mkdtemp(prefix="meanline-")
+    context.setCheckpointDir(tempfile.mkdtemp(prefix="meanline-"))
+    return context.getCheckpointDir()
 
 
 def cut(df: DataFrame) -> DataFrame:
