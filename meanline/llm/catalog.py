@@ -6,12 +6,22 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from meanline.llm import near, quality
+from meanline.llm import mixing, near, pieces_bpe, quality
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
 
+#: The vocabulary of the token queries; a path, so that other models can be put in its place.
+MODEL = "piece_bpe_32k.model"
+
+
+def model_path(name: str = MODEL) -> str:
+    import public_tokenizers
+
+    return str(public_tokenizers.path(name))
+
+
 def query(name: str, sql: str | None = None):
     """Register a query, with its SQL when SQL can express it."""
 
@@ -34,6 +44,18 @@ def op5_minhash_near_dedup(spark: SparkSession, directory: str) -> DataFrame:
     return near.near_duplicates(table(spark, directory, "documents"), shingle_words=3, percent=85)
 
 
+@query("op6_sentencepiece")
+def op6_sentencepiece(spark: SparkSession, directory: str) -> DataFrame:
+    """Digests of every document's token ids and of the text they decode to."""
+    return pieces_bpe.digests(table(spark, directory, "documents"), model_path())
+
+
+@query("op7_source_mixing", mixing.MIX_SQL)
+def op7_source_mixing(spark: SparkSession, directory: str) -> DataFrame:
+    """All documents mixed so that sources weigh 1, 2, 3 and so on in turn."""
+    return mixing.mix(table(spark, directory, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
 @query("op8_quality_rules")
 def op8_quality_rules(spark: SparkSession, directory: str) -> DataFrame:
     """Counts and verdict of every document under a decision list learned from the labels."""

@@ -249,7 +249,8 @@ def fit(documents: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS,
         labels.where("quality is not null and doc_id is not null").select("doc_id", "quality")
         .orderBy(*order).limit(sample_rows)
     )
-    counted = text_statistics(documents.select("doc_id", "text").join(chosen, "doc_id"))
+    # the sample's bound is what makes the broadcast safe
+    counted = text_statistics(documents.select("doc_id", "text").join(F.broadcast(chosen), "doc_id"))
     rows = (
         counted.select("doc_id", "quality", *(F.expr(sql).alias(name) for name, sql in FEATURES.items()))
         .orderBy(*order, *FEATURES).limit(sample_rows).collect()
