@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from meanline.llm import mixing, near, pieces_bpe, quality
+from meanline.llm import mixing, near, pieces_bpe, quality, sharding, warc
+from meanline.sources.storage import new_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -38,6 +40,25 @@ def table(spark: SparkSession, directory: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{directory}/{name}.parquet")
 
 
+WARC_SQL = """
+with p as (select page_id, coalesce(html, '') as html, encode(coalesce(html, '')) as payload from pages),
+d as (select page_id, octet_length(payload)::bigint as payload_bytes, sha1(payload) as payload_digest,
+  max(page_id) over (partition by html) as holder from p)
+select page_id, payload_bytes, payload_digest,
+  case when payload_bytes < 1000 or page_id is not distinct from holder then 'response' else 'revisit' end as record_type,
+  case when payload_bytes >= 1000 and page_id is distinct from holder then holder end as refers_to
+from d
+"""
+
+
+@query("op4_warc_seekable_zstd", WARC_SQL)
+def op4_warc_seekable_zstd(spark: SparkSession, directory: str) -> DataFrame:
+    """All pages written as WARC records into seekable bundles and read back."""
+    folder = new_path(spark, "warc")
+    warc.write_archive(table(spark, directory, "pages"), folder)
+    return warc.read_archive(spark, folder)
+
+
 @query("op5_minhash_near_dedup")
 def op5_minhash_near_dedup(spark: SparkSession, directory: str) -> DataFrame:
     """Near-duplicate groups of all documents on three-word shingles at 85 %."""
@@ -64,3 +85,12 @@ def op8_quality_rules(spark: SparkSession, directory: str) -> DataFrame:
     return quality.judge(documents, rules).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "rule", "kept"
     )
+
+
+@query("op10_best_fit_sharding")
+def op10_best_fit_sharding(spark: SparkSession, directory: str) -> DataFrame:
+    """All documents in 24 shards of near equal bytes, equal texts together."""
+    return sharding.assign(table(spark, directory, "documents")).select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
