@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meanline.llm import mixing, near, pieces_bpe, quality, sharding, warc
+from meanline.llm import mixing, near, neighbours, pieces_bpe, quality, sharding, warc
 from meanline.sources.storage import new_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -87,6 +87,12 @@ def op8_quality_rules(spark: SparkSession, directory: str) -> DataFrame:
     )
 
 
+@query("op9_cross_polytope_neighbours")
+def op9_cross_polytope_neighbours(spark: SparkSession, directory: str) -> DataFrame:
+    """The ten nearest rows found for every hundredth vector."""
+    return neighbours.nearest(table(spark, directory, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 @query("op10_best_fit_sharding")
 def op10_best_fit_sharding(spark: SparkSession, directory: str) -> DataFrame:
     """All documents in 24 shards of near equal bytes, equal texts together."""
