@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meanline.llm import mixing, near, neighbours, pieces_bpe, quality, sharding, warc
+from meanline.llm import mixing, near, neighbours, passages, pieces_bpe, quality, sharding, warc
 from meanline.sources.storage import new_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -40,6 +40,12 @@ def table(spark: SparkSession, directory: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{directory}/{name}.parquet")
 
 
+@query("op3_suffix_array_dedup")
+def op3_suffix_array_dedup(spark: SparkSession, directory: str) -> DataFrame:
+    """What is left of every document without the 100-byte strings that start earlier in the corpus."""
+    return passages.summarize(table(spark, directory, "documents"))
+
+
 WARC_SQL = """
 with p as (select page_id, coalesce(html, '') as html, encode(coalesce(html, '')) as payload from pages),
 d as (select page_id, octet_length(payload)::bigint as payload_bytes, sha1(payload) as payload_digest,
