@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meanline.llm import mixing, near, neighbours, passages, pieces_bpe, quality, sharding, warc
+from meanline.llm import licences, mixing, near, neighbours, passages, pieces_bpe, quality, sharding, warc
 from meanline.sources.storage import new_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -40,6 +40,14 @@ def table(spark: SparkSession, directory: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{directory}/{name}.parquet")
 
 
+@query("op2_licence_scan", licences.scan_sql())
+def op2_licence_scan(spark: SparkSession, directory: str) -> DataFrame:
+    """Licence phrases and notices of all documents."""
+    return licences.scan(table(spark, directory, "documents")).select(
+        "doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score"
+    )
+
+
 @query("op3_suffix_array_dedup")
 def op3_suffix_array_dedup(spark: SparkSession, directory: str) -> DataFrame:
     """What is left of every document without the 100-byte strings that start earlier in the corpus."""
