@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meanline.llm import licences, mixing, near, neighbours, passages, pieces_bpe, quality, sharding, warc
+from meanline.llm import html, licences, mixing, near, neighbours, passages, pieces_bpe, quality, sharding, warc
 from meanline.sources.storage import new_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -40,6 +40,13 @@ def table(spark: SparkSession, directory: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{directory}/{name}.parquet")
 
 
+@query("op1_html_extraction")
+def op1_html_extraction(spark: SparkSession, directory: str) -> DataFrame:
+    """Visible text of all pages."""
+    pages = table(spark, directory, "pages").select("page_id", "html")
+    return html.extract(pages).withColumn("n_chars", F.length("text").cast("bigint"))
+
+
 @query("op2_licence_scan", licences.scan_sql())
 def op2_licence_scan(spark: SparkSession, directory: str) -> DataFrame:
     """Licence phrases and notices of all documents."""
