@@ -8,7 +8,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from meanline.llm import near, quality
+from meanline.llm import mixing, near, passages, pieces_bpe, quality
+from meanline.llm.catalog import model_path
 from meanline.sources.storage import shared_table
 
 
@@ -20,13 +21,32 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group linked on five-word shingles at 80 %."""
-    kept = near.near_duplicates(docs).where("kept").select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*docs.columns)
+    kept = near.near_duplicates(docs).where("kept and doc_id is not null").select("doc_id").distinct()
+    named = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*docs.columns)
+    return named.unionByName(docs.where("doc_id is null"))
+
+
+def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents without the passages of 100 bytes and more that stand earlier in the corpus."""
+    return passages.remove_repeats(docs)
+
+
+def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix takes them; the sources weigh 1, 2, 3 and so on in turn."""
+    return mixing.mixed(docs)
+
+
+def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id and digests of the token ids of every row and of the text they decode to."""
+    return pieces_bpe.digests(docs, model_path())
 
 
 STAGES = [
     ("quality_rules", quality_rules),
     ("near_duplicates", near_duplicates),
+    ("repeated_passages", repeated_passages),
+    ("source_mix", source_mix),
+    ("token_ids", token_ids),
 ]
 #: The learned rules and the signatures are not expressible in SQL; tests hold run() against brute force.
 ORACLE_SQL = None

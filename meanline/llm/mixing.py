@@ -71,17 +71,20 @@ def source_targets(sources: DataFrame, weights: Sequence[int], share: float, rep
 
 
 def mix(
-    documents: DataFrame, *, weights: Sequence[int] = (1, 2, 3), share: float = 1.0, repeats: int = 3
+    documents: DataFrame, *, weights: Sequence[int] = (1, 2, 3), share: float = 1.0, repeats: int = 3,
+    carry: bool = False,
 ) -> DataFrame:
     """doc_id, source, size, source_size, target and ``taken`` for every row of ``documents``.
 
+    With ``carry`` also ``row``, the row itself.
+
     ``size`` counts words, ``taken`` the words the mix takes of the row: its size times 0 to ``repeats``.
     Weights go to the sources in order of their names, again from the start when they run out.
     """
     sized = shared_table(
         documents.select(
             "doc_id", "source", F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("bigint").alias("size"),
-            shuffled_place().alias("place"),
+            shuffled_place().alias("place"), *([F.struct(*documents.columns).alias("row")] if carry else []),
         ),
         "sized",
     )
@@ -117,7 +120,15 @@ def mix(
         place = F.struct(finish(turn).alias("f"), F.col("rank").alias("r"), F.col("place").alias("p"),
                          F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("d"))
         taken = taken + F.when((F.col("target") > 0) & (place <= cut), F.col("size")).otherwise(F.lit(0).cast("bigint"))
-    return queued.select("doc_id", "source", "size", "source_size", "target", taken.alias("taken"))
+    return queued.select(
+        "doc_id", "source", "size", "source_size", "target", taken.alias("taken"), *(["row"] if carry else [])
+    )
+
+
+def mixed(documents: DataFrame, **options) -> DataFrame:
+    """The rows of ``documents`` that the mix takes, each as often as it is taken."""
+    turns = F.sequence(F.lit(1), (F.col("taken") / F.col("size")).cast("int"))
+    return mix(documents, carry=True, **options).where("taken > 0").select("row", F.explode(turns)).select("row.*")
 
 
 def _cut(queued: DataFrame, finish, budget: int, buckets: int, repeats: int) -> Column:
