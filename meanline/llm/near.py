@@ -7,8 +7,8 @@
    read batch by batch of signature values; as soon as the posterior probability that its similarity
    reaches the threshold falls below ``miss`` it is dropped.  Survivors are compared on their full sets.
 4. Buckets whose nodes are still in different components compare all pairs across components, in
-   blocks inside tasks, by the same two tests; one link for each two components leaves a task.  So no
-   link is lost to the star, and pairs of a large group of copies are never written out.
+   blocks inside tasks, by the same test with a longer signature; survivors are compared on their full
+   sets.  So no link is lost to the star, and pairs of a large group of copies are never written out.
 
 Signature length follows from the threshold: enough bands that a pair at the threshold shares none with
 probability ``miss`` at most.
@@ -31,6 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from meanline.llm.components import components
+from meanline.llm.filters import maybe_in
 from meanline.llm.text import LOWER_BYTE, Ranges, mix, pieces, runs, shingles
 from meanline.sources.storage import shared_table
 
@@ -39,7 +40,9 @@ MISS = 1e-6
 #: Signature values compared before each decision.
 BATCH = 20
 #: Nodes of a bucket that one task compares with as many others.
-BLOCK = 512
+BLOCK = 2048
+#: One-byte signature values that the pairs left over are compared by.
+SKETCH = 1024
 #: The low bits of a bucket's key number its band.
 _BAND_BITS = 6
 
@@ -175,23 +178,36 @@ def _plausible(pairs: DataFrame, nodes: DataFrame, decisions: list[tuple[int, in
     return held.select("a", "b", "sa", "sb").mapInArrow(test, pairs.select("a", "b").schema)
 
 
-def _sets(wanted: DataFrame, documents: DataFrame, width: int) -> DataFrame:
-    """(node, members): the sorted shingle hashes of every node of ``wanted``."""
+def _sets(wanted: DataFrame, documents: DataFrame, width: int, sketch: int = 0) -> DataFrame:
+    """(node, members): the sorted shingle hashes of every node of ``wanted``.
+
+    With ``sketch`` also that many more signature values of one byte each.
+    """
     kind = documents.schema["doc_id"].dataType.simpleString()
+    factors = mix(np.arange(1, sketch + 1, dtype=np.uint64) << np.uint64(20)).astype(np.uint32) | np.uint32(1)
+    masks = (mix(np.arange(1, sketch + 1, dtype=np.uint64) << np.uint64(20)) >> np.uint64(32)).astype(np.uint32)
+
+    def bytes_of(members: np.ndarray) -> bytes:
+        short = (members >> np.uint64(32)).astype(np.uint32)
+        values = np.full(sketch, 0xFFFFFFFF, np.uint32)
+        for at in range(0, len(short), 256):
+            part = short[at : at + 256]
+            np.minimum(values, ((part[None, :] ^ masks[:, None]) * factors[:, None]).min(1), out=values)
+        return (mix(values.astype(np.uint64)) & np.uint64(255)).astype(np.uint8).tobytes()
 
     def collect_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in pieces(batches):
             with np.errstate(over="ignore"):
                 sets = _document_sets(texts, width)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array([s.tobytes() for s in sets], pa.binary())], names=["node", "members"]
-            )
+                columns = [batch.column("doc_id"), pa.array([s.tobytes() for s in sets], pa.binary())]
+                if sketch:
+                    columns.append(pa.array([bytes_of(s) for s in sets], pa.binary()))
+            yield pa.RecordBatch.from_arrays(columns, names=["node", "members", "sketch"][: len(columns)])
 
-    return shared_table(
-        documents.select("doc_id", "text").join(wanted.toDF("doc_id"), "doc_id", "left_semi")
-        .mapInArrow(collect_sets, f"node {kind}, members binary"),
-        "sets",
+    found = maybe_in(documents.select("doc_id", "text"), wanted.toDF("doc_id"), "doc_id").mapInArrow(
+        collect_sets, f"node {kind}, members binary" + (", sketch binary" if sketch else "")
     )
+    return shared_table(found.join(wanted.toDF("node"), "node", "left_semi"), "sets")
 
 
 def _similar(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
@@ -202,9 +218,12 @@ def _similar(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
     return 100 * common >= percent * (len(both) - common) > 0
 
 
-def _linked(pairs: DataFrame, documents: DataFrame, width: int, percent: int) -> DataFrame:
+def _linked(
+    pairs: DataFrame, documents: DataFrame, width: int, percent: int, sets: DataFrame | None = None
+) -> DataFrame:
     """The pairs (a, b) whose full shingle sets reach the threshold."""
-    sets = _sets(pairs.select("a").union(pairs.select("b")).distinct(), documents, width)
+    if sets is None:
+        sets = _sets(pairs.select("a").union(pairs.select("b")).distinct(), documents, width)
     held = pairs.join(sets.select(F.col("node").alias("a"), F.col("members").alias("ma")), "a").join(
         sets.select(F.col("node").alias("b"), F.col("members").alias("mb")), "b"
     )
@@ -221,28 +240,22 @@ def _linked(pairs: DataFrame, documents: DataFrame, width: int, percent: int) ->
 
 
 def _across(
-    members: DataFrame, nodes: DataFrame, documents: DataFrame, decisions: list[tuple[int, int]], rows: int, width: int,
-    percent: int,
+    members: DataFrame, nodes: DataFrame, sets: DataFrame, decisions: list[tuple[int, int]],
+    finer: list[tuple[int, int]], rows: int,
 ) -> DataFrame:
-    """Links (a, b) within one bucket that join different components, one for each two components of a block.
+    """Plausible pairs (a, b) of one bucket that lie in different components.
 
-    ``members`` holds (key, node, component).  All nodes outside a bucket's largest component meet all
-    nodes of the bucket, block by block; a task holds two blocks at a time.  A pair is looked at in the
-    first band it shares.
+    ``members`` holds (key, node, component, main, all, most) of the buckets with several components.  All
+    nodes outside a bucket's largest component meet all nodes of the bucket, block by block; a task holds
+    two blocks at a time.  A pair is looked at in the first band it shares, first by its signature, then
+    by the longer one-byte signature.
     """
-    sizes = members.groupBy("key", "component").agg(F.count(F.lit(1)).alias("n"))
-    shape = sizes.groupBy("key").agg(
-        F.max(F.struct("n", "component")).getField("component").alias("main"), F.sum("n").alias("all"),
-        F.max("n").alias("most"), F.count(F.lit(1)).alias("parts"),
-    ).where("parts > 1")
-    mixed = shared_table(members.join(shape, "key"), "mixed-buckets")
-    sets = _sets(mixed.select("node").distinct(), documents, width)
-    held = mixed.join(nodes.select("node", "signature").join(sets, "node"), "node")
+    held = members.join(nodes.select("node", "signature").join(sets.select("node", "sketch"), "node"), "node")
     block = lambda n: F.greatest(F.lit(1), F.ceil(n / F.lit(BLOCK)).cast("int"))
     few, many = block(F.col("all") - F.col("most")), block(F.col("all"))
     spread = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
     place = F.pmod(F.xxhash64("node"), F.lit(1 << 30))
-    columns = ("key", "node", "component", "signature", "members")
+    columns = ("key", "node", "component", "signature", "sketch")
     minor = held.where("component != main").select(
         *columns, F.pmod(place, few).cast("int").alias("i"), spread(many).alias("j")
     )
@@ -254,14 +267,14 @@ def _across(
     def meet(left: pa.Table, right: pa.Table) -> pa.Table:
         right = right.rename_columns([c.removeprefix("with_") for c in right.column_names])
         kind, length = left.schema.field("node").type, decisions[-1][0]
-        a, b, joined = [], [], set()
+        a, b = [], []
         if left.num_rows and right.num_rows:
             band = left.column("key")[0].as_py() & ((1 << _BAND_BITS) - 1)
-            (nx, cx, sx, mx), (ny, cy, sy, my) = (
+            (nx, cx, sx, lx), (ny, cy, sy, ly) = (
                 (
                     t.column("node").to_pylist(), np.asarray(t.column("component").to_pylist()),
                     np.frombuffer(b"".join(t.column("signature").to_pylist()), np.uint32).reshape(t.num_rows, length),
-                    t.column("members").to_pylist(),
+                    np.frombuffer(b"".join(t.column("sketch").to_pylist()), np.uint8).reshape(t.num_rows, -1),
                 )
                 for t in (left, right)
             )
@@ -269,18 +282,16 @@ def _across(
                 others = np.flatnonzero(cy != cx[i])
                 found = others[_agree(np.broadcast_to(sx[i], (len(others), length)), sy[others], decisions)]
                 shared = (sy[found] == sx[i]).reshape(len(found), length // rows, rows).all(2)
-                for j in found[shared.argmax(1) == band].tolist():
-                    two = (cx[i], cy[j]) if cx[i] < cy[j] else (cy[j], cx[i])
-                    if two not in joined and _similar(*(np.frombuffer(m, np.uint64) for m in (mx[i], my[j])), percent):
-                        joined.add(two)
-                        a.append(nx[i])
-                        b.append(ny[j])
+                found = found[shared.argmax(1) == band]
+                for j in found[_agree(np.broadcast_to(lx[i], (len(found), lx.shape[1])), ly[found], finer)].tolist():
+                    a.append(min(nx[i], ny[j]))
+                    b.append(max(nx[i], ny[j]))
         return pa.table({"a": pa.array(a, kind), "b": pa.array(b, kind)})
 
     kind = nodes.schema["node"].dataType.simpleString()
     return minor.groupBy("key", "i", "j").cogroup(every.groupBy("with_key", "with_i", "with_j")).applyInArrow(
         meet, f"a {kind}, b {kind}"
-    )
+    ).distinct()
 
 
 def near_duplicates(
@@ -330,8 +341,17 @@ def near_duplicates(
     placed = buckets.join(first, "node", "left").select(
         "key", "node", F.coalesce("component", "node").alias("component")
     )
-    rest = _across(placed, nodes, documents, decisions, band_rows, shingle_words, percent)
-    links = links.unionByName(shared_table(rest, "across"))
+    sizes = placed.groupBy("key", "component").agg(F.count(F.lit(1)).alias("n"))
+    shape = sizes.groupBy("key").agg(
+        F.max(F.struct("n", "component")).getField("component").alias("main"), F.sum("n").alias("all"),
+        F.max("n").alias("most"), F.count(F.lit(1)).alias("parts"),
+    ).where("parts > 1")
+    mixed = shared_table(placed.join(shape, "key"), "mixed-buckets")
+    sets = _sets(mixed.select("node").distinct(), documents, shingle_words, SKETCH)
+    finer = least_matches(percent, SKETCH, miss, SKETCH // 8)
+    rest = _across(mixed, nodes, sets, decisions, finer, band_rows).join(plausible, ["a", "b"], "left_anti")
+    rest = shared_table(rest, "across")
+    links = links.unionByName(shared_table(_linked(rest, documents, shingle_words, percent, sets), "links"))
     # documents of one set, and rows of one document with several sets, belong together as well
     same = member.where("doc_id != node").select(F.col("node").alias("a"), F.col("doc_id").alias("b"))
     found = components(links.unionByName(same))
