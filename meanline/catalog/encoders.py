@@ -6,15 +6,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meanline.catalog.registry import query
-from meanline.functions.clean import cents
+from meanline.functions.clean import exact
 from meanline.operators import encode, split
 from meanline.operators.metrics import regression_metrics
 from meanline.sources.readers import read_table
-from meanline.sources.views import hourly_view, measures_view
+from meanline.sources.views import charged, hourly_view, measures_view
+
+
+_CHARGED_SQL = """cast(l_extendedprice as decimal(12,2)) * (1 - cast(l_discount as decimal(4,2)))
+    * (1 + cast(l_tax as decimal(4,2)))"""
 
 
 def _mean(label: str) -> str:
-    return f"cast(sum(cast(floor({label} * 100 + 0.5) as bigint)) as double) / count(*)"
+    return f"cast(sum(cast({label} as decimal(18,2))) as double) / count(*)"
 
 
 @query(
@@ -30,7 +34,7 @@ def _mean(label: str) -> str:
 )
 def target_encode_apply(spark: SparkSession, directory: str) -> DataFrame:
     rows = hourly_view(spark, directory)
-    encoding = encode.fit_means(rows.where("hr <> 7"), ["hr", "weather", "hum"], "value_cents")
+    encoding = encode.fit_means(rows.where("hr <> 7"), ["hr", "weather", "hum"], "value")
     encoded = encoding.apply(rows, {"hr": "hr_mean", "weather": "weather_mean", "hum": "hum_mean"})
     return encoded.select(F.col("instant").alias("event_id"), "hr_mean", "weather_mean", "hum_mean")
 
@@ -47,7 +51,7 @@ def target_encode_apply(spark: SparkSession, directory: str) -> DataFrame:
 def target_encode_train_test(spark: SparkSession, directory: str) -> DataFrame:
     rows = measures_view(spark, directory).withColumn("train", split.is_train("l_orderkey"))
     fitted_on = rows.where(F.col("train") & (F.col("l_quantity") != 7))
-    encoding = encode.fit_means(fitted_on, ["l_quantity", "l_discount"], "price_cents")
+    encoding = encode.fit_means(fitted_on, ["l_quantity", "l_discount"], "price")
     encoded = encoding.apply(rows, {"l_quantity": "quantity_mean", "l_discount": "discount_mean"})
     return encoded.select("l_orderkey", "l_linenumber", "train", "quantity_mean", "discount_mean")
 
@@ -63,16 +67,38 @@ def target_encode_train_test(spark: SparkSession, directory: str) -> DataFrame:
 )
 def target_encode_large_key(spark: SparkSession, directory: str) -> DataFrame:
     rows = read_table(spark, directory, "lineitem").select(
-        "l_orderkey", "l_linenumber", "l_partkey", cents("l_extendedprice").alias("price_cents")
+        "l_orderkey", "l_linenumber", "l_partkey", exact("l_extendedprice", 2).alias("price")
     )
     train, test = split.hash_split(rows, "l_orderkey")
-    encoding = encode.fit_means(train, ["l_partkey"], "price_cents")
+    encoding = encode.fit_means(train, ["l_partkey"], "price")
     encoded = encoding.apply(test, {"l_partkey": "part_mean"}, unseen="mean", broadcast_rows=0)
     return encoded.select("l_orderkey", "l_linenumber", "part_mean")
 
 
+@query(
+    "target_encode_many_large_keys",
+    f"""with d as (select l_orderkey, l_linenumber, l_partkey as p, l_suppkey as s, l_quantity as q, {_CHARGED_SQL} as y,
+                     l_orderkey % 5 < 4 as train from lineitem),
+          a as (select p, cast(sum(y) as double) / count(*) as m from d where train group by p),
+          b as (select s, cast(sum(y) as double) / count(*) as m from d where train group by s),
+          c as (select q, cast(sum(y) as double) / count(*) as m from d where train group by q)
+        select l_orderkey, l_linenumber, coalesce(a.m, 0) as part_mean, coalesce(b.m, 0) as supplier_mean,
+          coalesce(c.m, 0) as quantity_mean
+        from d left join a on d.p = a.p left join b on d.s = b.s left join c on d.q = c.q""",
+)
+def target_encode_many_large_keys(spark: SparkSession, directory: str) -> DataFrame:
+    """Three columns by shuffle joins; the label has six decimals."""
+    rows = read_table(spark, directory, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", charged().alias("charged")
+    )
+    columns = {"l_partkey": "part_mean", "l_suppkey": "supplier_mean", "l_quantity": "quantity_mean"}
+    encoding = encode.fit_means(rows.where(split.is_train("l_orderkey")), list(columns), "charged")
+    encoded = encoding.apply(rows, columns, broadcast_rows=0)
+    return encoded.select("l_orderkey", "l_linenumber", *columns.values())
+
+
 _HOUR_RANKS = f"""e as (select hour(ts) as hr, {_mean("value")} as m from events where hour(ts) <> 7 group by 1),
-    r as (select hr, cast(row_number() over (order by round(m, 6), hr) - 1 as double) as code from e)"""
+    r as (select hr, cast(row_number() over (order by m, hr) - 1 as double) as code from e)"""
 
 
 @query(
@@ -81,7 +107,7 @@ _HOUR_RANKS = f"""e as (select hour(ts) as hr, {_mean("value")} as m from events
 )
 def rank_encode_fit(spark: SparkSession, directory: str) -> DataFrame:
     rows = hourly_view(spark, directory).where("hr <> 7")
-    table = encode.fit_ranks(rows, ["hr"], "value_cents").table
+    table = encode.fit_ranks(rows, ["hr"], "value").table
     return table.select(F.col("int_key").alias("hr"), "code")
 
 
@@ -92,20 +118,20 @@ def rank_encode_fit(spark: SparkSession, directory: str) -> DataFrame:
 )
 def rank_encode_apply(spark: SparkSession, directory: str) -> DataFrame:
     rows = hourly_view(spark, directory)
-    encoding = encode.fit_ranks(rows.where("hr <> 7"), ["hr"], "value_cents")
+    encoding = encode.fit_ranks(rows.where("hr <> 7"), ["hr"], "value")
     return encoding.apply(rows, {"hr": "hr_rank"}).select(F.col("instant").alias("event_id"), "hr_rank")
 
 
 @query(
     "rank_encode_default",
     f"""with e as (select event_type as w, {_mean("value")} as m from events where event_type <> 'signup' group by 1),
-          r as (select w, row_number() over (order by round(m, 6), w) - 1 as code from e)
+          r as (select w, row_number() over (order by m, w) - 1 as code from e)
         select event_id, cast(least(coalesce(code, 3), 3) as double) as weather_slot
         from events left join r on event_type = w""",
 )
 def rank_encode_default(spark: SparkSession, directory: str) -> DataFrame:
     rows = hourly_view(spark, directory)
-    encoding = encode.fit_ranks(rows.where("weather <> 'signup'"), ["weather"], "value_cents")
+    encoding = encode.fit_ranks(rows.where("weather <> 'signup'"), ["weather"], "value")
     encoded = encoding.apply(rows, {"weather": "weather_slot"}, unseen=3.0)
     slot = F.least("weather_slot", F.lit(3.0)).alias("weather_slot")
     return encoded.select(F.col("instant").alias("event_id"), slot)
@@ -114,11 +140,11 @@ def rank_encode_default(spark: SparkSession, directory: str) -> DataFrame:
 @query(
     "rank_bins",
     f"""with e as (select l_quantity as q, {_mean("l_extendedprice")} as m from lineitem group by 1)
-        select q, cast(greatest(1, floor((row_number() over (order by round(m, 6), q) - 1) / 2)) as double) as bin
+        select q, cast(greatest(1, floor((row_number() over (order by m, q) - 1) / 2)) as double) as bin
         from e""",
 )
 def rank_bins(spark: SparkSession, directory: str) -> DataFrame:
-    table = encode.fit_rank_bins(measures_view(spark, directory), ["l_quantity"], "price_cents").table
+    table = encode.fit_rank_bins(measures_view(spark, directory), ["l_quantity"], "price").table
     return table.select(F.col("num_key").alias("q"), F.col("code").alias("bin"))
 
 
@@ -177,7 +203,7 @@ def kfold_assign(spark: SparkSession, directory: str) -> DataFrame:
 
 @query(
     "kfold_cv_mean_model",
-    """with d as (select l_orderkey % 3 as fold, l_quantity as q, cast(floor(l_extendedprice * 100 + 0.5) as bigint) as y
+    """with d as (select l_orderkey % 3 as fold, l_quantity as q, cast(l_extendedprice as decimal(18,2)) as y
                   from lineitem),
           k as (select fold, q, sum(y) as s, count(*) as n from d group by fold, q),
           t as (select q, sum(y) as s, count(*) as n from d group by q),
@@ -189,8 +215,8 @@ def kfold_assign(spark: SparkSession, directory: str) -> DataFrame:
 )
 def kfold_cv_mean_model(spark: SparkSession, directory: str) -> DataFrame:
     rows = split.with_fold(measures_view(spark, directory), "l_orderkey", 3)
-    predicted = encode.held_out_means(rows, "l_quantity", "price_cents", "fold", "prediction")
-    scored = predicted.select("fold", F.col("price_cents").cast("double").alias("label"), "prediction")
+    predicted = encode.held_out_means(rows, "l_quantity", "price", "fold", "prediction")
+    scored = predicted.select("fold", F.col("price").cast("double").alias("label"), "prediction")
     metrics = regression_metrics(scored, by=["fold"])
     return metrics.select("fold", "n", F.round("rmse", 3).alias("rmse"), F.round("r2", 9).alias("r2"))
 
@@ -199,12 +225,12 @@ def kfold_cv_mean_model(spark: SparkSession, directory: str) -> DataFrame:
     "rmse_r2_eval",
     f"""with d as (select l_quantity as q, l_extendedprice as y, l_orderkey % 5 < 4 as train from lineitem),
           e as (select q, {_mean("y")} as p from d where train group by q),
-          s as (select floor(y * 100 + 0.5) as y, coalesce(p, 0) as p from d left join e on d.q = e.q where not train)
+          s as (select y, coalesce(p, 0) as p from d left join e on d.q = e.q where not train)
         select count(*) as n, round(sqrt(avg((y - p) * (y - p))), 3) as rmse,
                round(1 - sum((y - p) * (y - p)) / (var_pop(y) * count(*)), 9) as r2 from s""",
 )
 def rmse_r2_eval(spark: SparkSession, directory: str) -> DataFrame:
     train, test = split.hash_split(measures_view(spark, directory), "l_orderkey")
-    scored = encode.fit_means(train, ["l_quantity"], "price_cents").apply(test, {"l_quantity": "prediction"})
-    metrics = regression_metrics(scored.select(F.col("price_cents").cast("double").alias("label"), "prediction"))
+    scored = encode.fit_means(train, ["l_quantity"], "price").apply(test, {"l_quantity": "prediction"})
+    metrics = regression_metrics(scored.select(F.col("price").cast("double").alias("label"), "prediction"))
     return metrics.select("n", F.round("rmse", 3).alias("rmse"), F.round("r2", 9).alias("r2"))

@@ -250,14 +250,16 @@ def cv_best_row(spark: SparkSession, directory: str) -> DataFrame:
 
 @query("cv_metrics_table")
 def cv_metrics_table(spark: SparkSession, directory: str) -> DataFrame:
-    """Grid metrics from Spark's own cross-validator over the rows themselves."""
+    """Grid metrics of cross-validation over the rows themselves."""
     rows = with_fold(spread(_charges(spark, directory)), "l_orderkey", 3)
     vectors = models.assembler(["price", "l_discount"], "features").transform(rows)
     ready = vectors.select("features", "label", "fold").persist()
     regression = LinearRegression()
     grid = models.ridge_grid(regression)
-    tuned = models.cross_validate(ready, regression, grid, "r2", 3)
-    ready.unpersist()
+    try:
+        tuned = models.cross_validate(ready, regression, grid, "r2", 3)
+    finally:
+        ready.unpersist()
     return models.metrics_table(spark, grid, tuned.avgMetrics, tuned.stdMetrics)
 
 
@@ -268,9 +270,11 @@ def tree_cv(spark: SparkSession, directory: str) -> DataFrame:
     prepared = models.preparation(TRIP_FEATURES, 24).fit(rows)
     ready = prepared.transform(rows).select("features", "label", "fold").persist()
     grid = models.default_grid()
-    tuned = models.cross_validate(ready, models.tree(), grid, "rmse", 3)
-    ready.unpersist()
-    rows.unpersist()
+    try:
+        tuned = models.cross_validate(ready, models.tree(), grid, "rmse", 3)
+    finally:
+        ready.unpersist()
+        rows.unpersist()
     return models.metrics_table(spark, grid, tuned.avgMetrics, tuned.stdMetrics)
 
 
@@ -290,6 +294,9 @@ def train_validation_split(spark: SparkSession, directory: str) -> DataFrame:
 _MEANS = ("hr", "weathersit", "temp", "atemp", "hum", "windspeed")
 _NINE = ("yr", "mnth", "hr", "workingday", "weathersit", "temp", "atemp", "hum", "windspeed")
 _EIGHT = tuple(c for c in _NINE if c != "mnth")
+_WHOLE_YEAR = tuple(c for c in _NINE if c != "temp")
+_WITHOUT_TEMPERATURES = tuple(c for c in _NINE if c not in ("temp", "atemp"))
+_YEAR_MEANS = ("mnth", "hr", "weathersit", "atemp", "hum", "windspeed")
 _SEVEN = ("yr", "hr", "workingday", "weathersit", "atemp", "hum", "windspeed")
 
 #: The composite jobs by name.
@@ -306,11 +313,11 @@ JOBS = {
         _SEVEN, "linear", "half", "r2", 3, 2, month=6, means=("hr", "weathersit", "atemp", "hum", "windspeed")
     ),
     "job_linear_year_means": jobs.RegressionJob(
-        _EIGHT, "linear", "half", "r2", 3, 13, means=("hr", "weathersit", "temp", "atemp", "hum", "windspeed")
+        _WHOLE_YEAR, "linear", "half", "r2", 3, 13, means=_YEAR_MEANS
     ),
     "job_tree_raw": jobs.RegressionJob(TRIP_FEATURES, "tree", "default", "r2", 3, 24),
     "job_tree_means": jobs.RegressionJob(
-        _NINE, "tree", "default", "rmse", 3, 24, means=("mnth", "hr", "weathersit", "hum", "windspeed")
+        _WITHOUT_TEMPERATURES, "tree", "default", "rmse", 3, 24, means=("mnth", "hr", "weathersit", "hum", "windspeed")
     ),
     "job_tree_fixed_tables": jobs.RegressionJob(
         _NINE, "tree", "default", "rmse", 10, 24,
@@ -327,7 +334,7 @@ JOBS = {
     "job_tree_month_hour_rank": jobs.RegressionJob(
         _NINE, "tree", "default", "rmse", 10, month=5, fixed={"hr": fixed_values.HOUR_RANK}
     ),
-    "job_tree_year_means": jobs.RegressionJob(_EIGHT, "tree", "default", "rmse", 10, 2, means=_MEANS),
+    "job_tree_year_means": jobs.RegressionJob(_WHOLE_YEAR, "tree", "default", "rmse", 10, 2, means=_YEAR_MEANS),
     "job_tree_month_split_first": jobs.RegressionJob(
         _EIGHT, "tree", "default", "rmse", 10, 12, month=6, means=_MEANS
     ),
@@ -347,11 +354,19 @@ for _name, _job in JOBS.items():
     _register(_name, _job)
 
 
-@query("job_band_report")
+@query(
+    "job_band_report",
+    """with t as (select l_orderkey as key, l_extendedprice * (1 - l_discount) * (1 + l_tax) / 1000.0::double as label
+            from lineitem where month(l_shipdate) = 6 and l_orderkey % 5 >= 4),
+          r as (select key, label, row_number() over (order by label, key) as rnk from t), n as (select count(*) as c from t)
+        select 'first' as band, key, label, rnk from r where rnk <= 100 union all
+        select 'middle', key, label, rnk from r, n where rnk between c // 2 - 49 and c // 2 + 50 union all
+        select 'last', key, label, rnk from r, n where rnk > c - 100""",
+)
 def job_band_report(spark: SparkSession, directory: str) -> DataFrame:
     """First, middle and last 100 scored rows of the main job."""
     run = jobs.run_job(trips_view(spark, directory), JOBS[FLAGSHIP])
-    return jobs.band_report(run.scored)
+    return jobs.band_report(run.scored).drop("prediction")
 
 
 def _fit_report(rows: DataFrame, features: list[str]) -> DataFrame:
@@ -393,7 +408,7 @@ _PURCHASE_FEATURES = ["gender", "age", "occupation", "city", "years", "marital"]
 def job_purchases_per_user(spark: SparkSession, directory: str) -> DataFrame:
     """Totals per user, recoded attributes, least squares."""
     attributes = ["Gender", "Age", "Occupation", "City_Category", "Stay_In_Current_City_Years", "Marital_Status"]
-    users = sum_per_user(purchases_view(spark, directory), "User_ID", "Purchase", attributes)
+    users = sum_per_user(purchases_view(spark, directory), "User_ID", "Purchase", attributes, scale=2)
     rows = users.select(*_purchase_codes(), F.col("total").cast("double").alias("label"))
     return _fit_report(rows, _PURCHASE_FEATURES)
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from meanline.catalog.registry import query
 from meanline.operators import neighbours, segments, totals
 from meanline.sources.readers import read_table
-from meanline.sources.views import hourly_view
+from meanline.sources.views import charged, hourly_view
 
 
 @query(
@@ -26,7 +26,7 @@ def sum_per_user(spark: SparkSession, directory: str) -> DataFrame:
         F.col("l_linestatus").alias("marital"),
     )
     # per order first: the same exchange serves the join, and a large order is one row by then
-    per_order = totals.sum_per_user(lines, "o_orderkey", "amount", ["city", "marital"])
+    per_order = totals.sum_per_user(lines, "o_orderkey", "amount", ["city", "marital"], scale=2)
     orders = read_table(spark, directory, "orders").select(
         "o_orderkey", F.col("o_custkey").alias("user_id"), F.col("o_orderstatus").alias("gender")
     )
@@ -34,6 +34,19 @@ def sum_per_user(spark: SparkSession, directory: str) -> DataFrame:
     return totals.sum_per_user(joined, "user_id", "total", ["gender", "city", "marital"])
 
 
+@query(
+    "charged_per_order",
+    """select l_orderkey as order_id, sum(cast(l_extendedprice as decimal(12,2)) * (1 - cast(l_discount as decimal(4,2)))
+          * (1 + cast(l_tax as decimal(4,2)))) as total, min(l_returnflag) as flag from lineitem group by 1""",
+)
+def charged_per_order(spark: SparkSession, directory: str) -> DataFrame:
+    """Totals of an amount with six decimals."""
+    lines = read_table(spark, directory, "lineitem").select(
+        F.col("l_orderkey").alias("order_id"), charged().alias("amount"), F.col("l_returnflag").alias("flag")
+    )
+    return totals.sum_per_user(lines, "order_id", "amount", ["flag"])
+
+
 @query(
     "daily_rollup",
     """select cast(ts as date) as day, count(*) as n, sum(cast(value as decimal(18,2))) as total,
@@ -41,7 +54,7 @@ def sum_per_user(spark: SparkSession, directory: str) -> DataFrame:
         from events group by 1""",
 )
 def daily_rollup(spark: SparkSession, directory: str) -> DataFrame:
-    return totals.daily_rollup(read_table(spark, directory, "events"), "ts", "value")
+    return totals.daily_rollup(read_table(spark, directory, "events"), "ts", "value", scale=2)
 
 
 @query(
@@ -74,12 +87,15 @@ def sum_check(spark: SparkSession, directory: str) -> DataFrame:
 )
 def rfm_segments(spark: SparkSession, directory: str) -> DataFrame:
     orders = read_table(spark, directory, "orders")
-    return segments.rfm_segments(orders, "o_custkey", "o_orderdate", "o_totalprice", "2001-08-02")
+    return segments.rfm_segments(orders, "o_custkey", "o_orderdate", "o_totalprice", "2001-08-02", scale=2)
 
 
 @query(
     "count_anomalies",
-    """with h as (select cast(ts as date) as day, hour(ts) as hr, count(*) as n from events group by 1, 2),
+    """with g as (select cast(ts as date) as day, hour(ts) as hr, count(*) as n from events group by 1, 2),
+          c as (select cast(unnest(generate_series((select min(day) from g)::timestamp, (select max(day) from g)::timestamp, interval 1 day)) as date) as day),
+          h as (select c.day, k.hr, coalesce(g.n, 0) as n from c, (select cast(unnest(range(24)) as bigint) as hr) k
+                left join g on g.day = c.day and g.hr = k.hr),
           z as (select day, hr, n, (n - avg(n) over (partition by hr)) / stddev_samp(n) over (partition by hr) as z
                 from h)
         select day, hr, n, round(z, 6) as z from z where abs(z) > 2.5""",

@@ -10,38 +10,53 @@ from meanline.functions import calendar
 from meanline.functions.fixed_values import MONTH_DAYS
 from meanline.operators import study
 from meanline.sources.readers import read_table
-from meanline.sources.views import hourly_view, measures_view, monthly_view
+from meanline.sources.views import charged, hourly_view, measures_view, monthly_view
 
 
-def _study_sql(key: str, label: str, table: str, order: str = "round(mean_label, 6), key") -> str:
+def _study_sql(key: str, label: str, table: str, order: str = "mean_label, key") -> str:
     return f"""select * from (
-        select {key} as key, cast(sum(cast(floor({label} * 100 + 0.5) as bigint)) as double) / count(*) as mean_label,
+        select {key} as key, cast(sum(cast({label} as decimal(18,2))) as double) / count(*) as mean_label,
                count(*) as n from {table} group by 1) s order by {order}"""
 
 
 @query("mean_by_key", _study_sql("hour(ts)", "value", "events", "key"))
 def mean_by_key(spark: SparkSession, directory: str) -> DataFrame:
-    return study.mean_by_key(hourly_view(spark, directory), "hr", "value_cents")
+    return study.mean_by_key(hourly_view(spark, directory), "hr", "value")
 
 
 @query("study_by_mean", _study_sql("hour(ts)", "value", "events"))
 def study_by_mean(spark: SparkSession, directory: str) -> DataFrame:
-    return study.study_by_mean(hourly_view(spark, directory), "hr", "value_cents")
+    return study.study_by_mean(hourly_view(spark, directory), "hr", "value")
+
+
+_CHARGED_SQL = """cast(l_extendedprice as decimal(12,2)) * (1 - cast(l_discount as decimal(4,2)))
+    * (1 + cast(l_tax as decimal(4,2)))"""
+
+
+@query(
+    "study_charged",
+    f"""select l_quantity as key, cast(sum({_CHARGED_SQL}) as double) / count(*) as mean_label, count(*) as n
+        from lineitem group by 1""",
+)
+def study_charged(spark: SparkSession, directory: str) -> DataFrame:
+    """A label with six decimals, by mean."""
+    rows = read_table(spark, directory, "lineitem").select("l_quantity", charged().alias("charged"))
+    return study.study_by_mean(rows, "l_quantity", "charged")
 
 
 @query("study_by_key", _study_sql("l_quantity", "l_extendedprice", "lineitem", "key"))
 def study_by_key(spark: SparkSession, directory: str) -> DataFrame:
-    return study.study_by_key(measures_view(spark, directory), "l_quantity", "price_cents")
+    return study.study_by_key(measures_view(spark, directory), "l_quantity", "price")
 
 
 @query("study_month", _study_sql("month(o_orderdate)", "o_totalprice", "orders"))
 def study_month(spark: SparkSession, directory: str) -> DataFrame:
-    return study.study_by_mean(monthly_view(spark, directory), "mnth", "total_cents")
+    return study.study_by_mean(monthly_view(spark, directory), "mnth", "total")
 
 
 @query("study_year", _study_sql("year(o_orderdate)", "o_totalprice", "orders"))
 def study_year(spark: SparkSession, directory: str) -> DataFrame:
-    return study.study_by_mean(monthly_view(spark, directory), "yr", "total_cents")
+    return study.study_by_mean(monthly_view(spark, directory), "yr", "total")
 
 
 _SEASON_SQL = """case when month({0}) * 100 + day({0}) >= 1221 or month({0}) * 100 + day({0}) < 321 then 1
@@ -51,44 +66,44 @@ _SEASON_SQL = """case when month({0}) * 100 + day({0}) >= 1221 or month({0}) * 1
 @query("study_season", _study_sql(_SEASON_SQL.format("o_orderdate"), "o_totalprice", "orders"))
 def study_season(spark: SparkSession, directory: str) -> DataFrame:
     rows = monthly_view(spark, directory)
-    return study.study_by_mean(rows, calendar.season(F.col("o_orderdate")), "total_cents")
+    return study.study_by_mean(rows, calendar.season(F.col("o_orderdate")), "total")
 
 
 @query("study_working_day", _study_sql("cast(dayofweek(ts) between 1 and 5 as integer)", "value", "events"))
 def study_working_day(spark: SparkSession, directory: str) -> DataFrame:
-    return study.study_by_mean(hourly_view(spark, directory), "workingday", "value_cents")
+    return study.study_by_mean(hourly_view(spark, directory), "workingday", "value")
 
 
 @query("study_weather", _study_sql("event_type", "value", "events"))
 def study_weather(spark: SparkSession, directory: str) -> DataFrame:
-    return study.study_by_mean(hourly_view(spark, directory), "weather", "value_cents")
+    return study.study_by_mean(hourly_view(spark, directory), "weather", "value")
 
 
 @query("study_humidity", _study_sql("cast(json_extract_string(props, '$.k') as integer) / 100.0::double", "value", "events"))
 def study_humidity(spark: SparkSession, directory: str) -> DataFrame:
-    return study.study_by_mean(hourly_view(spark, directory), "hum", "value_cents")
+    return study.study_by_mean(hourly_view(spark, directory), "hum", "value")
 
 
 @query("study_temperature", _study_sql("l_quantity", "l_extendedprice", "lineitem"))
 def study_temperature(spark: SparkSession, directory: str) -> DataFrame:
-    return study.study_by_mean(measures_view(spark, directory), "l_quantity", "price_cents")
+    return study.study_by_mean(measures_view(spark, directory), "l_quantity", "price")
 
 
 @query("study_felt_temperature", _study_sql("l_discount", "l_extendedprice", "lineitem"))
 def study_felt_temperature(spark: SparkSession, directory: str) -> DataFrame:
-    return study.study_by_mean(measures_view(spark, directory), "l_discount", "price_cents")
+    return study.study_by_mean(measures_view(spark, directory), "l_discount", "price")
 
 
 @query("study_wind", _study_sql("l_tax", "l_extendedprice", "lineitem", "key"))
 def study_wind(spark: SparkSession, directory: str) -> DataFrame:
-    return study.study_by_key(measures_view(spark, directory), "l_tax", "price_cents")
+    return study.study_by_key(measures_view(spark, directory), "l_tax", "price")
 
 
 @query(
     "multi_column_study",
     " union all ".join(
         f"""select '{name}' as feature, {number} as num_key, {whole} as int_key, {text} as text_key, count(*) as n,
-            cast(sum(cast(floor(l_extendedprice * 100 + 0.5) as bigint)) as double) / count(*) as mean_label
+            cast(sum(cast(l_extendedprice as decimal(18,2))) as double) / count(*) as mean_label
             from lineitem group by {name}"""
         for name, number, whole, text in [
             ("l_quantity", "l_quantity", "null", "null"),
@@ -100,13 +115,13 @@ def study_wind(spark: SparkSession, directory: str) -> DataFrame:
 )
 def multi_column_study(spark: SparkSession, directory: str) -> DataFrame:
     columns = ["l_quantity", "l_discount", "l_linenumber", "l_returnflag"]
-    return study.multi_column_study(measures_view(spark, directory), columns, "price_cents").drop("sum_label")
+    return study.multi_column_study(measures_view(spark, directory), columns, "price").drop("sum_label")
 
 
 @query(
     "month_mean_per_day",
     f"""with days(m, d) as (values {values((m, float(d)) for m, d in MONTH_DAYS.items())}),
-        o as (select month(o_orderdate) as mnth, cast(floor(o_totalprice * 100 + 0.5) as bigint) as y,
+        o as (select month(o_orderdate) as mnth, cast(o_totalprice as decimal(18,2)) as y,
                      cast(o_orderdate as date) as day from orders)
         select mnth, count(*) as n, count(distinct day) as n_days,
                cast(sum(y) as double) / (count(*) * any_value(d)) as per_row_day,
@@ -114,7 +129,7 @@ def multi_column_study(spark: SparkSession, directory: str) -> DataFrame:
         from o join days on m = mnth group by mnth""",
 )
 def month_mean_per_day(spark: SparkSession, directory: str) -> DataFrame:
-    return study.month_mean_per_day(monthly_view(spark, directory), "o_orderdate", "total_cents")
+    return study.month_mean_per_day(monthly_view(spark, directory), "o_orderdate", "total")
 
 
 @query(

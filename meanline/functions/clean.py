@@ -17,14 +17,13 @@ def fill_empty(column: str | Column, default: str = "0") -> Column:
     return F.coalesce(F.nullif(F.trim(value), F.lit("")), F.lit(default)).cast("double")
 
 
-def cents(column: str | Column) -> Column:
-    """Money as whole cents.
+def exact(column: str | Column, scale: int) -> Column:
+    """A number as a decimal with ``scale`` places, which the caller knows to be enough.
 
-    Sums of integers are exact in any order, cost what sums of doubles cost, and
-    stop the job rather than overflow.
+    Sums of decimals are exact in any order of addition; a value too large stops the job.
     """
     value = F.col(column) if isinstance(column, str) else column
-    return F.floor(value * 100 + 0.5).cast("bigint")
+    return value.cast(f"decimal(18,{scale})")
 
 
 def null_nan_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:

@@ -2,13 +2,15 @@
 
 Fitting is one pass over the training rows for all columns.  Applying is a left
 join per column: a broadcast one while the fitted table is measured to be small,
-otherwise a shuffle join in which frequent keys are taken out and broadcast.
+otherwise one shuffle join beside which frequent keys are broadcast.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
 from pyspark import keyword_only
 from pyspark.ml import Estimator, Model
@@ -19,10 +21,10 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from meanline.operators.order import FREQUENT_SHARE, WINDOW_ROWS, global_rank
-from meanline.operators.study import KEY_TYPES, key_slot, key_value, multi_column_study
+from meanline.operators.study import KEY_TYPES, key_slot, key_value, multi_column_study, steady
 from meanline.sources.storage import cut
 
-#: A lookup side is broadcast up to this many rows and this much key text.
+#: Lookup sides are broadcast up to this many rows each and this many bytes together.
 BROADCAST_ROWS = 1_000_000
 BROADCAST_BYTES = 64 << 20
 
@@ -36,8 +38,9 @@ class Size:
     sum_label: float
     key_bytes: int
 
-    def fits(self, rows: int) -> bool:
-        return self.n_keys <= rows and self.key_bytes + 32 * self.n_keys <= BROADCAST_BYTES
+    @property
+    def bytes(self) -> int:
+        return self.key_bytes + 32 * self.n_keys
 
 
 @dataclass(frozen=True)
@@ -76,6 +79,8 @@ class Encoding:
         if columns is None:
             columns = list(self.sizes)
         outputs = dict(columns) if isinstance(columns, Mapping) else {c: c for c in columns}
+        large = self._large(outputs, broadcast_rows)
+        frequent = frequent_keys(df, {c: key_value(df, c) for c in large}) if large else {}
         joined, codes = df, {}
         for position, (column, output) in enumerate(outputs.items()):
             key, code = f"_k{position}", f"_c{position}"
@@ -83,32 +88,68 @@ class Encoding:
             lookup = self.table.where((F.col("feature") == column) & stored.isNotNull()).select(
                 stored.alias(key), F.col("code").alias(code)
             )
-            small = self.sizes[column].fits(broadcast_rows)
-            joined = lookup_join(joined, key_value(df, column), lookup, key, small=small)
+            joined = lookup_join(joined, key_value(df, column), lookup, key, frequent.get(column))
             fallback = self.overall_mean(column) if unseen == "mean" else unseen
             codes[output] = F.col(code) if fallback is None else F.coalesce(code, F.lit(float(fallback)))
         kept = [codes.pop(name).alias(name) if name in codes else F.col(f"`{name}`") for name in df.columns]
         return joined.select(*kept, *[code.alias(name) for name, code in codes.items()])
 
+    def _large(self, columns: Sequence[str], broadcast_rows: int) -> list[str]:
+        """Columns that are not broadcast: too many keys, or no room left beside the smaller ones."""
+        large, held = [], 0
+        for column in sorted(columns, key=lambda c: (self.sizes[c].bytes, c)):
+            held += self.sizes[column].bytes
+            if self.sizes[column].n_keys > broadcast_rows or held > BROADCAST_BYTES:
+                large.append(column)
+        return large
+
+
+def frequent_keys(df: DataFrame, keys: Mapping[str, Column]) -> dict[str, list]:
+    """Per name, the values that hold more than one row in 256 each (so fewer than 256); one pass for all names."""
+    kinds = {name: df.select(key.alias("k")).schema["k"].dataType.simpleString() for name, key in keys.items()}
+    slots = sorted(set(kinds.values()))
+    entries = []
+    for name, key in keys.items():
+        entries.append(F.lit(name))
+        entries += [key if kind == kinds[name] else F.lit(None).cast(kind) for kind in slots]
+    named = [f"k{i}" for i in range(len(slots))]
+    counts = df.select(F.stack(F.lit(len(keys)), *entries).alias("name", *named)).groupBy("name", *named).agg(
+        F.count(F.lit(1)).alias("n")
+    )
+    totals = counts.groupBy("name").agg(F.sum("n").alias("total"))
+    found: dict[str, list] = {name: [] for name in keys}
+    for row in counts.join(F.broadcast(totals), "name").where(F.col("n") * FREQUENT_SHARE > F.col("total")).collect():
+        value = row[named[slots.index(kinds[row["name"]])]]
+        if value is not None:
+            found[row["name"]].append(value)
+    return found
+
 
-def lookup_join(df: DataFrame, key: Column, lookup: DataFrame, lookup_key: str, *, small: bool) -> DataFrame:
+def lookup_join(
+    df: DataFrame, key: Column, lookup: DataFrame, lookup_key: str, frequent: Sequence[object] | None = None
+) -> DataFrame:
     """Left equi-join to a lookup with unique keys.
 
-    A small lookup is broadcast.  A large one is joined by shuffle, after the
-    keys that hold more than 1/256 of ``df`` each (at most 256 of them, whether
-    the lookup knows them or not) have been split off with the null keys and
-    joined by broadcast, so no task receives a frequent key's rows.
+    Without ``frequent`` the lookup is broadcast.  With it, a list of the keys
+    that hold many rows of ``df``, those keys are joined by broadcast and all
+    others by shuffle in the same pass: rows of a frequent key, or without one,
+    carry a salt that matches nothing and spreads them over the tasks.
     """
-    if small:
+    if frequent is None:
         return df.join(F.broadcast(lookup), key == F.col(lookup_key), "left").drop(lookup_key)
-    total = df.count()
-    per_key = df.where(key.isNotNull()).groupBy(key.alias("_key")).agg(F.count(F.lit(1)).alias("_n"))
-    frequent = [row["_key"] for row in per_key.where(F.col("_n") * FREQUENT_SHARE > total).collect()]
-    apart = key.isNull() | key.isin(frequent) if frequent else key.isNull()
-    few = lookup.where(F.col(lookup_key).isin(frequent)) if frequent else lookup.limit(0)
-    hot = df.where(apart).join(F.broadcast(few), key == F.col(lookup_key), "left")
-    rest = df.where(~apart).join(lookup, key == F.col(lookup_key), "left")
-    return hot.unionByName(rest).drop(lookup_key)
+    payload = [c for c in lookup.columns if c != lookup_key]
+    packed = lookup.select(F.col(lookup_key), F.struct(*payload).alias("_found"))
+    hot = key.isNull() | key.isin(list(frequent)) if frequent else key.isNull()
+    few = packed.where(F.col(lookup_key).isin(list(frequent)) if frequent else F.lit(False)).toDF("_hot_key", "_hot")
+    many = packed.withColumn("_cold_salt", F.lit(0)).withColumnRenamed(lookup_key, "_cold_key")
+    rows = df.select("*", F.when(~hot, key).alias("_key"), F.when(hot, key).alias("_frequent")).withColumn(
+        "_salt", F.when(F.col("_key").isNotNull(), 0).otherwise(1 + F.pmod(F.xxhash64(*df.columns), F.lit(1 << 16)).cast("int"))
+    )
+    joined = rows.join(F.broadcast(few), F.col("_frequent") == F.col("_hot_key"), "left").join(
+        many, F.col("_key").eqNullSafe(F.col("_cold_key")) & (F.col("_salt") == F.col("_cold_salt")), "left"
+    )
+    found = F.coalesce("_hot", "_found")
+    return joined.select(*[F.col(f"`{c}`") for c in df.columns], *[found[c].alias(c) for c in payload])
 
 
 def _measure(table: DataFrame, columns: Sequence[str] = ()) -> dict[str, Size]:
@@ -130,35 +171,38 @@ def fit_means(df: DataFrame, columns: Sequence[str], label: str) -> Encoding:
     return Encoding(table, _measure(table, columns))
 
 
-def _ranked(means: Encoding, digits: int) -> DataFrame:
-    """The encoder table with ``_rn``: 1-based position by (mean, key) within a feature."""
-    table = means.table.withColumn("_mean", F.round("mean_label", digits))
+def _ranked(means: Encoding) -> DataFrame:
+    """The encoder table with ``_rn``: 1-based position by (mean, key) within a feature.
+
+    Means are compared to 12 significant digits.  The null key has no code, so it takes no position.
+    """
+    known = reduce(or_, [F.col(c).isNotNull() for c in KEY_TYPES])
+    table = means.table.where(known).withColumn("_mean", steady("mean_label"))
     order = ["_mean", *KEY_TYPES]
     if all(size.n_keys <= WINDOW_ROWS for size in means.sizes.values()):
         window = Window.partitionBy("feature").orderBy(*order)
         return table.withColumn("_rn", F.row_number().over(window)).drop("_mean")
     ranked = global_rank(table, ["feature", *order], "_rn")
+    keys = {r["feature"]: r["n"] for r in table.groupBy("feature").agg(F.count(F.lit(1)).alias("n")).collect()}
     starts, passed = [], 0
-    for feature in sorted(means.sizes):
+    for feature in sorted(keys):  # one entry per column
         starts += [F.lit(feature), F.lit(passed)]
-        passed += means.sizes[feature].n_keys
+        passed += keys[feature]
     return ranked.withColumn("_rn", F.col("_rn") - F.create_map(*starts)[F.col("feature")]).drop("_mean")
 
 
-def fit_ranks(df: DataFrame, columns: Sequence[str], label: str, digits: int = 6) -> Encoding:
+def fit_ranks(df: DataFrame, columns: Sequence[str], label: str) -> Encoding:
     """Each value's code is its 0-based position when values are sorted by mean label, then key."""
     means = fit_means(df, columns, label)
-    table = _ranked(means, digits).withColumn("code", (F.col("_rn") - 1).cast("double")).drop("_rn")
+    table = _ranked(means).withColumn("code", (F.col("_rn") - 1).cast("double")).drop("_rn")
     return Encoding(cut(table), means.sizes)
 
 
-def fit_rank_bins(
-    df: DataFrame, columns: Sequence[str], label: str, width: int = 2, digits: int = 6
-) -> Encoding:
+def fit_rank_bins(df: DataFrame, columns: Sequence[str], label: str, width: int = 2) -> Encoding:
     """Neighbours by mean label share a bin of ``width`` values; the lowest two bins are one."""
     means = fit_means(df, columns, label)
     bin_ = F.greatest(F.lit(1.0), F.floor((F.col("_rn") - 1) / F.lit(width)).cast("double"))
-    table = _ranked(means, digits).withColumn("code", bin_).drop("_rn")
+    table = _ranked(means).withColumn("code", bin_).drop("_rn")
     return Encoding(cut(table), means.sizes)
 
 
@@ -186,7 +230,8 @@ def held_out_means(
     small = extent[0] <= broadcast_rows and folds_bytes <= BROADCAST_BYTES
     own = F.col("_own")[F.col(fold)]
     mean = (F.col("_s") - own["s"]).cast("double") / F.nullif(F.col("_n") - own["n"], F.lit(0))
-    joined = lookup_join(df, key, lookup, "_k", small=small)
+    frequent = None if small else frequent_keys(df, {column: key})[column]
+    joined = lookup_join(df, key, lookup, "_k", frequent)
     return joined.select(*[F.col(f"`{c}`") for c in df.columns], mean.alias(output))
 
 

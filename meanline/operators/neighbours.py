@@ -11,6 +11,8 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from meanline.sources.storage import shared_table
+
 #: Query vectors sent to every task at a time, in bytes.
 BLOCK_BYTES = 32 << 20
 
@@ -31,6 +33,7 @@ def nearest(
     rows per block.  A task keeps its own best ``k`` per query, so what is
     shuffled is k rows per query and task, not one per pair.
     """
+    queries = shared_table(queries, "queries")  # computed once, read again for every block
     extent = queries.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("query")).alias("width")).first()
     blocks = max(1, -(-(extent["n"] * (extent["width"] or 1) * 8) // block_bytes))
     parts = []

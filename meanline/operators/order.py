@@ -29,7 +29,7 @@ FREQUENT_SHARE = 256
 #: Rows one task may rank by itself.
 WINDOW_ROWS = 200_000
 
-_SKETCHABLE = (T.NumericType, T.DateType, T.TimestampNTZType)
+_SKETCHABLE = (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType)
 
 
 @dataclass(frozen=True)
@@ -73,7 +73,8 @@ def _literal(value: object, kind: T.DataType) -> Column:
     if isinstance(kind, (T.DateType, T.TimestampNTZType)):
         return F.lit(str(value)).cast(kind)
     if isinstance(kind, T.TimestampType):
-        raise TypeError("order by unix_micros(column) instead of a zoned timestamp")
+        # Python has it in its local time; the instant is what both agree on
+        return F.timestamp_micros(F.lit(int(value.replace(microsecond=0).timestamp()) * 1_000_000 + value.microsecond))
     return F.lit(value)
 
 
@@ -197,6 +198,7 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], fractions: Sequence[f
     """Exact linearly interpolated quantiles of many columns in a few shared passes."""
     counts = df.agg(*[F.count(F.col(f"`{c}`")).alias(str(i)) for i, c in enumerate(columns)]).first()
     wanted, weights = [], {}
+    rows_of = {column: counts[str(i)] for i, column in enumerate(columns)}
     for i, column in enumerate(columns):
         for fraction in fractions:
             n = counts[str(i)]
@@ -209,7 +211,7 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], fractions: Sequence[f
             weights[column, fraction] = (lower + 1, upper + 1, position - lower)
             wanted += [(column, lower + 1), (column, upper + 1)]
     wanted = list(dict.fromkeys(wanted))
-    values = dict(zip(wanted, order_statistics(df, [Wanted(*place) for place in wanted])))
+    values = dict(zip(wanted, order_statistics(df, [Wanted(*place, rows=rows_of[place[0]]) for place in wanted])))
     result: dict[str, list[float]] = {}
     for column in columns:
         result[column] = []
@@ -235,7 +237,7 @@ def _beyond(
     return test
 
 
-@dataclass
+@dataclass(eq=False)
 class _Place:
     """A row position being looked up column by column."""
 
@@ -247,13 +249,17 @@ class _Place:
     scope: Column | None = None
 
 
-def keys_at_ranks(df: DataFrame, places: Sequence[tuple[Sequence[str], int]]) -> list[tuple[tuple, int, int]]:
+def keys_at_ranks(
+    df: DataFrame, places: Sequence[tuple[Sequence[str], int]], rows: int | None = None
+) -> list[tuple[tuple, int, int]]:
     """For each (order_by, rank): the key of that row, rows before the key, rows having it.
 
+    ``rows`` is the number of rows, if known; the orders then hold no nulls.
+
     All places share their passes over ``df``: one set for the first ordering
     columns, one for the second ones among rows tied on the first, and so on.
     """
-    found = [_Place(order_by, rank) for order_by, rank in places]
+    found = [_Place(order_by, rank, n_equal=rows) for order_by, rank in places]
     for level in range(max(len(place.order_by) for place in found)):
         here = [place for place in found if level < len(place.order_by)]
         kinds = {place.order_by[level]: df.schema[place.order_by[level]].dataType for place in here}
@@ -307,19 +313,33 @@ def rank_last(df: DataFrame, order_by: Sequence[str], n: int, output: str = "rnk
     return top.select(rank.cast("bigint").alias(output), "*")
 
 
-def rank_slice(df: DataFrame, order_by: Sequence[str], first: int, last: int, output: str = "rnk") -> DataFrame:
+def _orderable_rows(df: DataFrame, order_by: Sequence[str]) -> int:
+    """The number of rows; nulls and NaNs in the order are refused, as they have no place between values."""
+    odd = F.lit(False)
+    for column in order_by:
+        value, kind = F.col(f"`{column}`"), df.schema[column].dataType
+        odd = odd | value.isNull() | (F.isnan(value) if isinstance(kind, (T.FloatType, T.DoubleType)) else F.lit(False))
+    row = df.agg(F.count(F.lit(1)).alias("n"), F.count_if(odd).alias("odd")).first()
+    if row["odd"]:
+        raise ValueError(f"{row['odd']} rows have nulls or NaNs in {', '.join(order_by)}; filter or fill them first")
+    return row["n"]
+
+
+def rank_slice(
+    df: DataFrame, order_by: Sequence[str], first: int, last: int, output: str = "rnk", total: int | None = None
+) -> DataFrame:
     """Rows ranked ``first`` to ``last``, exactly, for any position in the order.
 
-    ``order_by`` must identify a row (add a key, or all output columns) and hold
-    no nulls.  Copies that agree in every ordering column are interchangeable
-    and are taken in any order.
+    ``order_by`` must identify a row (add a key, or all output columns); nulls
+    and NaNs in it raise ``ValueError``.  Copies that agree in every ordering
+    column are interchangeable and are taken in any order.
     """
-    total = df.count()
+    total = _orderable_rows(df, order_by) if total is None else total
     first, last = max(1, first), min(last, total)
     if last < first:
         return df.select(F.lit(0).cast("bigint").alias(output), "*").limit(0)
     size = last - first + 1
-    (low, low_before, low_rows), (high, _, _) = keys_at_ranks(df, [(order_by, first), (order_by, last)])
+    (low, low_before, low_rows), (high, _, _) = keys_at_ranks(df, [(order_by, first), (order_by, last)], total)
     up_to_high = _beyond(df, order_by, high, after=False, or_equal=True)
     if low_before + 1 == first:
         rows = df.where(_beyond(df, order_by, low, after=True, or_equal=True) & up_to_high)
@@ -333,9 +353,10 @@ def rank_slice(df: DataFrame, order_by: Sequence[str], first: int, last: int, ou
 
 
 def rank_middle(df: DataFrame, order_by: Sequence[str], n: int = 100, output: str = "rnk") -> DataFrame:
-    """The ``n`` rows round the middle: ranks total // 2 - n / 2 + 1 to total // 2 + n / 2."""
-    half = df.count() // 2
-    return rank_slice(df, order_by, half - n // 2 + 1, half + n // 2, output)
+    """The ``n`` rows round the middle, from rank total // 2 - n // 2 + 1 on."""
+    total = _orderable_rows(df, order_by)
+    first = total // 2 - n // 2 + 1
+    return rank_slice(df, order_by, first, first + n - 1, output, total)
 
 
 def global_rank(df: DataFrame, order_by: Sequence[str], output: str = "rnk") -> DataFrame:

@@ -8,6 +8,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+#: Years that a month filter writes out as date ranges.
+_MOST_YEARS = 50
+
+
 def label_first(df: DataFrame, label: str, features: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
     """The label as a double named ``label``, then the features as doubles, then columns kept as they are."""
     return df.select(
@@ -21,10 +25,13 @@ def filter_month(df: DataFrame, ts: str, month: int) -> DataFrame:
     """Rows of one calendar month of any year.
 
     ``month(ts) = m`` alone reaches no file statistics.  With the years that
-    occur (one pass over this column) it becomes date ranges, which do.
+    occur (one pass over this column) it becomes date ranges, which do.  Dates
+    far off make too many ranges; then the test on the month stands alone.
     """
     span = df.agg(F.min(F.year(ts)).alias("low"), F.max(F.year(ts)).alias("high")).first()
     kind = df.schema[ts].dataType
+    if span["low"] is not None and span["high"] - span["low"] >= _MOST_YEARS:
+        return df.where(F.month(ts) == month)
     ranges = F.lit(False)
     for year in range(span["low"] or 0, (span["high"] or -1) + 1):
         start = F.lit(f"{year:04d}-{month:02d}-01").cast(kind)

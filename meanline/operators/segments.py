@@ -6,24 +6,25 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from meanline.operators.order import add_ntiles
-from meanline.operators.totals import exact_sum
-from meanline.sources.storage import cut
+from meanline.operators.totals import total_of
+from meanline.sources.storage import shared_table
 
 
 def rfm_segments(
-    df: DataFrame, customer: str, date: str, amount: str, as_of: str, tiles: int = 5
+    df: DataFrame, customer: str, date: str, amount: str, as_of: str, tiles: int = 5, scale: int | None = None
 ) -> DataFrame:
     """Recency, frequency and monetary value per customer, each cut into ``tiles``.
 
     Tile 1 holds the smallest values on every axis.  The customer table is kept
     once; the tiles come from a few cut keys per axis, not from sorting it.
     """
-    customers = cut(
+    customers = shared_table(
         df.groupBy(customer).agg(
             F.date_diff(F.lit(as_of).cast("date"), F.to_date(F.max(date))).alias("recency"),
             F.count(F.lit(1)).alias("frequency"),
-            exact_sum(df, amount).alias("monetary"),
-        )
+            total_of(df, amount, scale).alias("monetary"),
+        ),
+        "customers",
     )
     axes = {"recency": "r_tile", "frequency": "f_tile", "monetary": "m_tile"}
     tiled = add_ntiles(customers, axes, customer, tiles)
@@ -32,8 +33,15 @@ def rfm_segments(
 
 
 def hourly_counts(df: DataFrame, ts: str) -> DataFrame:
-    """(day, hr, n) per hour that occurs."""
-    return df.groupBy(F.to_date(ts).alias("day"), F.hour(ts).alias("hr")).agg(F.count(F.lit(1)).alias("n"))
+    """(day, hr, n) for every hour from the first day to the last; hours without rows count 0."""
+    counts = df.where(F.col(ts).isNotNull()).groupBy(F.to_date(ts).alias("day"), F.hour(ts).alias("hr")).agg(
+        F.count(F.lit(1)).alias("n")
+    )
+    days = df.agg(F.min(F.to_date(ts)).alias("first"), F.max(F.to_date(ts)).alias("last")).where("first is not null")
+    cells = days.select(F.explode(F.sequence("first", "last")).alias("day")).select(
+        "day", F.explode(F.sequence(F.lit(0), F.lit(23))).alias("hr")
+    )
+    return cells.join(counts, ["day", "hr"], "left").select("day", "hr", F.coalesce("n", F.lit(0).cast("bigint")).alias("n"))
 
 
 def count_anomalies(df: DataFrame, ts: str, threshold: float = 2.5) -> DataFrame:

@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from fractions import Fraction
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Slots a hashed key can fall into; a split's weights are exact to one in this many.
-_SLOTS = 10_000
+_SLOTS = 1 << 30
 
 
 def random_split(df: DataFrame, weights: Sequence[float], seed: int) -> list[DataFrame]:
@@ -32,8 +33,8 @@ def is_train(key: str | Column | Sequence[str], ratio: float = 0.8, seed: int |
     """True for about ``ratio`` of the keys, the same ones after any repartitioning."""
     if seed is not None:
         return slot(key, _SLOTS, seed) < round(ratio * _SLOTS)
-    parts = next(n for n in range(1, 101) if abs(ratio * n - round(ratio * n)) < 1e-9)
-    return slot(key, parts) < round(ratio * parts)
+    share = Fraction(str(ratio)).limit_denominator(10_000)
+    return slot(key, share.denominator) < share.numerator
 
 
 def hash_split(

@@ -28,13 +28,15 @@ def mean_by_key(df: DataFrame, key: str | Column, label: str, name: str = "key")
     return df.groupBy(value.alias(name)).agg(mean.alias("mean_label"), F.count(F.lit(1)).alias("n"))
 
 
-def study_by_mean(df: DataFrame, key: str | Column, label: str, name: str = "key", digits: int = 6) -> DataFrame:
-    """A study in ascending order of mean, ties by key.
+def steady(value: str | Column, digits: int = 12) -> Column:
+    """A double to ``digits`` significant digits: the last bits of a distributed sum depend on the order of addition."""
+    value = F.col(value) if isinstance(value, str) else value
+    return F.format_string(f"%.{digits - 1}e", value).cast("double")
 
-    Means are compared to ``digits`` places: the last bits of a distributed sum
-    depend on the order of addition.
-    """
-    return mean_by_key(df, key, label, name).orderBy(F.round("mean_label", digits), name)
+
+def study_by_mean(df: DataFrame, key: str | Column, label: str, name: str = "key") -> DataFrame:
+    """A study in ascending order of mean (to 12 significant digits), ties by key."""
+    return mean_by_key(df, key, label, name).orderBy(steady("mean_label"), name)
 
 
 def study_by_key(df: DataFrame, key: str | Column, label: str, name: str = "key") -> DataFrame:

@@ -3,38 +3,41 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from meanline.functions.clean import cents
+from meanline.functions.clean import exact
 
-MONEY = "decimal(18,2)"
+def total_of(df: DataFrame, column: str, scale: int | None = None) -> Column:
+    """The sum of an amount as it is.
 
-
-def exact_sum(df: DataFrame, column: str) -> Column:
-    """The sum of an amount as a decimal with two places, exact in any order of addition."""
+    Decimals and integers add up exactly.  Doubles do in any order only as decimals: name the ``scale``
+    that holds every value; without it they are summed as doubles.
+    """
     kind, amount = df.schema[column].dataType, F.col(f"`{column}`")
-    if isinstance(kind, (T.FloatType, T.DoubleType)):
-        return F.sum(cents(amount)).cast("decimal(20,0)") * F.lit(Decimal("0.01"))
-    return F.sum(amount if isinstance(kind, T.DecimalType) else amount.cast(MONEY))
+    if scale is not None and not isinstance(kind, T.DecimalType):
+        return F.sum(exact(amount, scale))
+    return F.sum(amount)
 
 
-def sum_per_user(df: DataFrame, user: str, amount: str, attributes: Sequence[str]) -> DataFrame:
-    """Exact total per user with descriptive attributes, each the smallest one seen for the user."""
+def sum_per_user(
+    df: DataFrame, user: str, amount: str, attributes: Sequence[str], scale: int | None = None
+) -> DataFrame:
+    """Total per user with descriptive attributes, each the smallest one seen for the user."""
     return df.groupBy(user).agg(
-        exact_sum(df, amount).alias("total"), *[F.min(name).alias(name) for name in attributes]
+        total_of(df, amount, scale).alias("total"), *[F.min(name).alias(name) for name in attributes]
     )
 
 
-def daily_rollup(df: DataFrame, ts: str, value: str) -> DataFrame:
-    """(day, n, total, mean_value) per date of ``ts``."""
+def daily_rollup(df: DataFrame, ts: str, value: str, scale: int | None = None) -> DataFrame:
+    """(day, n, total, mean_value) per date of ``ts``; the mean is over the values that are there."""
+    total = total_of(df, value, scale)
     return df.groupBy(F.to_date(ts).alias("day")).agg(
         F.count(F.lit(1)).alias("n"),
-        exact_sum(df, value).alias("total"),
-        (exact_sum(df, value).cast("double") / F.count(value)).alias("mean_value"),
+        total.alias("total"),
+        (total.cast("double") / F.nullif(F.count(value), F.lit(0))).alias("mean_value"),
     )
 
 

@@ -80,6 +80,13 @@ def encoded_parts(frame: DataFrame, job: RegressionJob) -> tuple[DataFrame, Data
 def run_job(df: DataFrame, job: RegressionJob, label: str = "cnt") -> JobRun:
     """Run ``job`` on a table with a ``key`` column."""
     rows = spread(select_rows(df, job, label)).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return _run(rows, job)
+    finally:
+        rows.unpersist()
+
+
+def _run(rows: DataFrame, job: RegressionJob) -> JobRun:
     train, test = encoded_parts(rows, job)
     prepared = models.preparation(job.features, job.max_categories).fit(train)
     train = with_fold(train, "key", job.folds, seed=job.folds)
@@ -89,15 +96,16 @@ def run_job(df: DataFrame, job: RegressionJob, label: str = "cnt") -> JobRun:
         ready = prepared.transform(train).select("label", "features", "fold").persist(StorageLevel.MEMORY_AND_DISK)
         grid = models.default_grid()
         bins = max(32, (job.max_categories or 0) + 1)
-        tuned = models.cross_validate(ready, models.tree(max_bins=bins), grid, job.metric, job.folds)
-        ready.unpersist()
-    spark = df.sparkSession
+        try:
+            tuned = models.cross_validate(ready, models.tree(max_bins=bins), grid, job.metric, job.folds)
+        finally:
+            ready.unpersist()
+    spark = rows.sparkSession
     metrics = models.metrics_table(spark, grid, tuned.avgMetrics, tuned.stdMetrics)
     scored = shared_table(
         tuned.bestModel.transform(prepared.transform(test)).select("key", *job.features, "label", "prediction"),
         "scored",
     )
-    rows.unpersist()
     best = max(tuned.avgMetrics) if job.metric == "r2" else min(tuned.avgMetrics)
     quality = scored.agg(*metric_columns()).select(
         F.lit(job.metric).alias("cv_metric"),

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meanline.functions.calendar import calendar_columns, weekday
-from meanline.functions.clean import cents
+from meanline.functions.clean import exact
 from meanline.sources.readers import read_table
 
 #: Age bands, dealt to customers by key.
@@ -23,7 +23,7 @@ TRIP_FEATURES = (
 
 
 def hourly_view(spark: SparkSession, directory: str) -> DataFrame:
-    """`events` as hourly readings: instant, hr, weekday, workingday, weather, hum, value_cents."""
+    """`events` as hourly readings: instant, hr, weekday, workingday, weather, hum, value."""
     events = read_table(spark, directory, "events")
     ts = F.col("ts")
     return events.select(
@@ -34,7 +34,7 @@ def hourly_view(spark: SparkSession, directory: str) -> DataFrame:
         weekday(ts).between(1, 5).cast("int").alias("workingday"),
         F.col("event_type").alias("weather"),
         (F.get_json_object("props", "$.k").cast("int") / F.lit(100.0)).alias("hum"),
-        cents("value").alias("value_cents"),
+        exact("value", 2).alias("value"),
     )
 
 
@@ -43,7 +43,7 @@ def monthly_view(spark: SparkSession, directory: str) -> DataFrame:
     date = F.col("o_orderdate")
     return read_table(spark, directory, "orders").select(
         "o_orderkey", F.year(date).alias("yr"), F.month(date).alias("mnth"), "o_orderpriority", "o_orderstatus",
-        cents("o_totalprice").alias("total_cents"), "o_orderdate",
+        exact("o_totalprice", 2).alias("total"), "o_orderdate",
     )
 
 
@@ -51,10 +51,19 @@ def measures_view(spark: SparkSession, directory: str) -> DataFrame:
     """`lineitem` as keyed readings with the price as label."""
     return read_table(spark, directory, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_quantity", "l_discount", "l_tax", "l_returnflag",
-        cents("l_extendedprice").alias("price_cents"),
+        exact("l_extendedprice", 2).alias("price"),
     )
 
 
+def charged() -> Column:
+    """The charged price of an order line, exact: a decimal with six places."""
+    price, discount, tax = (
+        F.col(c).cast(kind) for c, kind in
+        (("l_extendedprice", "decimal(12,2)"), ("l_discount", "decimal(4,2)"), ("l_tax", "decimal(4,2)"))
+    )
+    return (price * (1 - discount) * (1 + tax)).cast("decimal(20,6)")
+
+
 def trips_view(spark: SparkSession, directory: str) -> DataFrame:
     """`lineitem` with the hourly table's twelve features and a label that depends on them.
 
