@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meanline.functions.calendar import calendar_columns, weekday
 from meanline.functions.clean import exact
+from meanline.functions.fixed_values import FELT_TEMPERATURE_RANK, WIND_BIN
 from meanline.sources.readers import read_table
 
 #: Age bands, dealt to customers by key.
@@ -64,12 +67,19 @@ def charged() -> Column:
     return (price * (1 - discount) * (1 + tax)).cast("decimal(20,6)")
 
 
+def _listed(table: Mapping[float, float], step: Column) -> Column:
+    """The value at a place in the ascending list of a fixed table's values; places beyond it take the last."""
+    readings = sorted(table)
+    place = F.least(F.greatest(step, F.lit(0)), F.lit(len(readings) - 1)).cast("int")
+    return F.array(*map(F.lit, readings))[place]
+
+
 def trips_view(spark: SparkSession, directory: str) -> DataFrame:
     """`lineitem` with the hourly table's twelve features and a label that depends on them.
 
     Shipping dates give the calendar, the line number the slot of the day, flags
-    the weather, quantity, price, discount and tax the four readings; the count
-    is the charged price in thousands.
+    the weather, quantity, price, discount and tax the four readings, which are
+    values that the fixed tables list; the count is the charged price in thousands.
     """
     lines = read_table(spark, directory, "lineitem")
     price = F.col("l_extendedprice")
@@ -82,9 +92,9 @@ def trips_view(spark: SparkSession, directory: str) -> DataFrame:
         season, yr, mnth, F.col("l_linenumber").alias("hr"), holiday, day, working,
         weather.alias("weathersit"),
         F.round(F.col("l_quantity") / 50, 2).alias("temp"),
-        F.round(F.floor(price / 1600) / 66, 4).alias("atemp"),
+        _listed(FELT_TEMPERATURE_RANK, F.floor(price / 1600)).alias("atemp"),
         F.round(F.col("l_discount") * 10, 2).alias("hum"),
-        F.col("l_tax").alias("windspeed"),
+        _listed(WIND_BIN, F.round(F.col("l_tax") * 100)).alias("windspeed"),
         charged.alias("cnt"),
     )
 
