@@ -12,7 +12,7 @@ from meanline.functions import fixed_values
 from meanline.functions.clean import fill_empty
 from meanline.functions.recode import age_code, city_code, gender_code, marital_code, topcoded_years
 from meanline.operators.metrics import metric_columns, regression_metrics, residuals
-from meanline.operators.split import hash_split, with_fold
+from meanline.operators.split import hash_split, is_train, with_fold
 from meanline.operators.totals import sum_per_user
 from meanline.plans import jobs, models
 from meanline.plans.moments import tune_linear
@@ -254,9 +254,11 @@ def elastic_net_cv(spark: SparkSession, directory: str) -> DataFrame:
     return _elastic_net(spark, directory)
 
 
-@query(
-    "elastic_net_cv_one_feature",
-    f"""with d as (select cast(l_orderkey % 3 as integer) as fold, {_PRICE} as x, {_CHARGED} as y from lineitem),
+def _penalised_sql(
+    regs: tuple[float, ...], mixes: tuple[float, ...], intercepts: tuple[bool, ...], fold: str = "l_orderkey % 3"
+) -> str:
+    """Tables up to ``q``: r2 of the penalised one-feature fit for each grid point and held-out fold, in closed form."""
+    return f"""with d as (select cast({fold} as integer) as fold, {_PRICE} as x, {_CHARGED} as y from lineitem),
           h as (select fold, cast(count(*) as double) as n, sum(x) as sx, sum(y) as sy, sum(x * x) as sxx,
                   sum(y * y) as syy, sum(x * y) as sxy from d group by fold),
           t as (select sum(n) as n, sum(sx) as sx, sum(sy) as sy, sum(sxx) as sxx, sum(syy) as syy, sum(sxy) as sxy
@@ -265,9 +267,9 @@ def elastic_net_cv(spark: SparkSession, directory: str) -> DataFrame:
                   (t.sxx - h.sxx) / (t.n - h.n) as exx, (t.syy - h.syy) / (t.n - h.n) as eyy,
                   (t.sxy - h.sxy) / (t.n - h.n) as exy from h, t),
           s as (select *, sqrt(exx - ex * ex) as dx, sqrt(eyy - ey * ey) as dy from m),
-          r(reg_param) as (values {values((v,) for v in models.REG_PARAMS)}),
-          e(mix) as (values {values((v,) for v in models.ELASTIC_NET_PARAMS)}),
-          i(with_intercept) as (values (true), (false)),
+          r(reg_param) as (values {values((v,) for v in regs)}),
+          e(mix) as (values {values((v,) for v in mixes)}),
+          i(with_intercept) as (values {", ".join(f"({str(v).lower()})" for v in intercepts)}),
           b as (select fold, ex, ey, reg_param, mix, with_intercept,
                   greatest((exy - case when with_intercept then ex * ey else 0 end) / (dx * dy)
                            - mix * reg_param / dy, 0)
@@ -275,11 +277,18 @@ def elastic_net_cv(spark: SparkSession, directory: str) -> DataFrame:
                      + (1 - mix) * reg_param / dy) * dy / dx as slope
                 from s, r, e, i),
           a as (select *, case when with_intercept then ey - slope * ex else 0 end as base from b),
-          q as (select reg_param, mix, with_intercept,
+          q as (select a.fold, reg_param, mix, with_intercept,
                   1 - (syy - 2 * (base * sy + slope * sxy) + n * base * base + 2 * base * slope * sx
                        + slope * slope * sxx) / (syy - sy * sy / n) as r2
-                from a join h on a.fold = h.fold)
-        select reg_param, mix, with_intercept, round(avg(r2), 5) as r2 from q group by 1, 2, 3""",
+                from a join h on a.fold = h.fold)"""
+
+
+_GRID_SQL = _penalised_sql(models.REG_PARAMS, models.ELASTIC_NET_PARAMS, (True, False))
+
+
+@query(
+    "elastic_net_cv_one_feature",
+    f"{_GRID_SQL} select reg_param, mix, with_intercept, round(avg(r2), 5) as r2 from q group by 1, 2, 3",
 )
 def elastic_net_cv_one_feature(spark: SparkSession, directory: str) -> DataFrame:
     """The whole 36-point grid on one feature, where the penalised fit has a closed form."""
@@ -293,6 +302,98 @@ def elastic_net_cv_one_feature(spark: SparkSession, directory: str) -> DataFrame
     )
 
 
+@query(
+    "cv_best_row_one_feature",
+    f"""{_GRID_SQL}, g as (select reg_param, mix, with_intercept, avg(r2) as r2 from q group by 1, 2, 3)
+        select round(max(r2), 5) as r2 from g""",
+)
+def cv_best_row_one_feature(spark: SparkSession, directory: str) -> DataFrame:
+    """The metric of the best grid point; several points agree in more digits than a fit has."""
+    rows = with_fold(spread(_charges(spark, directory)), "l_orderkey", 3).persist()
+    try:
+        tuned, grid = tune_linear(rows, ["price"], models.elastic_net_grid, "r2", 3)
+    finally:
+        rows.unpersist()
+    best = models.best_row(models.metrics_table(spark, grid, tuned.avgMetrics, tuned.stdMetrics), larger_is_better=True)
+    return best.select(F.round("avg_metric", 5).alias("r2"))
+
+
+def _ridge_rows(spark: SparkSession, directory: str) -> DataFrame:
+    return models.assembler(["price"], "features").transform(_charges(spark, directory))
+
+
+@query(
+    "ridge_cv_one_feature",
+    f"""{_penalised_sql(models.RIDGE_PAIR, (0.0,), (True,))}
+        select reg_param, round(avg(r2), 5) as r2 from q group by 1""",
+)
+def ridge_cv_one_feature(spark: SparkSession, directory: str) -> DataFrame:
+    """The two-point ridge grid by cross-validation over the rows themselves."""
+    ready = with_fold(_ridge_rows(spark, directory), "l_orderkey", 3).select("features", "label", "fold").persist()
+    regression = LinearRegression()
+    grid = models.ridge_grid(regression)
+    try:
+        tuned = models.cross_validate(ready, regression, grid, "r2", 3)
+    finally:
+        ready.unpersist()
+    metrics = models.metrics_table(spark, grid, tuned.avgMetrics, tuned.stdMetrics)
+    return metrics.select(F.col("regParam").alias("reg_param"), F.round("avg_metric", 5).alias("r2"))
+
+
+@query(
+    "ridge_hold_out_one_feature",
+    f"""{_penalised_sql(models.RIDGE_PAIR, (0.0,), (True,), "case when l_orderkey % 5 < 4 then 1 else 0 end")}
+        , h2 as (select * from q where fold = 0)
+        select reg_param, round(r2, 5) as r2 from h2""",
+)
+def ridge_hold_out_one_feature(spark: SparkSession, directory: str) -> DataFrame:
+    """The same grid judged on one hold-out, which is drawn by key."""
+    held = F.when(is_train("l_orderkey"), 1).otherwise(0).alias("fold")
+    ready = _ridge_rows(spark, directory).select("features", "label", held).persist()
+    regression = LinearRegression()
+    grid = models.ridge_grid(regression)
+    try:
+        tuned = models.cross_validate(ready, regression, grid, "r2", 2, held=[0])
+    finally:
+        ready.unpersist()
+    metrics = models.metrics_table(spark, grid, tuned.avgMetrics)
+    return metrics.select(F.col("regParam").alias("reg_param"), F.round("avg_metric", 5).alias("r2"))
+
+
+@query(
+    "tree_stump_cv",
+    """with d as (select l_orderkey % 3 as fold, l_discount as x, l_extendedprice * (1 - l_discount) as y from lineitem),
+          g as (select fold, x, count(*) as n, sum(y) as s, sum(y * y) as ss from d group by 1, 2),
+          f as (select distinct fold from g),
+          tr as (select f.fold, g.x, sum(g.n) as n, sum(g.s) as s from f join g on g.fold <> f.fold group by 1, 2),
+          t as (select fold, sum(n) as n, sum(s) as s from tr group by 1),
+          c as (select a.fold, a.x as cut, sum(b.n) as ln, sum(b.s) as ls
+                from tr a join tr b on a.fold = b.fold and b.x <= a.x group by 1, 2),
+          best as (select c.fold, cut, ls / ln as lo, (t.s - ls) / (t.n - ln) as hi, row_number() over
+                     (partition by c.fold order by ls * ls / ln + (t.s - ls) * (t.s - ls) / (t.n - ln) desc) as k
+                   from c join t on c.fold = t.fold where ln < t.n),
+          p as (select g.fold, g.n, g.s, g.ss, case when x <= cut then lo else hi end as p
+                from g join best on g.fold = best.fold where k = 1),
+          e as (select fold, sqrt(sum(ss - 2 * p * s + n * p * p) / sum(n)) as rmse from p group by 1)
+        select cast(0 as integer) as point, round(avg(rmse), 3) as rmse from e""",
+)
+def tree_stump_cv(spark: SparkSession, directory: str) -> DataFrame:
+    """A tree of depth one over the empty grid, by cross-validation."""
+    price = F.col("l_extendedprice")
+    lines = read_table(spark, directory, "lineitem").select(
+        "l_orderkey", "l_discount", (price * (1 - F.col("l_discount"))).alias("label")
+    )
+    vectors = models.assembler(["l_discount"], "features").transform(with_fold(lines, "l_orderkey", 3))
+    ready = vectors.select("features", "label", "fold").persist()
+    grid = models.default_grid()
+    try:
+        tuned = models.cross_validate(ready, models.tree(max_depth=1), grid, "rmse", 3)
+    finally:
+        ready.unpersist()
+    metrics = models.metrics_table(spark, grid, tuned.avgMetrics, tuned.stdMetrics)
+    return metrics.select("point", F.round("avg_metric", 3).alias("rmse"))
+
+
 @query("cv_best_row")
 def cv_best_row(spark: SparkSession, directory: str) -> DataFrame:
     return models.best_row(_elastic_net(spark, directory), larger_is_better=True)

@@ -83,7 +83,7 @@ def evaluator(metric: str) -> RegressionEvaluator:
 
 def cross_validate(
     frame: DataFrame, estimator: Estimator, grid: list[dict], metric: str, folds: int, *,
-    fold_col: str = "fold", parallelism: int = 4,
+    fold_col: str = "fold", parallelism: int = 4, held: Sequence[int] | None = None,
 ) -> CrossValidatorModel:
     """K-fold tuning with folds given by a column, so they survive repartitioning.
 
@@ -106,8 +106,9 @@ def cross_validate(
         row = scored.agg(*measures).first()
         return [row[f"{metric}_{point}"] for point in range(len(grid))]
 
-    with ThreadPool(min(parallelism, folds)) as pool:
-        by_fold = pool.map(run, range(folds))
+    judged = range(folds) if held is None else held
+    with ThreadPool(min(parallelism, len(judged))) as pool:
+        by_fold = pool.map(run, judged)
     averages, spreads = np.mean(by_fold, axis=0), np.std(by_fold, axis=0)
     best = int(np.argmin(averages) if metric == "rmse" else np.argmax(averages))
     return CrossValidatorModel(estimator.fit(frame, grid[best]), averages.tolist(), [], spreads.tolist())
