@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
 from meanline.functions.recode import recode_fixed
-from meanline.operators.encode import fit_means
+from meanline.operators.encode import fit_means, held_out_means
 from meanline.operators.metrics import metric_columns
 from meanline.operators.order import rank_first, rank_last, rank_middle
 from meanline.operators.project import filter_month, label_first
@@ -89,21 +89,21 @@ def run_job(df: DataFrame, job: RegressionJob, label: str = "cnt") -> JobRun:
 def _run(rows: DataFrame, job: RegressionJob) -> JobRun:
     train, test = encoded_parts(rows, job)
     prepared = models.preparation(job.features, job.max_categories).fit(train)
-    train = with_fold(train, "key", job.folds, seed=job.folds)
-    if job.regressor == "linear":
-        tuned, grid = _tune_linear(prepared.transform(train), job)
+    if job.means:
+        # folds see means of the other folds only, so a fold's labels are in none of its features
+        shown = fold_encoded(hash_split(rows, "key", job.train_ratio, job.seed)[0], job)
+        tuned, grid, estimator = _tune(models.preparation(job.features, job.max_categories).fit(shown).transform(shown), job)
+        better = max if job.metric == "r2" else min
+        point = tuned.avgMetrics.index(better(tuned.avgMetrics))
+        model = estimator.fit(prepared.transform(train).select("label", "features"), grid[point])
     else:
-        ready = prepared.transform(train).select("label", "features", "fold").persist(StorageLevel.MEMORY_AND_DISK)
-        grid = models.default_grid()
-        bins = max(32, (job.max_categories or 0) + 1)
-        try:
-            tuned = models.cross_validate(ready, models.tree(max_bins=bins), grid, job.metric, job.folds)
-        finally:
-            ready.unpersist()
+        folds = with_fold(train, "key", job.folds, seed=job.folds)
+        tuned, grid, _ = _tune(prepared.transform(folds), job)
+        model = tuned.bestModel
     spark = rows.sparkSession
     metrics = models.metrics_table(spark, grid, tuned.avgMetrics, tuned.stdMetrics)
     scored = shared_table(
-        tuned.bestModel.transform(prepared.transform(test)).select("key", *job.features, "label", "prediction"),
+        model.transform(prepared.transform(test)).select("key", *job.features, "label", "prediction"),
         "scored",
     )
     best = max(tuned.avgMetrics) if job.metric == "r2" else min(tuned.avgMetrics)
@@ -114,17 +114,37 @@ def _run(rows: DataFrame, job: RegressionJob) -> JobRun:
         F.col("rmse").alias("rmse_test"),
         F.col("r2").alias("r2_test"),
     )
-    return JobRun(tuned.bestModel, metrics, scored, quality)
+    return JobRun(model, metrics, scored, quality)
 
 
-def _tune_linear(prepared: DataFrame, job: RegressionJob):
-    """Tune on moments; indexed features are read back out of the vector."""
-    slots = vector_to_array("features")
-    names = [f"x{i}" for i in range(len(job.features))]
-    flat = prepared.select("fold", "label", *[slots[i].alias(name) for i, name in enumerate(names)])
-    return tune_linear(
-        flat, names, lambda r: models.elastic_net_grid(r, intercept=job.grid == "full"), job.metric, job.folds
-    )
+def fold_encoded(train: DataFrame, job: RegressionJob) -> DataFrame:
+    """Training rows with their fold, each mean-encoded by the other folds; values met in no other fold become 0.0."""
+    rows = with_fold(train, "key", job.folds, seed=job.folds)
+    for column in job.means:
+        rows = held_out_means(rows, column, "label", "fold", "_mean")
+        rows = rows.withColumn(column, F.coalesce("_mean", F.lit(0.0))).drop("_mean")
+    return rows
+
+
+def _tune(prepared: DataFrame, job: RegressionJob):
+    """Grid metrics over the folds of a prepared frame: (tuned, grid, estimator)."""
+    if job.regressor == "linear":
+        # tuned on moments; indexed features are read back out of the vector
+        slots = vector_to_array("features")
+        names = [f"x{i}" for i in range(len(job.features))]
+        flat = prepared.select("fold", "label", *[slots[i].alias(name) for i, name in enumerate(names)])
+        intercept = job.grid == "full"
+        tuned, _ = tune_linear(
+            flat, names, lambda r: models.elastic_net_grid(r, intercept=intercept), job.metric, job.folds
+        )
+        regression = LinearRegression()
+        return tuned, models.elastic_net_grid(regression, intercept=intercept), regression
+    ready = prepared.select("label", "features", "fold").persist(StorageLevel.MEMORY_AND_DISK)
+    estimator, grid = models.tree(max_bins=max(32, (job.max_categories or 0) + 1)), models.default_grid()
+    try:
+        return models.cross_validate(ready, estimator, grid, job.metric, job.folds), grid, estimator
+    finally:
+        ready.unpersist()
 
 
 def band_report(scored: DataFrame, n: int = 100) -> DataFrame:

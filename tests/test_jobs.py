@@ -44,3 +44,16 @@ def test_linear_job_reports_every_grid_point(trips):
     assert run.metrics.count() == 18
     best = run.metrics.agg(F.max("avg_metric")).first()[0]
     assert run.quality.first()["cv_value"] == pytest.approx(best)
+
+
+@pytest.mark.parametrize("regressor", ["tree", "linear"])
+def test_the_tuning_figure_of_a_noise_label_promises_nothing(spark, regressor):
+    i = F.col("id")
+    rows = spark.range(1500).select(
+        i.alias("key"), F.pmod(F.xxhash64(i), F.lit(500)).cast("double").alias("place"),
+        (F.pmod(F.xxhash64(i, F.lit(9)), F.lit(1000)) / 100).alias("cnt"),
+    )
+    job = jobs.RegressionJob(["place"], regressor, "full", "r2", 3, None, means=["place"])
+    quality = jobs.run_job(rows, job).quality.first()
+    assert quality["cv_value"] < 0.1
+    assert quality["r2_test"] < 0.1
