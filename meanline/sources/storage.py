@@ -3,13 +3,15 @@
 Everything lands in the shared folder that ``spark.checkpoint.dir`` names, so a
 lost executor loses nothing.  Only a single-process local session without that
 setting gets a folder of its own, one for the whole session.  Files stay until
-whoever owns the folder removes them.
+whoever owns the folder removes them, but for tables written within `scratch`.
 """
 
 from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -46,5 +48,35 @@ def shared_table(df: DataFrame, name: str) -> DataFrame:
     reads touch only the columns they ask for.
     """
     path = new_path(df.sparkSession, name)
+    if _scratch:
+        _scratch[-1].append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+#: Paths written within the blocks of `scratch` that are open, innermost last.
+_scratch: list[list[str]] = []
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[Callable[[DataFrame, str], DataFrame]]:
+    """Remove what `shared_table` writes inside the block when it ends.
+
+    The block gets a function that stores a result for longer; only what went
+    through it may be read afterwards.
+    """
+    _scratch.append([])
+
+    def keep(df: DataFrame, name: str) -> DataFrame:
+        held = shared_table(df, name)
+        path = _scratch[-1].pop()
+        if len(_scratch) > 1:
+            _scratch[-2].append(path)
+        return held
+
+    try:
+        yield keep
+    finally:
+        for path in _scratch.pop():
+            place = spark._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
