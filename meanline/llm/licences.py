@@ -1,7 +1,7 @@
 """Licence scan by a positional index of rare words.
 
 Templates are short licence notices.  From each template the index keeps its rarest words (those in the
-fewest documents, so of the highest inverse document frequency) with their positions.  The rare words of
+fewest documents, though in one at least; so of the highest inverse document frequency) with their positions.  The rare words of
 a text are looked up; each gives an alignment of a template to the text, and an alignment counts when
 half of the template's rare words stand where it says.  A counted alignment is confirmed when the
 template's mandatory phrase stands there word by word; its score is the share of all template words in place.
@@ -99,8 +99,8 @@ def document_frequencies(documents: DataFrame, templates: tuple[Template, ...])
 
 
 def rare_positions(template: Template, frequencies: dict[str, int]) -> list[int]:
-    """Where the template's rarest words stand in it."""
-    rarest = sorted(set(template.words), key=lambda w: (frequencies[w], w))[:KEYS]
+    """Where the template's rarest words, of those that some document has, stand in it."""
+    rarest = sorted((w for w in set(template.words) if frequencies[w]), key=lambda w: (frequencies[w], w))[:KEYS]
     return [i for i, w in enumerate(template.words) if w in rarest]
 
 
@@ -130,9 +130,9 @@ def scan(documents: DataFrame, phrases: tuple[Template, ...] = PHRASES, notices:
             F.lit(word),
             F.array(*(F.struct(F.lit(t).alias("t"), F.lit(p).alias("p")) for t, p in index[word])),
         )
-    ))
+    )).cast("map<string,array<struct<t:int,p:int>>>")
     nothing = F.array().cast("array<struct<t:int,at:int>>")
-    rare_words = F.array(*map(F.lit, rare))
+    rare_words = F.array(*map(F.lit, rare)).cast("array<string>")
     placed = F.filter(
         F.transform("_words", lambda w, i: F.struct(w.alias("w"), i.alias("i"))), lambda s: s["w"].isin(rare)
     )
@@ -188,7 +188,7 @@ frequency as (select v.w, count(x.n) as df from vocabulary v left join
   (select distinct n, w from (select n, unnest(ws) as w from d) where w in (select w from vocabulary)) x on x.w = v.w group by v.w),
 distinct_words as (select distinct t, unnest(ws) as w from templates),
 rare as (select t, w from (select t, w, row_number() over (partition by t order by df, w) as r
-  from distinct_words join frequency using (w)) where r <= {KEYS}),
+  from distinct_words join frequency using (w) where df > 0) where r <= {KEYS}),
 posted as (select t, unnest(ws) as w, unnest(range(len(ws)))::bigint as p from templates),
 keys as (select p.t, p.w, p.p from posted p join rare r on p.t = r.t and p.w = r.w),
 tokens as (select n, w, i from (select n, unnest(ws) as w, unnest(range(len(ws)))::bigint as i from d) where w in (select w from vocabulary)),
