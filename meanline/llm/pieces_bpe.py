@@ -33,8 +33,12 @@ from pyspark.sql import types as T
 from meanline.llm.text import pieces
 
 SPACE = "▁"
-REMEMBERED = 200_000
+#: Chunks kept encoded in a worker, at most: some 200 MB.
+REMEMBERED = 500_000
 _LONGEST_REMEMBERED = 64
+#: A chunk that ends in a letter and punctuation.
+_MARKED = re.compile("(.*[A-Za-zÀ-ÖØ-öø-ÿ])([.,!?;:]+)", re.S)
+_CROSSING = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ][.,!?;:]")
 _CHUNK = re.compile(f"{SPACE}+[^{SPACE}\n]*|[^{SPACE}\n]+|\n")
 
 
@@ -88,7 +92,8 @@ class PrefixTable:
         self._special = {self._unknown, *self._byte, *self._silent}
         self._of_byte = {value: i for i, value in self._byte.items()}
         self._characters = {p for p in self._rank if len(p) == 1}
-        self._compatible = Remembered(self._merges_to, 2 * REMEMBERED)
+        self._cuts_marks = not any(map(_CROSSING.search, self._rank))  # no piece holds a letter and then a mark
+        self._compatible = Remembered(self._merges_to, REMEMBERED)
         matches = ahocorasick.Automaton()
         for piece, (_, i) in self._rank.items():
             if len(piece) == 1 or self.merged(piece) == [piece]:
@@ -145,6 +150,9 @@ class PrefixTable:
 
     def _chunk(self, chunk: str) -> tuple[tuple[int, ...], str, str]:
         """A chunk's ids, the ids in decimal, and what they decode to with space marks kept as spaces."""
+        if self._cuts_marks and (parts := _MARKED.fullmatch(chunk)):
+            word, marks = self.chunk[parts[1]], self.chunk[parts[2]]
+            return word[0] + marks[0], f"{word[1]} {marks[1]}", word[2] + marks[2]
         ids = self._ids(chunk)
         return tuple(ids), " ".join(map(str, ids)), self._surface(ids)
 
