@@ -27,11 +27,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from meanline.llm.filters import maybe_in
 from meanline.sources.storage import shared_table
 
 WORD = r"[^\x20\x09-\x0D]+"
 #: Rows that a bucket holds on average.
-BUCKET_ROWS = 20_000
+BUCKET_ROWS = 2_000
 _PLACE_BITS = 44
 
 
@@ -72,11 +73,11 @@ def source_targets(sources: DataFrame, weights: Sequence[int], share: float, rep
 
 def mix(
     documents: DataFrame, *, weights: Sequence[int] = (1, 2, 3), share: float = 1.0, repeats: int = 3,
-    carry: bool = False,
+    carry: Sequence[str] = (),
 ) -> DataFrame:
     """doc_id, source, size, source_size, target and ``taken`` for every row of ``documents``.
 
-    With ``carry`` also ``row``, the row itself.
+    Columns named in ``carry`` are kept as well.
 
     ``size`` counts words, ``taken`` the words the mix takes of the row: its size times 0 to ``repeats``.
     Weights go to the sources in order of their names, again from the start when they run out.
@@ -84,7 +85,7 @@ def mix(
     sized = shared_table(
         documents.select(
             "doc_id", "source", F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("bigint").alias("size"),
-            shuffled_place().alias("place"), *([F.struct(*documents.columns).alias("row")] if carry else []),
+            shuffled_place().alias("place"), *carry,
         ),
         "sized",
     )
@@ -121,14 +122,29 @@ def mix(
                          F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("d"))
         taken = taken + F.when((F.col("target") > 0) & (place <= cut), F.col("size")).otherwise(F.lit(0).cast("bigint"))
     return queued.select(
-        "doc_id", "source", "size", "source_size", "target", taken.alias("taken"), *(["row"] if carry else [])
+        "doc_id", "source", "size", "source_size", "target", taken.alias("taken"), *carry
     )
 
 
 def mixed(documents: DataFrame, **options) -> DataFrame:
-    """The rows of ``documents`` that the mix takes, each as often as it is taken."""
-    turns = F.sequence(F.lit(1), (F.col("taken") / F.col("size")).cast("int"))
-    return mix(documents, carry=True, **options).where("taken > 0").select("row", F.explode(turns)).select("row.*")
+    """The rows of ``documents`` that the mix takes, each as often as it is taken.
+
+    Rows are found again by 128 bits of hashes over all their columns; texts move once.  Rows that are
+    alike in every column share what they are given.
+    """
+    names = [f"`{f.name}`" for f in documents.schema.fields if not f.dataType.simpleString().startswith("map")]
+    keyed = documents.withColumns({"_a": F.xxhash64(*names), "_b": F.xxhash64(F.lit(7), *names)})
+    turns = shared_table(
+        mix(keyed, carry=("_a", "_b"), **options).groupBy("_a", "_b").agg(
+            F.sum(F.when(F.col("taken") > 0, F.col("taken") / F.col("size"))).cast("int").alias("_turns"),
+            F.count(F.lit(1)).alias("_rows"),
+        ).where("_turns > 0"),
+        "turns",
+    )
+    single, copied = turns.where("_rows = 1"), turns.where("_rows > 1")
+    copies = maybe_in(keyed, copied.select("_a"), "_a").dropDuplicates(["_a", "_b"])
+    found = keyed.join(single, ["_a", "_b"]).unionByName(copies.join(copied, ["_a", "_b"]))
+    return found.withColumn("_turn", F.explode(F.sequence(F.lit(1), F.col("_turns")))).select(*documents.columns)
 
 
 def _cut(queued: DataFrame, finish, budget: int, buckets: int, repeats: int) -> Column:

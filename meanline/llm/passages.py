@@ -37,7 +37,7 @@ from pyspark.sql import types as T
 
 from meanline.llm.filters import maybe_in
 from meanline.llm.text import Ranges, Texts, mix, pieces
-from meanline.sources.storage import shared_table
+from meanline.sources.storage import scratch, shared_table
 
 LENGTH = 100
 BLOCK = 32
@@ -216,24 +216,27 @@ def _compared_one_by_one(strings: DataFrame, length: int) -> DataFrame:
 
 def repeated_ranges(documents: DataFrame, length: int = LENGTH, block: int = BLOCK) -> DataFrame:
     """doc_id, start and n: the n strings of ``length`` bytes from byte ``start`` on also start earlier."""
-    counted = _regions(documents, length, block, False).groupBy("block").count().where("count > 1").select("block")
-    candidates = shared_table(_regions(documents, length, block, True).join(counted, "block", "left_semi"), "regions")
-    first = shared_table(
-        candidates.groupBy("region", "block").agg(F.min(F.struct("doc_id", "place")).alias("first")), "first-regions"
-    )
-    repeats = candidates.join(first.select("region", "first"), "region").where(
-        F.struct("doc_id", "place") != F.col("first")
-    ).select("doc_id", F.shiftright("place", 16).alias("start"), F.col("place").bitwiseAND(0xFFFF).alias("n"))
-    sizes = first.groupBy("block").agg(F.count(F.lit(1)).alias("regions")).where("regions > 1")
-    mixed = first.select("block", "first.doc_id", "first.place").join(sizes, "block")
-    strings = shared_table(
-        _strings(mixed, documents, length).join(sizes, "block"), "strings"
-    )
-    few, many = F.col("regions") <= TASK_REGIONS, F.col("regions") > TASK_REGIONS
-    found = repeats.unionByName(_compared(strings.where(few).drop("regions"), length)).unionByName(
-        _compared_one_by_one(strings.where(many).drop("regions"), length)
-    )
-    return shared_table(found, "repeats")
+    with scratch(documents.sparkSession) as keep:
+        counted = shared_table(
+            _regions(documents, length, block, False).groupBy("block").count().where("count > 1").select("block"), "blocks"
+        )
+        candidates = shared_table(_regions(documents, length, block, True).join(counted, "block", "left_semi"), "regions")
+        first = shared_table(
+            candidates.groupBy("region", "block").agg(F.min(F.struct("doc_id", "place")).alias("first")), "first-regions"
+        )
+        repeats = candidates.join(first.select("region", "first"), "region").where(
+            F.struct("doc_id", "place") != F.col("first")
+        ).select("doc_id", F.shiftright("place", 16).alias("start"), F.col("place").bitwiseAND(0xFFFF).alias("n"))
+        sizes = first.groupBy("block").agg(F.count(F.lit(1)).alias("regions")).where("regions > 1")
+        mixed = first.select("block", "first.doc_id", "first.place").join(sizes, "block")
+        strings = shared_table(
+            _strings(mixed, documents, length).join(sizes, "block"), "strings"
+        )
+        few, many = F.col("regions") <= TASK_REGIONS, F.col("regions") > TASK_REGIONS
+        found = repeats.unionByName(_compared(strings.where(few).drop("regions"), length)).unionByName(
+            _compared_one_by_one(strings.where(many).drop("regions"), length)
+        )
+        return keep(found, "repeats")
 
 
 def _with_ranges(documents: DataFrame, repeats: DataFrame, columns: list[str]) -> DataFrame:
