@@ -1,7 +1,7 @@
 """Visible text of web pages, laid out: a tree builder with implied tags, visibility rules, and a renderer.
 
-The builder closes what markup leaves open (a paragraph before a block, a list item before the next, rows
-and cells of a table) and opens what it leaves out (a row around a cell).  Elements that a browser does
+The builder closes what markup leaves open (the head before the first element or text that cannot stand in
+it, a paragraph before a block, a list item before the next, rows and cells of a table) and opens what it leaves out (a row around a cell).  Elements that a browser does
 not show are left out.  The renderer keeps line breaks and blank lines between blocks, marks and indents
 list items, numbers ordered lists, keeps preformatted text and aligns the columns of tables.
 
@@ -33,6 +33,7 @@ _TOKEN = re.compile(
     r"|<([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*)(?:>|\Z)", re.S,
 )
 _ATTRIBUTE = re.compile(r"([^\s=/>\"']+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
+_BLANK = " \t\n\r\f"
 _SPACES = re.compile(r"[ \t\n\r\f]+")
 _HIDING_STYLE = re.compile(r"display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse)", re.I)
 
@@ -71,6 +72,8 @@ CLOSES = {
     "tfoot": (_names("thead tbody tfoot tr td th caption colgroup"), _names("table")),
     "body": (_names("head"), _names("body")),
 }
+#: What may stand in <head>; any other element, or text, ends it.
+IN_HEAD = _names("head title meta link base basefont bgsound script style template noscript noframes")
 _P_SCOPE = _names("table td th caption button html object template")
 _TABLE_WALLS = _names("td th caption table")
 
@@ -122,7 +125,10 @@ def build(page: str) -> Node:
         token = _TOKEN.search(page, at)
         text = page[at : token.start() if token else end]
         if text:
-            stack[-1].children.append(entities.unescape(text))
+            text = entities.unescape(text)
+            if stack[-1].name == "head" and text.strip(_BLANK):
+                cut(len(stack) - 1)
+            stack[-1].children.append(text)
         if token is None:
             break
         at = token.end()
@@ -130,6 +136,8 @@ def build(page: str) -> Node:
         if ended:
             name = ended.lower()
             if name == "br":
+                if stack[-1].name == "head":
+                    cut(len(stack) - 1)
                 stack[-1].children.append(Node("br", {}))
                 continue
             walls = frozenset() if name in ("table", "body", "html") else _TABLE_WALLS - {name}
@@ -141,6 +149,10 @@ def build(page: str) -> Node:
                     break
         elif started:
             name = started.lower()
+            if name == "head" and opened["head"]:
+                continue
+            if stack[-1].name == "head" and name not in IN_HEAD:
+                cut(len(stack) - 1)
             if name in CLOSES_P:
                 for depth in range(len(stack) - 1, 0, -1) if opened["p"] else ():
                     if stack[depth].name == "p":

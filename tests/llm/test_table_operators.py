@@ -36,6 +36,17 @@ def test_layout(page, text):
     assert shown(page) == text
 
 
+@pytest.mark.parametrize(("page", "text"), [
+    ("<html><head><title>T</title><meta name=a><p>Hello<p>all</html>", "Hello\n\nall"),
+    ("<head><title>T</title>\n<style>no</style><noscript><b>no</b></noscript>\n text <b>on</b>", "text on"),
+    ("<head><script>no</script></br>a<title>no</title>b", "ab"),
+    ("<head><head><h1>a</h1></head>b", "a\n\nb"),
+    ("<head><title>T</title><template><p>no</p></template><body>b", "b"),
+])
+def test_head_without_an_end_tag(page, text):
+    assert shown(page) == text
+
+
 def test_deep_nesting_is_no_recursion():
     assert shown("<div>" * 30_000 + "x").strip() == "x"
     assert "x" in shown("<table><tr><td>" * 200 + "x")
