@@ -1,8 +1,10 @@
 """Visible text of web pages, laid out: a tree builder with implied tags, visibility rules, and a renderer.
 
 The builder closes what markup leaves open (the head before the first element or text that cannot stand in
-it, a paragraph before a block, a list item before the next, rows and cells of a table) and opens what it leaves out (a row around a cell).  Elements that a browser does
-not show are left out.  The renderer keeps line breaks and blank lines between blocks, marks and indents
+it, a paragraph before a block, a list item before the next, rows and cells of a table) and opens what it
+leaves out (a row around a cell).  A table that starts among the rows of another ends that one; other
+elements and text there are moved before the table, as browsers do.  Elements that a browser does not
+show are left out.  The renderer keeps line breaks and blank lines between blocks, marks and indents
 list items, numbers ordered lists, keeps preformatted text and aligns the columns of tables.
 
 Neither step recurses, so nesting may be as deep as a page is long.
@@ -74,6 +76,9 @@ CLOSES = {
 }
 #: What may stand in <head>; any other element, or text, ends it.
 IN_HEAD = _names("head title meta link base basefont bgsound script style template noscript noframes")
+#: What a table is made of; any other element, or text, that stands among it is shown before the table.
+_PARTS = _names("caption colgroup col thead tbody tfoot tr td th")
+_FRAME = _names("table colgroup thead tbody tfoot tr")
 _P_SCOPE = _names("table td th caption button html object template")
 _TABLE_WALLS = _names("td th caption table")
 
@@ -97,15 +102,49 @@ def build(page: str) -> Node:
     root = Node("", {})
     stack = [root]
     opened: Counter[str] = Counter()  # open elements by name, so that looking for one that is not open costs nothing
+    # for each open element the depth of the table that it stands in outside a cell; in a cell or caption minus its depth
+    tables = [0]
+
+    def add(child: Node | str) -> None:
+        """Append to the open element; what cannot stand in a table goes before the table."""
+        if tables[-1] > 0 and stack[-1].name in _FRAME and (
+            child.strip(_BLANK) if isinstance(child, str) else child.name not in _PARTS
+        ):
+            around = stack[tables[-1] - 1].children  # the table is the last of them
+            around.insert(len(around) - 1, child)
+        else:
+            stack[-1].children.append(child)
 
     def open_element(node: Node) -> None:
-        stack[-1].children.append(node)
+        add(node)
+        within, depth = tables[-1], len(stack)
+        if node.name == "table":
+            within = depth
+        elif node.name in _TABLE_WALLS:
+            within = -depth if within > 0 else 0
+        elif node.name == "template":
+            within = 0
         stack.append(node)
+        tables.append(within)
         opened[node.name] += 1
 
     def cut(depth: int) -> None:
         opened.subtract(node.name for node in stack[depth:])
-        del stack[depth:]
+        del stack[depth:], tables[depth:]
+
+    def in_table(name: str) -> None:
+        """Inside a table, end what the start of a part of it, or of another table, ends."""
+        if name in _PARTS and tables[-1] < 0:
+            cut(-tables[-1])
+        table = tables[-1]
+        if table > 0 and name == "table":
+            cut(table)
+        elif table > 0 and name in _PARTS:
+            depth = table + 1
+            if name not in ("caption", "colgroup"):
+                while depth < len(stack) and stack[depth].name in _FRAME and (stack[depth].name != "colgroup" or name == "col"):
+                    depth += 1
+            cut(depth)
 
     def close(names: frozenset[str], walls: frozenset[str]) -> None:
         """End the outermost open element of ``names`` inside the nearest wall."""
@@ -128,7 +167,7 @@ def build(page: str) -> Node:
             text = entities.unescape(text)
             if stack[-1].name == "head" and text.strip(_BLANK):
                 cut(len(stack) - 1)
-            stack[-1].children.append(text)
+            add(text)
         if token is None:
             break
         at = token.end()
@@ -138,7 +177,7 @@ def build(page: str) -> Node:
             if name == "br":
                 if stack[-1].name == "head":
                     cut(len(stack) - 1)
-                stack[-1].children.append(Node("br", {}))
+                add(Node("br", {}))
                 continue
             walls = frozenset() if name in ("table", "body", "html") else _TABLE_WALLS - {name}
             for depth in range(len(stack) - 1, 0, -1) if opened[name] else ():
@@ -153,6 +192,9 @@ def build(page: str) -> Node:
                 continue
             if stack[-1].name == "head" and name not in IN_HEAD:
                 cut(len(stack) - 1)
+            if name == "colgroup" and not tables[-1]:
+                continue
+            in_table(name)
             if name in CLOSES_P:
                 for depth in range(len(stack) - 1, 0, -1) if opened["p"] else ():
                     if stack[depth].name == "p":
@@ -166,13 +208,15 @@ def build(page: str) -> Node:
                 open_element(Node("tr", {}))
             node = Node(name, _attributes(token.group(3)))
             if name in RAW or name in PLAIN:
-                stack[-1].children.append(node)
+                add(node)
                 closing = re.compile(rf"</{re.escape(name)}(?=[\s/>])[^>]*(?:>|\Z)", re.I).search(page, at)
                 inner = page[at : closing.start() if closing else end]
                 node.children.append(entities.unescape(inner) if name in PLAIN else inner)
                 at = closing.end() if closing else end
             elif name in VOID:
-                stack[-1].children.append(node)
+                add(node)
+            elif name == "form" and tables[-1] > 0:
+                stack[-1].children.append(node)  # ended at once
             else:
                 open_element(node)
     return root
@@ -290,7 +334,7 @@ def render(root: Node) -> str:
         step, node = pending.pop()
         if isinstance(node, str):
             if tables and flow is tables[-1][1]:
-                continue  # text between cells is not in a table
+                continue  # blank text between cells is not in a table
             flow.text(node)
             continue
         name = node.name

@@ -47,6 +47,21 @@ def test_head_without_an_end_tag(page, text):
     assert shown(page) == text
 
 
+@pytest.mark.parametrize(("page", "text"), [
+    ("<table><tr><td>a</td></tr> x<b>y</b> <tr><td>b</table>z", "xy\n\na\nb\n\nz"),
+    ("<div><table><tr><td>a</td></tr></div><p>one<p>two <i>2</i><table><tr><td>b</table>end", "one\n\ntwo 2\n\na\n\nb\n\nend"),
+    ("<table><tr><table><tr><td>n</table>z", "n\n\nz"),
+    ("<table>a<tr>b<td>c<div>d<tr>e<p>f<td>g</table>", "abe\n\nf\n\nc\nd\ng"),
+    ("<table><tr><td>o<table><tr><td>n</td>t</tr></table>p</table>", "ot\n\nn\n\np"),
+    ("<table><colgroup>x<col><td>a<caption>c<td>b</table>", "x\n\nc\na\nb"),
+    ("<form><table><form><tr><td>a</form><td>b</table></form>c", "a  b\n\nc"),
+    ("<table><br><textarea>t</textarea><h1>h</h1><ul><li>i</ul><tr><td>a</table>", "t\n\nh\n\n- i\n\na"),
+    ("<colgroup>a", "a"),
+])
+def test_what_stands_in_a_table_outside_a_cell_comes_before_it(page, text):
+    assert shown(page) == text
+
+
 def test_deep_nesting_is_no_recursion():
     assert shown("<div>" * 30_000 + "x").strip() == "x"
     assert "x" in shown("<table><tr><td>" * 200 + "x")
