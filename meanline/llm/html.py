@@ -11,7 +11,7 @@ Neither step recurses, so nesting may be as deep as a page is long.
 
 Defined results
     null or empty html: the empty text, no blocks.  Text without any tag: the text, spaces collapsed.
-    unfinished tags, comments and raw elements run to the end of the page.
+    unfinished tags (also by a quoted value without its end), comments and raw elements run to the end of the page.
     repeated rows: each is rendered.  Empty table: no rows.
     a column whose name clashes with an added one is refused by ``ValueError``.
 """
@@ -30,12 +30,16 @@ from pyspark.sql import types as T
 
 from meanline.llm.text import pieces
 
+_BLANK = " \t\n\r\f"
+# Quotes open a value only right after the equals sign; elsewhere in a tag they are like letters.
+_TAG_NAME, _NAME, _IS = rf"[a-zA-Z][^{_BLANK}/>]*+", rf"[^{_BLANK}/>][^{_BLANK}/>=]*+", rf"[{_BLANK}]*+=[{_BLANK}]*+"
+_DOUBLE, _SINGLE, _BARE = r"[^\"]*+", r"[^']*+", rf"[^{_BLANK}\"'>][^{_BLANK}>]*+"
+_INSIDE = rf"(?:[{_BLANK}/]++|{_NAME}(?:{_IS}(?:\"{_DOUBLE}(?:\"|\Z)|'{_SINGLE}(?:'|\Z)|{_BARE})?)?)*+"
 _TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|</([a-zA-Z][^\s/>]*)[^>]*(?:>|\Z)"
-    r"|<([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*)(?:>|\Z)", re.S,
+    r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)"
+    rf"|</({_TAG_NAME}){_INSIDE}(?:>|\Z)|<({_TAG_NAME})({_INSIDE})(?:>|\Z)", re.S,
 )
-_ATTRIBUTE = re.compile(r"([^\s=/>\"']+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
-_BLANK = " \t\n\r\f"
+_ATTRIBUTE = re.compile(rf"({_NAME})(?:{_IS}(?:\"({_DOUBLE})(?:\"|\Z)|'({_SINGLE})(?:'|\Z)|({_BARE}))?)?")
 _SPACES = re.compile(r"[ \t\n\r\f]+")
 _HIDING_STYLE = re.compile(r"display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse)", re.I)
 

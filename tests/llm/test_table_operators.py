@@ -62,6 +62,16 @@ def test_what_stands_in_a_table_outside_a_cell_comes_before_it(page, text):
     assert shown(page) == text
 
 
+@pytest.mark.parametrize(("page", "text"), [
+    ("<p><img alt=don't>one two three it's four <b>five</b>", "one two three it's four five"),
+    ('<a href="x"">link text</a> said "so"', 'link text said "so"'),
+    ("<p class='a'b\" hidden>no</p><p title = '>' \"x' id=\"a>b\"c=d>yes</p \"> it's", "yes\n\nit's"),
+    ("<p title=>a<b ='>b<i =\"=x/>c<u a/b='>'/>d", "abcd"), ("a<b title='>c", "a"), ("<p a=b/hidden>c<p a='b'/hidden>d", "c"),
+])
+def test_quotes_open_a_value_only_at_its_start(page, text):
+    assert shown(page) == text
+
+
 def test_deep_nesting_is_no_recursion():
     assert shown("<div>" * 30_000 + "x").strip() == "x"
     assert "x" in shown("<table><tr><td>" * 200 + "x")
