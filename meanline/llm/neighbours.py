@@ -9,7 +9,7 @@ query, so further copies need not be hashed; the result is the same.  Vectors of
 lifted onto a sphere first, so that near in angle means near in distance.
 
 A table's bucket is cut into cells of bounded size, for candidates and for queries, so a bucket that
-holds a third of all rows is many tasks.  Each cell returns the nearest ``k`` of each of its queries.
+holds a third of all rows is many tasks.  Each cell returns the nearest ``k`` ids of each of its queries.
 
 Defined results
     vectors that are null, zero or hold null or non-finite components take no part.
@@ -118,11 +118,9 @@ def nearest(
     least, most = known.agg(F.min(square), F.max(square)).first()
     lift = 0.0 if least is None or most <= least * (1 + 1e-5) else most
     first = F.row_number().over(W.partitionBy("v").orderBy("id"))
-    indexed = shared_table(
-        _hashed(known.withColumn("copy", first).where(F.col("copy") <= k + 1).select("id", "v"), lift, tables, 1, ""),
-        "hashed",
-    )
-    queries = known.where("asks").select("id", "v")
+    copies = known.select("id", "v").distinct().withColumn("copy", first)
+    indexed = shared_table(_hashed(copies.where(F.col("copy") <= k + 1).select("id", "v"), lift, tables, 1, ""), "hashed")
+    queries = known.where("asks").select("id", "v").distinct()
     best = shared_table(_search(_hashed(queries, lift, tables, probes, "q_"), indexed, k), "nearest")
     # a query that found fewer than k looks into every bucket of the first table
     full = best.groupBy(F.col("query_id").alias("id")).count().where(F.col("count") >= k)
@@ -167,18 +165,23 @@ def _search(asked: DataFrame, indexed: DataFrame, k: int) -> DataFrame:
             dimension = held.column("dimension")[0].as_py()
             c, q = _matrix(held.column("vector"), dimension), _matrix(asks.column("q_vector"), dimension)
             c_ids, q_ids = held.column("id").to_numpy(), asks.column("q_id").to_numpy()
+            order = np.argsort(c_ids, kind="stable")
+            c, c_ids = c[order], c_ids[order]
+            starts = np.flatnonzero(np.concatenate([[True], c_ids[1:] != c_ids[:-1]]))  # an id may have several vectors
             squares = (c**2).sum(1)
             rough = squares[None, :] - 2 * (q @ c.T)
             for row, (query, vector) in enumerate(zip(q_ids, q, strict=True)):
                 near = rough[row]
-                if len(c_ids) > k + 1:
+                if len(starts) > k + 1:
                     slack = 1e-9 * (squares.max() + (vector**2).sum())
-                    at = np.flatnonzero(near <= np.partition(near, k)[k] + slack)
+                    at = np.flatnonzero(near <= np.partition(np.minimum.reduceat(near, starts), k)[k] + slack)
                 else:
                     at = np.arange(len(c_ids))
                 at = at[c_ids[at] != query]
                 score = np.sqrt(((c[at] - vector) ** 2).sum(1))
-                for i in np.lexsort((c_ids[at], score))[:k]:
+                nearest_first = np.lexsort((c_ids[at], score))
+                _, firsts = np.unique(c_ids[at][nearest_first], return_index=True)
+                for i in nearest_first[np.sort(firsts)[:k]]:
                     found.append((int(query), int(c_ids[at][i]), float(score[i])))
         return pa.table({
             "query_id": pa.array([f[0] for f in found], pa.int64()), "vec_id": pa.array([f[1] for f in found], pa.int64()),

@@ -270,6 +270,28 @@ def test_neighbours_of_odd_vectors(spark):
     assert neighbours.nearest(table.limit(0), F.col("vec_id") % 100 == 0).count() == 0
 
 
+def test_neighbours_when_rows_and_ids_repeat(spark):
+    # groups of 12 equal vectors, each row twice, and ids that have several vectors near each other
+    rng = np.random.default_rng(4)
+    centres = rng.normal(size=(25, 8)).round(2)
+    rows = [(g * 12 + j, [float(x) for x in c]) for g, c in enumerate(centres) for j in range(12)]
+    several = [(1000 + i, [float(x) for x in centres[0] + 0.001 * (i + 1) + 0.0001 * j]) for i in range(15) for j in range(12)]
+    table = spark.createDataFrame([*rows, *several], "vec_id bigint, embedding array<double>")
+    got = {}
+    for r in neighbours.nearest(table.union(table), F.col("vec_id") % 100 == 0).orderBy("query_id", "rank").collect():
+        got.setdefault(r.query_id, []).append((r["rank"], r.vec_id, round(r.score, 9)))
+    ids, x = np.array([i for i, _ in [*rows, *several]]), np.array([v for _, v in [*rows, *several]])
+    want = {}
+    for q in (0, 100, 200, 1000):
+        least = {}
+        for v in x[ids == q]:
+            for i, d in zip(ids, np.sqrt(((x - v) ** 2).sum(1)), strict=True):
+                least[int(i)] = min(least.get(int(i), np.inf), round(float(d), 9))
+        del least[q]
+        want[q] = [(n + 1, i, d) for n, (d, i) in enumerate(sorted((d, i) for i, d in least.items())[:10])]
+    assert got == want
+
+
 def test_rotation_keeps_lengths():
     rng = np.random.default_rng(1)
     x = rng.normal(size=(5, 64))
