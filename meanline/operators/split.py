@@ -34,6 +34,10 @@ def is_train(key: str | Column | Sequence[str], ratio: float = 0.8, seed: int |
     if seed is not None:
         return slot(key, _SLOTS, seed) < round(ratio * _SLOTS)
     share = Fraction(str(ratio)).limit_denominator(10_000)
+    if share in (0, 1) and 0 < ratio < 1:  # no part may vanish
+        share = Fraction(str(ratio)).limit_denominator(_SLOTS)
+        if share in (0, 1):
+            raise ValueError(f"the ratio {ratio} leaves one part without keys")
     return slot(key, share.denominator) < share.numerator
 
 

@@ -95,3 +95,12 @@ def test_many_large_columns_read_the_rows_once_each_way(spark, skewed):
     assert plan.count("Union") == 0
     narrow = encoding.apply(rows, outputs)
     assert wide.exceptAll(narrow).isEmpty() and narrow.exceptAll(wide).isEmpty()
+
+
+def test_extreme_ratios_without_a_seed_leave_no_part_empty(spark):
+    rows = spark.range(200_000)
+    assert [d.count() for d in hash_split(rows, "id", 0.00003)] == [6, 199_994]
+    assert [d.count() for d in hash_split(rows, "id", 0.99998)] == [199_996, 4]
+    assert [d.count() for d in hash_split(rows, "id", 0.33333)] == [66_667, 133_333]
+    with pytest.raises(ValueError, match="ratio"):
+        is_train("id", 1e-12)
