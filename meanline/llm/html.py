@@ -4,7 +4,7 @@ The builder closes what markup leaves open (the head before the first element or
 it, a paragraph before a block, a list item before the next, rows and cells of a table) and opens what it
 leaves out (a row around a cell).  A table that starts among the rows of another ends that one; other
 elements and text there are moved before the table, as browsers do.  Elements that a browser does not
-show are left out.  The renderer keeps line breaks and blank lines between blocks, marks and indents
+show are left out.  Formulas show their text, drawings that of their text elements.  The renderer keeps line breaks and blank lines between blocks, marks and indents
 list items, numbers ordered lists, keeps preformatted text and aligns the columns of tables.
 
 Neither step recurses, so nesting may be as deep as a page is long.
@@ -41,7 +41,8 @@ _TOKEN = re.compile(
 )
 _ATTRIBUTE = re.compile(rf"({_NAME})(?:{_IS}(?:\"({_DOUBLE})(?:\"|\Z)|'({_SINGLE})(?:'|\Z)|({_BARE}))?)?")
 _SPACES = re.compile(r"[ \t\n\r\f]+")
-_HIDING_STYLE = re.compile(r"display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse)", re.I)
+_HIDING_STYLE = re.compile(r"display\s*:\s*none", re.I)
+_VISIBILITY = re.compile(r"visibility\s*:\s*(visible|hidden|collapse)", re.I)
 
 
 def _names(text: str) -> frozenset[str]:
@@ -54,8 +55,11 @@ RAW = _names("script style xmp iframe noembed noframes noscript")
 PLAIN = _names("title textarea")
 HIDDEN = _names(
     "head script style template noscript title meta link base datalist iframe noembed noframes object audio video "
-    "canvas svg math map param source track col colgroup rp"
+    "canvas map param source track col colgroup rp annotation annotation-xml"
 )
+#: Of a drawing only these elements show text, unless they stand in one of the others.
+SVG_TEXT = _names("text foreignobject")
+SVG_HIDDEN = _names("defs symbol clippath mask pattern marker metadata desc")
 #: Blocks with a blank line around them, and without.
 SPACED = _names("p h1 h2 h3 h4 h5 h6 ul ol menu dl blockquote pre table figure fieldset hr")
 BLOCKS = SPACED | _names(
@@ -217,7 +221,7 @@ def build(page: str) -> Node:
                 inner = page[at : closing.start() if closing else end]
                 node.children.append(entities.unescape(inner) if name in PLAIN else inner)
                 at = closing.end() if closing else end
-            elif name in VOID:
+            elif name in VOID or (opened["svg"] or opened["math"] or name in ("svg", "math")) and token.group(3).endswith("/"):
                 add(node)
             elif name == "form" and tables[-1] > 0:
                 stack[-1].children.append(node)  # ended at once
@@ -235,6 +239,20 @@ def visible(node: Node) -> bool:
     )
 
 
+def _drawn(svg: Node) -> list:
+    """The outermost elements of a drawing that show text, set apart by spaces."""
+    found, pending = [], list(reversed(svg.children))
+    while pending:
+        node = pending.pop()
+        if isinstance(node, str) or node.name in SVG_HIDDEN or not visible(node):
+            continue
+        if node.name in SVG_TEXT:
+            found += [" ", node, " "]
+        else:
+            pending.extend(reversed(node.children))
+    return found
+
+
 class _Flow:
     """Lines of one column of text."""
 
@@ -333,12 +351,13 @@ def render(root: Node) -> str:
     """The visible text of a tree."""
     flow, flows, tables = _Flow(), [], []
     counters: list[int | None] = []
+    veiled = [False]  # for each entered element, whether its visibility hides its own text
     pending: list[tuple[str, object]] = [("enter", root)]
     while pending:
         step, node = pending.pop()
         if isinstance(node, str):
-            if tables and flow is tables[-1][1]:
-                continue  # blank text between cells is not in a table
+            if veiled[-1] or tables and flow is tables[-1][1]:
+                continue  # hidden, or blank text between cells
             flow.text(node)
             continue
         name = node.name
@@ -346,11 +365,13 @@ def render(root: Node) -> str:
             if not visible(node):
                 continue
             pending.append(("leave", node))
-            children = node.children
+            stated = _VISIBILITY.findall(node.attributes.get("style", ""))
+            veiled.append(stated[-1].lower() != "visible" if stated else veiled[-1])
+            children = _drawn(node) if name == "svg" else node.children
             if name == "details" and "open" not in node.attributes:
                 children = [c for c in children if isinstance(c, Node) and c.name == "summary"][:1]
             if name == "br":
-                flow.end_line(True)
+                flow.end_line(not veiled[-1])
             elif name == "table":
                 flow.block(2)
                 flows.append(flow)
@@ -381,6 +402,7 @@ def render(root: Node) -> str:
                         children = [children[0][1:], *children[1:]]
             pending.extend(("enter", c) for c in reversed(children))
             continue
+        veiled.pop()
         if name == "table":
             table, _ = tables.pop()
             flow.end_line()

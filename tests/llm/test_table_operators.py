@@ -72,6 +72,18 @@ def test_quotes_open_a_value_only_at_its_start(page, text):
     assert shown(page) == text
 
 
+@pytest.mark.parametrize(("page", "text"), [
+    ("a <math><mi>x</mi><mo>=</mo><semantics><mn>2</mn><annotation>no</annotation></semantics></math> b", "a x=2 b"),
+    ("a<svg><title>no</title><defs><text>no</text></defs><path d=z/><g><text>one <tspan>two</tspan></text></g>no<text>b</text></svg>c",
+     "a one two b c"),
+    ("a<svg/>b<math/>c", "abc"),
+    ("<div style='visibility:hidden'>no<p>no<p style='visibility: visible'>yes<b>too</b></div>z", "yestoo\n\nz"),
+    ("<ul style='visibility:hidden'><li>no<li><b style='VISIBILITY:VISIBLE'>b</b></ul>", "- b"),
+])
+def test_formulas_drawings_and_visible_children_are_shown(page, text):
+    assert shown(page) == text
+
+
 def test_deep_nesting_is_no_recursion():
     assert shown("<div>" * 30_000 + "x").strip() == "x"
     assert "x" in shown("<table><tr><td>" * 200 + "x")
