@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meanline.llm import html, licences, lines, mixing, near, neighbours, passages, pieces_bpe, quality, sharding, warc
+from meanline.llm import codebooks, html, licences, lines, mixing, near, neighbours, passages, pieces_bpe, quality, sharding, warc
 from meanline.sources.storage import new_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -128,3 +128,11 @@ def op11_bloom_line_dedup(spark: SparkSession, directory: str) -> DataFrame:
     """All documents without the lines that stand in ten or more of them."""
     left = lines.drop_repeated_lines(table(spark, directory, "documents"), min_documents=10, keep_first=False)
     return left.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
+
+
+@query("op13_orchard_codes", codebooks.CODES_SQL)
+def op13_orchard_codes(spark: SparkSession, directory: str) -> DataFrame:
+    """Codes of all vectors in four parts of 256 entries, their errors and the codebooks' digest."""
+    return codebooks.codes_with_totals(table(spark, directory, "embeddings")).select(
+        "vec_id", "code", "error", "label_error", "codebooks_sha256"
+    )
