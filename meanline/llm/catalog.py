@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meanline.llm import codebooks, html, licences, lines, mixing, near, neighbours, passages, pieces_bpe, quality, sharding, warc
+from meanline.llm import codebooks, collocations, html, licences, lines, mixing, near, neighbours, passages, pieces_bpe, quality, sharding, warc
 from meanline.sources.storage import new_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -130,6 +130,12 @@ def op11_bloom_line_dedup(spark: SparkSession, directory: str) -> DataFrame:
     return left.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
 
 
+@query("op12_rollup_collocations", collocations.COLLOCATIONS_SQL)
+def op12_rollup_collocations(spark: SparkSession, directory: str) -> DataFrame:
+    """The strongest phrases of two and three words of each language."""
+    return collocations.collocations(table(spark, directory, "documents"))
+
+
 @query("op13_orchard_codes", codebooks.CODES_SQL)
 def op13_orchard_codes(spark: SparkSession, directory: str) -> DataFrame:
     """Codes of all vectors in four parts of 256 entries, their errors and the codebooks' digest."""
