@@ -19,6 +19,7 @@ Defined results
     ties: the entry of the lower index.  Null ids come last among the vectors a codebook starts with;
         equal ids are ordered by their vectors.
     repeated rows: each is coded on its own and counts in the means.
+    components of any size: codes and codebooks are exact; an error that passes 63 bits is null.
     fewer vectors than entries: a smaller codebook.  Empty tables: an empty result.
     other columns: kept; one named like a result column (code, error) gives way to it.
 """
@@ -231,11 +232,12 @@ def encode(df: DataFrame, books: Codebooks, vector: str = "embedding") -> DataFr
                 codes = [c + format(i, f"0{digits}x") for c, i in zip(codes, index.tolist(), strict=True)]
                 errors = [e + int(x) for e, x in zip(errors, squared, strict=True)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(1), pa.array(codes, pa.string()), pa.array(errors, pa.int64())], names=["row", *added]
+                [batch.column(1), pa.array(codes, pa.string()), pa.array([e if e < 1 << 63 else None for e in errors], pa.int64())],
+                names=["row", *added]
             )
 
     schema = T.StructType([
-        packed.schema["row"], T.StructField("code", T.StringType(), False), T.StructField("error", T.LongType(), False)
+        packed.schema["row"], T.StructField("code", T.StringType(), False), T.StructField("error", T.LongType())
     ])
     return packed.mapInArrow(code, schema).select(*(F.col(f"row.`{c}`") for c in others), *added)
 

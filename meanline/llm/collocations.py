@@ -5,6 +5,12 @@ the next words of its piece, in columns of their own, padded with an empty word
 Only windows are counted; as every occurrence of a shorter phrase is the beginning of exactly one window,
 ROLLUP over the columns gives the counts of all shorter phrases, of single words, and of all words.
 
+Tasks count windows some million words at a time, and the counts are dealt out by their first two words.
+There the end of a window that is too rare to be a candidate is replaced by padding (a rare window keeps
+its place in the sums of its shorter beginnings), so that few rows are left to roll up.  Two words that
+begin many windows are dealt out by the third word too; a sample finds them, which matters for the
+distribution of the work and not for the result.
+
 A phrase of ``a`` occurrences cut into two parts of ``l`` and ``r`` occurrences scores
 ``floor(scale * a * a / (l * r))``; its lowest-scoring cut counts.  A phrase inside a longer one that
 accounts for most of its occurrences is left out.
@@ -19,34 +25,130 @@ Defined results
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from meanline.llm.text import Texts, pieces
 from meanline.sources.storage import scratch, shared_table
 
-#: Where pieces end, and what separates words.
-PIECE_END = "[.,;:!?\\n\\x0B\\f\\r]"
-WORD_END = "[ \\t]"
-_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-
-
-def _parts(value: Column, pattern: str) -> Column:
-    return F.filter(F.split(value, pattern), lambda x: x != "")
+#: Words whose windows a task counts together.
+CHUNK_WORDS = 2_000_000
+#: One document in so many is looked at for beginnings that hold more than one window in ``HOT_SHARE``.
+SAMPLE_SHARE, HOT_SHARE, SALTS = 64, 1000, 64
+
+_ENDS = np.isin(np.arange(256), np.frombuffer(b".,;:!?\n\x0b\x0c\r", np.uint8))
+_IN_WORD = ~_ENDS & ~np.isin(np.arange(256), [0x20, 0x09])
+_LOWER = np.arange(256, dtype=np.uint8) + 32 * ((np.arange(256) >= 65) & (np.arange(256) <= 90)).astype(np.uint8)
+
+
+def _words(texts: Texts) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """All words, whether the next one is in the same piece, and their documents."""
+    starts, ends, documents = texts.words(_IN_WORD)
+    offsets = np.concatenate([[0], np.cumsum(ends - starts)]).astype(np.int32)
+    held = _LOWER[texts.data[_IN_WORD[texts.data]]]
+    words = pa.StringArray.from_buffers(len(starts), pa.py_buffer(offsets), pa.py_buffer(held))
+    piece = np.cumsum(_ENDS[texts.data])[starts] if len(starts) else starts
+    follows = np.zeros(len(starts), bool)
+    follows[:-1] = (piece[1:] == piece[:-1]) & (documents[1:] == documents[:-1])
+    return words, follows, documents
+
+
+def _counted(words: pa.Array, follows: np.ndarray, langs: np.ndarray, longest: int) -> tuple[list[np.ndarray], pa.Array, np.ndarray]:
+    """Columns (lang, then word numbers with 0 for padding) of the different windows, the words, the counts."""
+    coded = words.dictionary_encode()
+    columns = [langs, coded.indices.to_numpy(zero_copy_only=False).astype(np.int64) + 1]
+    whole = follows
+    for ahead in range(1, longest):
+        column = np.zeros(len(langs), np.int64)
+        column[:-ahead] = np.where(whole[:-ahead], columns[1][ahead:], 0)
+        columns.append(column)
+        whole = whole.copy()
+        whole[:-ahead] &= follows[ahead:]
+        whole[-ahead:] = False
+    key, room, steps = columns[0].astype(np.int64), int(langs.max()) + 1, []
+    base = len(coded.dictionary) + 1
+    for column in columns[1:]:
+        if room * base >= 1 << 62:  # number the keys so far anew, to make room
+            known, key = np.unique(key, return_inverse=True)
+            steps.append(known)
+            room = len(known)
+        else:
+            steps.append(None)
+        key, room = key * base + column, room * base
+    found, counts = np.unique(key, return_counts=True)
+    parts = []
+    for known in reversed(steps):
+        parts.append(found % base)
+        found = found // base
+        found = found if known is None else known[found]
+    return [found, *reversed(parts)], pa.concat_arrays([pa.array([""]), coded.dictionary]), counts
 
 
 def windows(df: DataFrame, longest: int, text: str = "text", lang: str = "lang") -> DataFrame:
-    """lang, w1 to w<longest>: one row for every word, with the words after it in its piece, else ''."""
-    lowered = F.translate(F.coalesce(F.col(text), F.lit("")), _UPPER, _LOWER)
-    pieces = df.select(
-        F.coalesce(F.col(lang), F.lit("und")).alias("lang"), F.explode(F.split(lowered, PIECE_END)).alias("piece")
-    ).select("lang", _parts(F.col("piece"), WORD_END).alias("words"))
-    leads = [F.col("words").alias("w1"), *(
-        F.slice("words", i + 1, F.greatest(F.size("words") - i, F.lit(0))).alias(f"w{i + 1}") for i in range(1, longest)
-    )]
-    # the shorter leads end in nulls
-    return pieces.select("lang", F.inline(F.arrays_zip(*leads))).select(
-        "lang", "w1", *(F.coalesce(f"w{i + 1}", F.lit("")).alias(f"w{i + 1}") for i in range(1, longest))
-    )
+    """lang, first (one or two words), w3 to w<longest>, n: counts of the windows of some million words each."""
+    names = ["lang", "first", *(f"w{i + 1}" for i in range(2, longest)), "n"]
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size, number = [], 0, {}
+
+        def flush() -> pa.RecordBatch:
+            words, follows, langs = (list(x) for x in zip(*held, strict=True))
+            columns, dictionary, counts = _counted(pa.concat_arrays(words), np.concatenate(follows), np.concatenate(langs), longest)
+            spoken = pa.array(list(number), pa.string()).take(pa.array(columns[0]))
+            texts = [dictionary.take(pa.array(c)) for c in columns[1:]]
+            first = pc.binary_join_element_wise(texts[0], texts[1], " ")
+            return pa.RecordBatch.from_arrays([spoken, first, *texts[2:], pa.array(counts)], names=names)
+
+        for batch, texts in pieces(batches, "text"):
+            words, follows, documents = _words(texts)
+            if not len(words):
+                continue
+            of = np.array([number.setdefault(x, len(number)) for x in batch.column("lang").to_pylist()], np.int64)
+            held.append((words, follows, of[documents]))
+            size += len(words)
+            if size >= CHUNK_WORDS:
+                yield flush()
+                held, size = [], 0
+        if held:
+            yield flush()
+
+    kinds = ", ".join(f"{name} {'bigint' if name == 'n' else 'string'}" for name in names)
+    named = df.select(F.coalesce(F.col(lang), F.lit("und")).alias("lang"), F.col(text).alias("text"))
+    return named.mapInArrow(count, kinds)
+
+
+def _hot_beginnings(df: DataFrame, longest: int, text: str, lang: str) -> DataFrame:
+    """lang, first of beginnings of many windows, fewer than ``HOT_SHARE``."""
+    some = df.where(F.pmod(F.xxhash64(text), F.lit(SAMPLE_SHARE)) == 0)
+    counts = shared_table(windows(some, longest, text, lang).groupBy("lang", "first").agg(F.sum("n").alias("n")), "beginnings")
+    total = counts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    return counts.where(F.col("n") * HOT_SHARE > F.lit(total)).select("lang", "first", F.lit(True).alias("hot"))
+
+
+def frequent_windows(df: DataFrame, longest: int, min_count: int, text: str = "text", lang: str = "lang") -> DataFrame:
+    """lang, w1 to w<longest>, n: all windows, with padding in place of the words after which they are too rare."""
+    further = [f"w{i + 1}" for i in range(2, longest)]
+    counted = windows(df, longest, text, lang)
+    salt = F.lit(0)
+    if further:
+        counted = counted.join(F.broadcast(_hot_beginnings(df, longest, text, lang)), ["lang", "first"], "left")
+        salt = F.when(F.col("hot"), 1 + F.pmod(F.xxhash64("w3"), F.lit(SALTS))).otherwise(0)
+    keys = ["lang", "first", "salt"]
+    dealt = counted.select("*", salt.cast("int").alias("salt")).repartition(*keys)
+    summed = dealt.groupBy(*keys, *further).agg(F.sum("n").alias("n"))
+    kept = []
+    for i, name in enumerate(further):
+        total = F.col("n") if i == len(further) - 1 else F.sum("n").over(Window.partitionBy(*keys, *further[: i + 1]))
+        kept.append(F.when(total >= min_count, F.col(name)).otherwise("").alias(name))
+    # only a part of a salted beginning is here, so its second word stays
+    both = F.sum("n").over(Window.partitionBy(*keys)) if further else F.col("n")
+    second = F.when((F.col("salt") > 0) | (both >= min_count), F.substring_index("first", " ", -1)).otherwise("")
+    return summed.select("lang", F.substring_index("first", " ", 1).alias("w1"), second.alias("w2"), *kept, "n")
 
 
 def phrase_counts(df: DataFrame, longest: int, min_count: int, text: str = "text", lang: str = "lang") -> DataFrame:
@@ -55,8 +157,8 @@ def phrase_counts(df: DataFrame, longest: int, min_count: int, text: str = "text
     The row without words has the number of all words of its lang.
     """
     names = [f"w{i + 1}" for i in range(longest)]
-    counted = windows(df, longest, text, lang).rollup("lang", *names).agg(
-        F.count(F.lit(1)).alias("f"), F.grouping_id().alias("level")
+    counted = frequent_windows(df, longest, min_count, text, lang).rollup("lang", *names).agg(
+        F.sum("n").alias("f"), F.grouping_id().alias("level")
     )
     depth = F.lit(longest) - F.bit_count("level").cast("int")  # -1 for the total of all langs
     last = F.element_at(F.array(F.lit("-"), *names), depth + 1)

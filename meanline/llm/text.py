@@ -89,9 +89,9 @@ class Texts:
         sums = np.concatenate([[0], np.cumsum(flags, dtype=np.int64)])
         return sums[self.offsets[1:]] - sums[self.offsets[:-1]]
 
-    def words(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def words(self, in_word: np.ndarray = IN_WORD) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Start, end and document of every word, in order."""
-        inside = IN_WORD[self.data]
+        inside = in_word[self.data]
         first = np.zeros(len(inside) + 1, bool)
         first[self.offsets] = True
         before = np.concatenate([[False], inside])
