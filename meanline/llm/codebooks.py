@@ -40,8 +40,8 @@ from meanline.llm.skew import join_totals
 from meanline.sources.storage import scratch, shared_table
 
 #: Entries of a list that are compared in one step.
-STRETCH = 32
-_ROWS = 4096
+STRETCH = 64
+_ROWS = 1 << 14
 #: Components up to this size keep all sums below 2**53, where doubles are exact; larger ones take Python's integers.
 _EXACT = 1 << 20
 
@@ -78,12 +78,12 @@ class Orchard:
             going = []
             for group in np.split(order, cuts):
                 entry, begin = held[group[0]], place[group[0]]
-                stretch = self.lists[entry, begin : begin + STRETCH]
+                stretch = self.lists[entry, begin : begin + max(STRETCH, begin)]
                 group = group[self.along[entry, begin] <= 4 * best[group]]  # the others have ended
                 if not len(group):
                     continue
                 known = seen[np.ix_(group, stretch)].all(axis=1)
-                place[group[known]] = begin + STRETCH
+                place[group[known]] = begin + len(stretch)
                 going.append(group[known])
                 group = group[~known]
                 if not len(group):
@@ -94,7 +94,7 @@ class Orchard:
                 low = far.min(axis=1)
                 index = np.where(far == low[:, None], stretch[None, :], self.size).min(axis=1)
                 nearer = (low < best[group]) | ((low == best[group]) & (index < held[group]))
-                place[group] = np.where(nearer, 0, begin + STRETCH)
+                place[group] = np.where(nearer, 0, begin + len(stretch))
                 best[group] = np.where(nearer, low, best[group])
                 held[group] = np.where(nearer, index, held[group])
                 going.append(group)
