@@ -78,12 +78,15 @@ class Orchard:
             going = []
             for group in np.split(order, cuts):
                 entry, begin = held[group[0]], place[group[0]]
-                stretch = self.lists[entry, begin : begin + max(STRETCH, begin)]
-                group = group[self.along[entry, begin] <= 4 * best[group]]  # the others have ended
+                reach = 4 * best[group]  # squared distance beyond which nothing is nearer
+                inside = self.along[entry, begin] <= reach
+                group, reach = group[inside], reach[inside]
                 if not len(group):
-                    continue
+                    continue  # their searches have ended
+                end = min(begin + max(STRETCH, begin), np.searchsorted(self.along[entry], reach.max(), "right"))
+                stretch = self.lists[entry, begin:end]
                 known = seen[np.ix_(group, stretch)].all(axis=1)
-                place[group[known]] = begin + len(stretch)
+                place[group[known]] = end
                 going.append(group[known])
                 group = group[~known]
                 if not len(group):
@@ -94,7 +97,7 @@ class Orchard:
                 low = far.min(axis=1)
                 index = np.where(far == low[:, None], stretch[None, :], self.size).min(axis=1)
                 nearer = (low < best[group]) | ((low == best[group]) & (index < held[group]))
-                place[group] = np.where(nearer, 0, begin + len(stretch))
+                place[group] = np.where(nearer, 0, end)
                 best[group] = np.where(nearer, low, best[group])
                 held[group] = np.where(nearer, index, held[group])
                 going.append(group)
