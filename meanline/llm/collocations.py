@@ -37,7 +37,8 @@ from meanline.llm.text import Texts, pieces
 from meanline.sources.storage import scratch, shared_table
 
 #: Words whose windows a task counts together.
-CHUNK_WORDS = 2_000_000
+CHUNK_WORDS = 1_000_000
+_ROWS = 50_000
 #: One document in so many is looked at for beginnings that hold more than one window in ``HOT_SHARE``.
 SAMPLE_SHARE, HOT_SHARE, SALTS = 64, 1000, 64
 
@@ -96,13 +97,20 @@ def windows(df: DataFrame, longest: int, text: str = "text", lang: str = "lang")
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size, number = [], 0, {}
 
-        def flush() -> pa.RecordBatch:
+        def flush() -> Iterator[pa.RecordBatch]:
             words, follows, langs = (list(x) for x in zip(*held, strict=True))
-            columns, dictionary, counts = _counted(pa.concat_arrays(words), np.concatenate(follows), np.concatenate(langs), longest)
-            spoken = pa.array(list(number), pa.string()).take(pa.array(columns[0]))
-            texts = [dictionary.take(pa.array(c)) for c in columns[1:]]
-            first = pc.binary_join_element_wise(texts[0], texts[1], " ")
-            return pa.RecordBatch.from_arrays([spoken, first, *texts[2:], pa.array(counts)], names=names)
+            held.clear()
+            columns, dictionary, counts = _counted(
+                pa.concat_arrays(words), np.concatenate(follows), np.concatenate(langs), longest
+            )
+            spoken = pa.array(list(number), pa.string())
+            for at in range(0, len(counts), _ROWS):
+                lang, *words = (pa.array(c[at : at + _ROWS]) for c in columns)
+                texts = [dictionary.take(c) for c in words]
+                first = pc.binary_join_element_wise(texts[0], texts[1], " ")
+                yield pa.RecordBatch.from_arrays(
+                    [spoken.take(lang), first, *texts[2:], pa.array(counts[at : at + _ROWS])], names=names
+                )
 
         for batch, texts in pieces(batches, "text"):
             words, follows, documents = _words(texts)
@@ -112,10 +120,10 @@ def windows(df: DataFrame, longest: int, text: str = "text", lang: str = "lang")
             held.append((words, follows, of[documents]))
             size += len(words)
             if size >= CHUNK_WORDS:
-                yield flush()
-                held, size = [], 0
+                yield from flush()
+                size = 0
         if held:
-            yield flush()
+            yield from flush()
 
     kinds = ", ".join(f"{name} {'bigint' if name == 'n' else 'string'}" for name in names)
     named = df.select(F.coalesce(F.col(lang), F.lit("und")).alias("lang"), F.col(text).alias("text"))

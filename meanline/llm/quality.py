@@ -174,30 +174,42 @@ def _both(rule: list[Condition], table: dict[str, np.ndarray], n: int) -> np.nda
     return flags
 
 
-def _grow(table: dict[str, np.ndarray], bad: np.ndarray, thresholds: dict[str, np.ndarray]) -> list[Condition]:
-    """Add the threshold of the largest gain until no wrong row is covered or nothing is gained."""
+def _best_condition(
+    table: dict[str, np.ndarray], bad: np.ndarray, thresholds: dict[str, np.ndarray], left_out: set[tuple[str, bool]]
+) -> Condition | None:
+    """The threshold of the largest information gain for the bad rows, if there is one."""
+    p0, n0 = bad.sum(), (~bad).sum()
+    best, best_gain = None, 1e-9
+    for feature, cuts in thresholds.items():
+        place = np.searchsorted(cuts, table[feature])  # value <= cuts[i] exactly where place <= i
+        p_below = np.cumsum(np.bincount(place[bad], minlength=len(cuts) + 1))[:-1]
+        n_below = np.cumsum(np.bincount(place[~bad], minlength=len(cuts) + 1))[:-1]
+        for above in (False, True):
+            if (feature, above) in left_out:
+                continue
+            p, n = (p0 - p_below, n0 - n_below) if above else (p_below, n_below)
+            purity = np.log2(np.maximum(p, 1e-12) / np.maximum(p + n, 1e-12))
+            gain = np.where(p > 0, p * (purity - np.log2(p0 / (p0 + n0))), 0)
+            if len(gain) and gain.max() > best_gain:
+                best, best_gain = Condition(feature, above, float(cuts[gain.argmax()])), gain.max()
+    return best
+
+
+def _grow(
+    table: dict[str, np.ndarray], bad: np.ndarray, thresholds: dict[str, np.ndarray], failed: set[tuple[str, bool]]
+) -> list[Condition]:
+    """Add the best threshold until no good row is covered or nothing is gained; none of ``failed`` comes first."""
     rule: list[Condition] = []
     covered = np.ones(len(bad), bool)
-    while True:
-        p0, n0 = (covered & bad).sum(), (covered & ~bad).sum()
-        if not p0 or not n0:
-            return rule
-        best, best_gain = None, 1e-9
-        for feature, cuts in thresholds.items():
-            values = table[feature][covered]
-            place = np.searchsorted(cuts, values)  # value <= cuts[i] exactly where place <= i
-            p_below = np.cumsum(np.bincount(place[bad[covered]], minlength=len(cuts) + 1))[:-1]
-            n_below = np.cumsum(np.bincount(place[~bad[covered]], minlength=len(cuts) + 1))[:-1]
-            for above in (False, True):
-                p, n = (p0 - p_below, n0 - n_below) if above else (p_below, n_below)
-                purity = np.log2(np.maximum(p, 1e-12) / np.maximum(p + n, 1e-12))
-                gain = np.where(p > 0, p * (purity - np.log2(p0 / (p0 + n0))), 0)
-                if len(gain) and gain.max() > best_gain:
-                    best, best_gain = Condition(feature, above, float(cuts[gain.argmax()])), gain.max()
-        if best is None:
-            return rule
-        rule.append(best)
-        covered &= best.holds(table)
+    while (covered & bad).any() and (covered & ~bad).any():
+        condition = _best_condition(
+            {k: v[covered] for k, v in table.items()}, bad[covered], thresholds, set() if rule else failed
+        )
+        if condition is None:
+            break
+        rule.append(condition)
+        covered &= condition.holds(table)
+    return rule
 
 
 def learn(
@@ -206,13 +218,18 @@ def learn(
 ) -> DecisionList:
     """Rules for the rows where ``bad`` holds.
 
-    Every third row is set aside for pruning.  A rule must cover ``least_rows`` bad rows and be right
-    for ``least_precision`` of all rows it covers.
+    Every third bad and every third good row is set aside for pruning: a rule keeps the first conditions
+    under which the precision on those rows, corrected after Laplace, is highest.  A rule must cover
+    ``least_rows`` bad rows and be right for ``least_precision`` of all rows it covers.  A rule that
+    fails is dropped, and the search goes on without its first feature and direction in first place.
     """
     n = len(bad)
-    aside = np.arange(n) % 3 == 2
+    aside = np.zeros(n, bool)
+    for part in (bad, ~bad):
+        aside[np.flatnonzero(part)[2::3]] = True
     left = np.ones(n, bool)
     rules: list[tuple[Condition, ...]] = []
+    failed: set[tuple[str, bool]] = set()
     while len(rules) < most_rules and (left & bad).sum() >= least_rows:
         grow, prune = left & ~aside, left & aside
         part = {k: v[grow] for k, v in table.items()}
@@ -220,21 +237,22 @@ def learn(
         for feature, values in part.items():
             distinct = np.unique(np.quantile(values, np.linspace(0, 1, cuts + 1))) if len(values) else values
             thresholds[feature] = (distinct[1:] + distinct[:-1]) / 2
-        rule = _grow(part, bad[grow], thresholds)
+        rule = _grow(part, bad[grow], thresholds, failed)
         if not rule:
             break
 
         def worth(conditions: list[Condition], prune=prune) -> float:
             covered = _both(conditions, table, n) & prune
-            p, q = (covered & bad).sum(), (covered & ~bad).sum()
-            return (p - q) / (p + q) if p + q else -1.0
+            return ((covered & bad).sum() + 1) / (covered.sum() + 2)
 
         rule = rule[: 1 + int(np.argmax([worth(rule[:i]) for i in range(1, len(rule) + 1)]))]
         covered = _both(rule, table, n) & left
         right = (covered & bad).sum()
         if right < least_rows or right < least_precision * covered.sum():
-            break
+            failed.add((rule[0].feature, rule[0].above))
+            continue
         rules.append(tuple(rule))
+        failed = set()
         left &= ~covered
     return DecisionList(tuple(rules))
 
@@ -242,7 +260,8 @@ def learn(
 def fit(documents: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, **options) -> DecisionList:
     """Learn the list from ``labels`` (doc_id, quality 0/1) of ``documents`` (doc_id, text).
 
-    At most ``sample_rows`` labelled rows are used, those with the smallest hash of their id.
+    At most ``sample_rows`` labelled rows are used, those with the smallest hash of their id.  Rows that
+    the base rule rejects teach nothing that it does not do already and are left out.
     """
     order = [F.xxhash64("doc_id"), F.col("doc_id"), F.col("quality")]
     chosen = (
@@ -252,7 +271,7 @@ def fit(documents: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS,
     # the sample's bound is what makes the broadcast safe
     counted = text_statistics(documents.select("doc_id", "text").join(F.broadcast(chosen), "doc_id"))
     rows = (
-        counted.select("doc_id", "quality", *(F.expr(sql).alias(name) for name, sql in FEATURES.items()))
+        counted.where(~base_failed()).select("doc_id", "quality", *(F.expr(sql).alias(name) for name, sql in FEATURES.items()))
         .orderBy(*order, *FEATURES).limit(sample_rows).collect()
     )
     table = {name: np.array([row[name] for row in rows], float) for name in FEATURES}
