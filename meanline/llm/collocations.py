@@ -25,7 +25,8 @@ Defined results
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import zlib
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -33,14 +34,16 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from meanline.llm.text import Texts, pieces
+from meanline.llm.text import Texts, mix, pieces
 from meanline.sources.storage import scratch, shared_table
 
 #: Words whose windows a task counts together.
 CHUNK_WORDS = 1_000_000
 _ROWS = 50_000
 #: One document in so many is looked at for beginnings that hold more than one window in ``HOT_SHARE``.
-SAMPLE_SHARE, HOT_SHARE, SALTS = 64, 1000, 64
+SAMPLE_SHARE, HOT_SHARE = 64, 1000
+#: Buckets that windows are dealt to by their beginnings, in each task's hands many.
+BUCKETS = 1 << 16
 
 _ENDS = np.isin(np.arange(256), np.frombuffer(b".,;:!?\n\x0b\x0c\r", np.uint8))
 _IN_WORD = ~_ENDS & ~np.isin(np.arange(256), [0x20, 0x09])
@@ -90,9 +93,26 @@ def _counted(words: pa.Array, follows: np.ndarray, langs: np.ndarray, longest: i
     return [found, *reversed(parts)], pa.concat_arrays([pa.array([""]), coded.dictionary]), counts
 
 
-def windows(df: DataFrame, longest: int, text: str = "text", lang: str = "lang") -> DataFrame:
-    """lang, first (one or two words), w3 to w<longest>, n: counts of the windows of some million words each."""
-    names = ["lang", "first", *(f"w{i + 1}" for i in range(2, longest)), "n"]
+def _beginnings(words: pa.Array, langs: list[str], columns: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """A hash of lang and the first two words of each window, and one of the third word."""
+    crc = np.fromiter((zlib.crc32(w.encode()) for w in words.to_pylist()), np.uint64, len(words))
+    of_lang = np.fromiter((zlib.crc32(x.encode()) for x in langs), np.uint64, len(langs))
+    first = mix(of_lang[columns[0]] << np.uint64(32) ^ crc[columns[1]])
+    third = crc[columns[3]] if len(columns) > 3 else np.zeros(len(first), np.uint64)
+    return mix(first ^ crc[columns[2]]), third
+
+
+def windows(
+    df: DataFrame, longest: int, text: str = "text", lang: str = "lang", hot: Sequence[int] = ()
+) -> DataFrame:
+    """bucket, window, n: the different windows of some million words each.
+
+    A window is its first two words, a tab, the others, a line break and the lang; words hold none of
+    these.  Windows of one beginning share a bucket, but for those whose beginning's hash is in ``hot``:
+    they are dealt to several by the third word, and their buckets are negative.
+    """
+    names = ["bucket", "window", "n"]
+    salted = np.array(hot, np.int64).view(np.uint64)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size, number = [], 0, {}
@@ -103,13 +123,21 @@ def windows(df: DataFrame, longest: int, text: str = "text", lang: str = "lang")
             columns, dictionary, counts = _counted(
                 pa.concat_arrays(words), np.concatenate(follows), np.concatenate(langs), longest
             )
-            spoken = pa.array(list(number), pa.string())
+            del words, follows, langs
+            spoken = list(number)
+            first, third = _beginnings(dictionary, spoken, columns)
+            bucket = (first % np.uint64(BUCKETS)).astype(np.int32)
+            split = np.isin(first, salted)
+            bucket[split] = -1 - (mix(first ^ third)[split] % np.uint64(BUCKETS)).astype(np.int32)
+            spoken = pa.array(spoken, pa.string())
             for at in range(0, len(counts), _ROWS):
-                lang, *words = (pa.array(c[at : at + _ROWS]) for c in columns)
+                which, *words = (pa.array(c[at : at + _ROWS]) for c in columns)
                 texts = [dictionary.take(c) for c in words]
-                first = pc.binary_join_element_wise(texts[0], texts[1], " ")
+                begin = pc.binary_join_element_wise(texts[0], texts[1], " ")
+                rest = pc.binary_join_element_wise(*texts[2:], " ") if longest > 2 else pa.array([""] * len(begin))
+                window = pc.binary_join_element_wise(pc.binary_join_element_wise(begin, rest, "\t"), spoken.take(which), "\n")
                 yield pa.RecordBatch.from_arrays(
-                    [spoken.take(lang), first, *texts[2:], pa.array(counts[at : at + _ROWS])], names=names
+                    [pa.array(bucket[at : at + _ROWS]), window, pa.array(counts[at : at + _ROWS])], names=names
                 )
 
         for batch, texts in pieces(batches, "text"):
@@ -125,38 +153,63 @@ def windows(df: DataFrame, longest: int, text: str = "text", lang: str = "lang")
         if held:
             yield from flush()
 
-    kinds = ", ".join(f"{name} {'bigint' if name == 'n' else 'string'}" for name in names)
     named = df.select(F.coalesce(F.col(lang), F.lit("und")).alias("lang"), F.col(text).alias("text"))
-    return named.mapInArrow(count, kinds)
+    return named.mapInArrow(count, "bucket int, window string, n bigint")
+
 
+def hot_beginnings(df: DataFrame, longest: int, text: str = "text", lang: str = "lang") -> list[int]:
+    """Hashes of the beginnings of many windows in a sample of the documents, fewer than ``HOT_SHARE``."""
+
+    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, texts in pieces(batches, "text"):
+            words, follows, documents = _words(texts)
+            if not len(words):
+                continue
+            number: dict[str, int] = {}
+            of = np.array([number.setdefault(x, len(number)) for x in batch.column("lang").to_pylist()], np.int64)
+            columns, dictionary, counts = _counted(words, follows, of[documents], longest)
+            first, _ = _beginnings(dictionary, list(number), columns)
+            found, n = np.unique(first, return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(n)], names=["beginning", "n"])
 
-def _hot_beginnings(df: DataFrame, longest: int, text: str, lang: str) -> DataFrame:
-    """lang, first of beginnings of many windows, fewer than ``HOT_SHARE``."""
     some = df.where(F.pmod(F.xxhash64(text), F.lit(SAMPLE_SHARE)) == 0)
-    counts = shared_table(windows(some, longest, text, lang).groupBy("lang", "first").agg(F.sum("n").alias("n")), "beginnings")
+    named = some.select(F.coalesce(F.col(lang), F.lit("und")).alias("lang"), F.col(text).alias("text"))
+    counts = shared_table(
+        named.mapInArrow(hashed, "beginning bigint, n bigint").groupBy("beginning").agg(F.sum("n").alias("n")), "beginnings"
+    )
     total = counts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    return counts.where(F.col("n") * HOT_SHARE > F.lit(total)).select("lang", "first", F.lit(True).alias("hot"))
+    return [r["beginning"] for r in counts.where(F.col("n") * HOT_SHARE > F.lit(total)).collect()]
 
 
 def frequent_windows(df: DataFrame, longest: int, min_count: int, text: str = "text", lang: str = "lang") -> DataFrame:
     """lang, w1 to w<longest>, n: all windows, with padding in place of the words after which they are too rare."""
+    hot = hot_beginnings(df, longest, text, lang) if longest > 2 else []
+    summed = (
+        windows(df, longest, text, lang, hot).repartition("bucket").groupBy("bucket", "window").agg(F.sum("n").alias("n"))
+    )
+    words = F.substring_index("window", "\n", 1)
+    parts = summed.select(
+        "bucket", "n", F.substring_index(words, "\t", 1).alias("first"), F.substring_index(words, "\t", -1).alias("rest"),
+        F.expr("substring(window, locate('\n', window) + 1)").alias("lang"),
+    )
     further = [f"w{i + 1}" for i in range(2, longest)]
-    counted = windows(df, longest, text, lang)
-    salt = F.lit(0)
-    if further:
-        counted = counted.join(F.broadcast(_hot_beginnings(df, longest, text, lang)), ["lang", "first"], "left")
-        salt = F.when(F.col("hot"), 1 + F.pmod(F.xxhash64("w3"), F.lit(SALTS))).otherwise(0)
-    keys = ["lang", "first", "salt"]
-    dealt = counted.select("*", salt.cast("int").alias("salt")).repartition(*keys)
-    summed = dealt.groupBy(*keys, *further).agg(F.sum("n").alias("n"))
+    if longest == 3:
+        parts = parts.withColumnRenamed("rest", "w3")
+    else:
+        split = F.split("rest", " ")
+        parts = parts.select("*", *(split[i].alias(name) for i, name in enumerate(further)))
+    keys = ["first", "lang", "bucket"]
     kept = []
     for i, name in enumerate(further):
-        total = F.col("n") if i == len(further) - 1 else F.sum("n").over(Window.partitionBy(*keys, *further[: i + 1]))
+        whole = i == len(further) - 1
+        total = F.col("n") if whole else F.sum("n").over(Window.partitionBy(*keys, *further[: i + 1]))
         kept.append(F.when(total >= min_count, F.col(name)).otherwise("").alias(name))
     # only a part of a salted beginning is here, so its second word stays
     both = F.sum("n").over(Window.partitionBy(*keys)) if further else F.col("n")
-    second = F.when((F.col("salt") > 0) | (both >= min_count), F.substring_index("first", " ", -1)).otherwise("")
-    return summed.select("lang", F.substring_index("first", " ", 1).alias("w1"), second.alias("w2"), *kept, "n")
+    second = F.when((F.col("bucket") < 0) | (both >= min_count), F.substring_index("first", " ", -1)).otherwise("")
+    names = ["w1", "w2", *further]
+    shortened = parts.select("lang", F.substring_index("first", " ", 1).alias("w1"), second.alias("w2"), *kept, "n")
+    return shortened.groupBy("lang", *names).agg(F.sum("n").alias("n"))
 
 
 def phrase_counts(df: DataFrame, longest: int, min_count: int, text: str = "text", lang: str = "lang") -> DataFrame:
