@@ -82,9 +82,14 @@ NOTICES = (
 )
 
 
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+#: An alignment is one number, template * _APART + _SHIFT + place: numbers are told apart by hashing.
+_APART, _SHIFT = 1 << 40, 1 << 20
+
+
 def words_of(text: str = "text") -> Column:
-    """Lower-case words of a text."""
-    parts = F.split(F.lower(F.coalesce(F.col(text), F.lit(""))), SEPARATOR)
+    """The words of a text, with A-Z lower-cased."""
+    parts = F.split(F.translate(F.coalesce(F.col(text), F.lit("")), _UPPER, _LOWER), SEPARATOR)
     return F.filter(parts, lambda w: w != "")
 
 
@@ -131,7 +136,7 @@ def scan(documents: DataFrame, phrases: tuple[Template, ...] = PHRASES, notices:
             F.array(*(F.struct(F.lit(t).alias("t"), F.lit(p).alias("p")) for t, p in index[word])),
         )
     )).cast("map<string,array<struct<t:int,p:int>>>")
-    nothing = F.array().cast("array<struct<t:int,at:int>>")
+    nothing = F.array().cast("array<bigint>")
     rare_words = F.array(*map(F.lit, rare)).cast("array<string>")
     placed = F.filter(
         F.transform("_words", lambda w, i: F.struct(w.alias("w"), i.alias("i"))), lambda s: s["w"].isin(rare)
@@ -139,13 +144,14 @@ def scan(documents: DataFrame, phrases: tuple[Template, ...] = PHRASES, notices:
     alignments = F.array_distinct(F.flatten(F.transform(
         placed,
         lambda s: F.transform(
-            F.element_at("_postings", s["w"]), lambda e: F.struct(e["t"].alias("t"), (s["i"] - e["p"]).alias("at"))
+            F.element_at("_postings", s["w"]), lambda e: e["t"] * F.lit(_APART) + (s["i"] - e["p"] + F.lit(_SHIFT))
         ),
     )))
     stands = lambda at, words, k: F.coalesce(F.get(F.col("_words"), at + k) == F.get(words, k), F.lit(False))
 
     def judged(alignment: Column) -> Column:
-        template, at = F.get(F.col("_templates"), alignment["t"]), alignment["at"]
+        template = F.get(F.col("_templates"), F.shiftright(alignment, 40).cast("int"))
+        at = (F.pmod(alignment, F.lit(_APART)) - F.lit(_SHIFT)).cast("int")
         keys_there = F.size(F.filter(template["keys"], lambda k: stands(at, template["words"], k)))
         phrase_there = F.forall(F.sequence(template["from"], template["to"]), lambda k: stands(at, template["words"], k))
         size = F.size(template["words"])
@@ -156,8 +162,10 @@ def scan(documents: DataFrame, phrases: tuple[Template, ...] = PHRASES, notices:
             F.when(confirmed, share).alias("score"),
         )
 
+    added = ["n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score"]
+    others = [c for c in documents.columns if c not in added]
     found = (
-        documents.withColumn("_words", words_of())
+        documents.select(F.struct(F.lit(0).alias("held"), *(F.col(f"`{c}`") for c in others)).alias("_row"), words_of().alias("_words"))
         .withColumn("_templates", table).withColumn("_postings", postings)
         .withColumn("_alignments", F.when(F.arrays_overlap("_words", rare_words), alignments).otherwise(nothing))
         .withColumn("_found", F.filter(F.transform("_alignments", judged), lambda f: f["score"].isNotNull()))
@@ -166,7 +174,7 @@ def scan(documents: DataFrame, phrases: tuple[Template, ...] = PHRASES, notices:
     joined = lambda column: F.array_join(F.array_sort(F.array_distinct(F.transform(column, lambda f: f["label"]))), ",")
     starts = F.transform("_base", lambda f: f["at"])
     return found.select(
-        *documents.columns, F.size("_words").cast("bigint").alias("n_words"), F.size("_base").cast("bigint").alias("n_base"),
+        *(F.col(f"_row.`{c}`") for c in others), F.size("_words").cast("bigint").alias("n_words"), F.size("_base").cast("bigint").alias("n_base"),
         F.array_min(starts).alias("first_word"), F.array_max(starts).alias("last_word"),
         joined("_base").alias("base_labels"), joined("_found").alias("labels"),
         F.coalesce(F.array_max(F.transform("_found", lambda f: f["score"])), F.lit(0.0)).alias("score"),
@@ -181,7 +189,7 @@ def scan_sql(phrases: tuple[Template, ...] = PHRASES, notices: tuple[Template, .
     )
     return rf"""
 with templates(t, label, base, ws, f, l) as (values {rows}),
-d as (select doc_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '{SEPARATOR}'), lambda w: w <> '') as ws,
+d as (select doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '{SEPARATOR}'), lambda w: w <> '') as ws,
   row_number() over () as n from documents),
 vocabulary as (select distinct unnest(ws) as w from templates),
 frequency as (select v.w, count(x.n) as df from vocabulary v left join

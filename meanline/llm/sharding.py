@@ -2,9 +2,11 @@
 
 Groups of equal texts, largest first, each go to the shard with the least room that still holds them.
 Packing is done level by level, so that no task and not the driver sees all groups: groups are dealt
-into even buckets, each bucket is packed into crates, crates are packed again, and at most
-``LAST_ITEMS`` crates and large groups reach the final packing into shards.  The capacity is the
-smallest at which the wanted number of shards is enough.
+into even buckets, each bucket is packed into crates of one in ``4 / 5 * LAST_ITEMS`` of all bytes, and
+crates are packed again as long as there are more than ``LAST_ITEMS``.  So at every size the final
+packing into shards has items that are small beside a shard, or groups that cannot be smaller.  Its
+capacity is the smallest at which the wanted number of shards is enough.  As that bounds the fullest
+shard only, groups then move from the fullest shard to the emptiest for as long as it gets less full.
 
 A group larger than a shard cannot stay together with any assignment of near equal sizes; it is split
 by a hash of the ids into as few sixteenths of a shard as it needs, and those parts are packed.
@@ -17,7 +19,7 @@ Defined results
 
 from __future__ import annotations
 
-from bisect import bisect_left, insort
+from bisect import bisect_left, bisect_right, insort
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -29,7 +31,6 @@ from meanline.sources.storage import shared_table
 #: Bytes that a row takes besides its text.
 ROW_BYTES = 8
 BUCKET_ITEMS = 20_000
-CRATES = 200
 #: Items of the final packing, at most; they are packed on the driver.
 LAST_ITEMS = 50_000
 _SLOT_ROWS = 20_000
@@ -75,15 +76,37 @@ def smallest_capacity(sizes: list[int], shards: int) -> tuple[int, list[int]]:
     return high, bins
 
 
-def _crated(items: DataFrame, count: int, level: int) -> DataFrame:
-    """(item, crate, bytes of the item): every bucket of items packed into about ``CRATES`` crates."""
+def levelled(sizes: list[int], bins: list[int], shards: int) -> list[int]:
+    """``bins`` after moving sizes from the fullest bin that has one to spare to the emptiest, while that evens them out."""
+    bins, load, held = list(bins), [0] * shards, [[] for _ in range(shards)]
+    for item, (size, bin_) in enumerate(zip(sizes, bins, strict=True)):
+        load[bin_] += size
+        insort(held[bin_], (size, item))
+    movable = set(range(shards))
+    while movable:
+        full, empty = max(movable, key=lambda b: (load[b], -b)), min(range(shards), key=lambda b: (load[b], b))
+        gap = load[full] - load[empty]
+        # the largest size that does not overshoot the middle, else the smallest that is still a gain
+        at = bisect_right(held[full], (gap // 2, len(sizes))) - 1
+        at = at if at >= 0 and held[full][at][0] else bisect_right(held[full], (0, len(sizes)))
+        if at >= len(held[full]) or held[full][at][0] >= gap:
+            movable.remove(full)  # what it holds is too large to move, and gaps only shrink
+            continue
+        size, item = held[full].pop(at)
+        insort(held[empty], (size, item))
+        bins[item] = empty
+        load[full] -= size
+        load[empty] += size
+    return bins
+
+
+def _crated(items: DataFrame, count: int, level: int, capacity: int) -> DataFrame:
+    """(item, crate, bytes of the item): every bucket of items packed into crates of ``capacity`` bytes."""
     buckets = -(-count // BUCKET_ITEMS)
 
     def pack(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values(["bytes", "item"], ascending=[False, True])
-        sizes = group["bytes"].tolist()
-        capacity = max(1, -(-sum(sizes) // CRATES))
-        bins = best_fit_decreasing(sizes, capacity)
+        bins = best_fit_decreasing(group["bytes"].tolist(), capacity)
         prefix = f"{level}-{group['bucket'].iloc[0]}-"
         return pd.DataFrame({"item": group["item"], "crate": [f"{prefix}{b}" for b in bins], "bytes": group["bytes"]})
 
@@ -118,9 +141,11 @@ def assign(documents: DataFrame, shards: int = 24) -> DataFrame:
     keyed = sized.withColumn("item", F.concat_ws("-", "digest", "size", part))
     items = shared_table(keyed.groupBy("item").agg(F.sum("size").alias("bytes")), "groups")
     holds, count, level = items.select("item", F.col("item").alias("crate")), items.count(), 0
-    while count > LAST_ITEMS or level == 0 and count > BUCKET_ITEMS:
+    crate = max(1, -(-5 * total // (4 * LAST_ITEMS)))
+    while level == 0 or count > LAST_ITEMS:
         level += 1
-        packed = shared_table(_crated(items, count, level), "crates")
+        # twice as large at each level, so that the number of crates falls
+        packed = shared_table(_crated(items, count, level, crate << (level - 1)), "crates")
         items = shared_table(packed.groupBy(F.col("crate").alias("item")).agg(F.sum("bytes").alias("bytes")), "items")
         step = packed.select(F.col("item").alias("crate"), F.col("crate").alias("next"))
         holds = packed.select("item", "crate") if level == 1 else shared_table(
@@ -128,7 +153,8 @@ def assign(documents: DataFrame, shards: int = 24) -> DataFrame:
         )
         count = items.count()
     last = sorted(((row["bytes"], row["item"]) for row in items.collect()), key=lambda x: (-x[0], x[1]))
-    _, bins = smallest_capacity([size for size, _ in last], shards)
+    sizes = [size for size, _ in last]
+    bins = levelled(sizes, smallest_capacity(sizes, shards)[1], shards)
     spark = documents.sparkSession
     shard_of = spark.createDataFrame(
         pd.DataFrame({"crate": [item for _, item in last], "shard": bins}), "crate string, shard int"

@@ -324,7 +324,6 @@ def test_best_fit_takes_the_tightest_bin():
 def test_shards(spark, monkeypatch, limits):
     monkeypatch.setattr(sharding, "BUCKET_ITEMS", limits[0])
     monkeypatch.setattr(sharding, "LAST_ITEMS", limits[1])
-    monkeypatch.setattr(sharding, "CRATES", min(200, limits[0] // 4))
     documents = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     got = {r.doc_id: r for r in sharding.assign(documents).collect()}
     bytes_of, slots, together = [0] * 24, [set() for _ in range(24)], {}
@@ -354,3 +353,52 @@ def test_shards_of_odd_rows_and_of_a_group_larger_than_a_shard(spark):
     assert {r["size"] for r in got if r.doc_id in (20_000, 20_001)} == {8}
     assert len({r.shard for r in got if r.doc_id in (20_000, 20_001)}) == 1
     assert sharding.assign(spark.createDataFrame([], "doc_id bigint, text string")).count() == 0
+
+
+@pytest.mark.parametrize(("sizes", "most"), [
+    ([100] * 30, [200] * 6 + [100] * 18), ([100] * 200, [900] * 8 + [800] * 16), ([1000] + [10] * 230, [1000] + [100] * 23),
+    ([7], [7] + [0] * 23), ([], [0] * 24),
+])
+def test_shards_are_as_level_as_they_can_be(sizes, most):
+    _, bins = sharding.smallest_capacity(sizes, 24)
+    bins = sharding.levelled(sizes, bins, 24)
+    assert sorted((sum(s for s, b in zip(sizes, bins, strict=True) if b == k) for k in range(24)), reverse=True) == most
+
+
+def test_small_tables_against_every_assignment():
+    """The fullest of three shards is at most a third above the best of all assignments, which brute force finds."""
+    import itertools
+    import random
+
+    draw = random.Random(2)
+    for _ in range(60):
+        sizes = sorted((draw.randrange(8, 90) for _ in range(draw.randrange(0, 8))), reverse=True)
+        bins = sharding.levelled(sizes, sharding.smallest_capacity(sizes, 3)[1], 3)
+        fullest = lambda b: max((sum(s for s, k in zip(sizes, b, strict=True) if k == n) for n in range(3)), default=0)
+        best = min(fullest(b) for b in itertools.product(range(3), repeat=len(sizes)))
+        assert fullest(bins) <= 4 / 3 * best
+
+
+def test_equal_documents_fill_all_shards(spark):
+    rows = [(i, f"{i:04}") for i in range(30)]
+    got = sharding.assign(spark.createDataFrame(rows, "doc_id bigint, text string")).groupBy("shard").count().collect()
+    assert sorted(r["count"] for r in got) == [1] * 18 + [2] * 6
+
+
+@pytest.mark.parametrize("text", ["license " * 200_000, "mit license apache " * 60_000, "general public license " * 60_000])
+def test_licence_words_repeated_many_times(spark, text):
+    words = text.split()
+    row = licences.scan(spark.createDataFrame([(1, text)], "doc_id bigint, text string")).first()
+    count = sum(
+        words[i : i + len(t.words)] == t.words if isinstance(t.words, list) else tuple(words[i : i + len(t.words)]) == tuple(t.words)
+        for t in licences.PHRASES for i in range(len(words))
+    )
+    assert (row.n_words, row.n_base) == (len(words), count)
+
+
+def test_licences_lower_only_ascii_and_keep_clashing_columns(spark):
+    schema = "doc_id bigint, text string, score int, _words int, _row int, labels int"
+    rows = [(1, "MIT License", 1, 2, 3, 4), (2, "M\u0130T license \u212a", 1, 2, 3, 4)]
+    got = licences.scan(spark.createDataFrame(rows, schema)).orderBy("doc_id")
+    assert got.columns == ["doc_id", "text", "_words", "_row", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score"]
+    assert [(r.n_base, r.base_labels, r["_row"]) for r in got.collect()] == [(1, "mit", 3), (0, "", 3)]
