@@ -33,7 +33,7 @@ from pyspark.sql import types as T
 from meanline.llm.text import pieces
 
 SPACE = "▁"
-#: Chunks kept encoded in a worker, at most: some 200 MB.
+#: Chunks kept encoded in a worker, at most: some 100 MB.
 REMEMBERED = 500_000
 _LONGEST_REMEMBERED = 64
 #: A chunk that ends in a letter and punctuation.
@@ -93,7 +93,7 @@ class PrefixTable:
         self._of_byte = {value: i for i, value in self._byte.items()}
         self._characters = {p for p in self._rank if len(p) == 1}
         self._cuts_marks = not any(map(_CROSSING.search, self._rank))  # no piece holds a letter and then a mark
-        self._compatible = Remembered(self._merges_to, REMEMBERED)
+        self._compatible = Remembered(self._merges_to, REMEMBERED // 2)
         matches = ahocorasick.Automaton()
         for piece, (_, i) in self._rank.items():
             if len(piece) == 1 or self.merged(piece) == [piece]:
@@ -148,15 +148,17 @@ class PrefixTable:
             ids += (self._of_byte[b] for b in character.encode())
         return ids + self._known("".join(known)) if known else ids
 
-    def _chunk(self, chunk: str) -> tuple[tuple[int, ...], str, str]:
-        """A chunk's ids, the ids in decimal, and what they decode to with space marks kept as spaces."""
+    def _chunk(self, chunk: str) -> tuple[str, str]:
+        """A chunk's ids in decimal and what they decode to, with spaces as ``SPACE``: most often the chunk itself."""
         if self._cuts_marks and (parts := _MARKED.fullmatch(chunk)):
             word, marks = self.chunk[parts[1]], self.chunk[parts[2]]
-            return word[0] + marks[0], f"{word[1]} {marks[1]}", word[2] + marks[2]
-        ids = self._ids(chunk)
-        return tuple(ids), " ".join(map(str, ids)), self._surface(ids)
+            decimal, surface = f"{word[0]} {marks[0]}", word[1] + marks[1]
+        else:
+            ids = self._ids(chunk)
+            decimal, surface = " ".join(map(str, ids)), self._surface(ids).replace(" ", SPACE)
+        return decimal, chunk if surface == chunk else surface
 
-    def chunks(self, text: str | None) -> list[tuple[tuple[int, ...], str, str]]:
+    def chunks(self, text: str | None) -> list[tuple[str, str]]:
         """The encoded chunks of a whole text."""
         if not text:
             return []
@@ -164,7 +166,7 @@ class PrefixTable:
         return list(map(self.chunk.__getitem__, _CHUNK.findall(marked)))
 
     def encode(self, text: str | None, add_end: bool = True) -> list[int]:
-        ids = [i for chunk in self.chunks(text) for i in chunk[0]]
+        ids = [int(i) for chunk in self.chunks(text) for i in chunk[0].split()]
         return [*ids, self.end_id] if add_end else ids
 
     def _surface(self, ids: Iterable[int]) -> str:
@@ -257,10 +259,10 @@ def digests(df: DataFrame, model_path: str) -> DataFrame:
             counts, ids, texts = [], [], []
             for text in batch.column("text").to_pylist():
                 chunks = table.chunks(text)
-                joined = " ".join([*(c[1] for c in chunks), end])
+                joined = " ".join([*(c[0] for c in chunks), end])
                 counts.append(joined.count(" ") + 1)
                 ids.append(hashlib.sha256(joined.encode()).hexdigest())
-                decoded = "".join([c[2] for c in chunks])[1:]
+                decoded = "".join([c[1] for c in chunks])[1:].replace(SPACE, " ")
                 texts.append(hashlib.sha256(decoded.encode()).hexdigest())
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(counts, pa.int64()), pa.array(ids, pa.string()), pa.array(texts, pa.string())],

@@ -2,6 +2,8 @@
 
 Texts stay UTF-8 bytes as Arrow delivers them.  One pass of running sums over a batch gives the
 hash of every byte range in it, so words, shingles, lines and windows cost a few array operations.
+Hashes are two polynomials modulo the prime 2**31 - 1 under random bases, 62 bits together: unlike
+sums modulo a power of two, no text makes them collide by its structure alone.
 """
 
 from __future__ import annotations
@@ -12,9 +14,11 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-BATCH_BYTES = 1 << 20
+BATCH_BYTES = 1 << 19
 _BASE = 0x9E3779B97F4A7C15 | 1
-_INVERSE = pow(_BASE, -1, 1 << 64)
+_PRIME = (1 << 31) - 1
+#: The bases of the two polynomials.
+_BASES = (1_357_924_687, 864_197_533)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -24,7 +28,7 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-#: One random 64-bit number for each byte value.
+#: Two random numbers below 2**31 - 1 for each byte value, in the halves of one.
 BYTE = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(_BASE))
 _UPPER = (np.arange(256) >= 65) & (np.arange(256) <= 90)
 #: The same after lower-casing A-Z.
@@ -33,18 +37,42 @@ LOWER_BYTE = BYTE[np.where(_UPPER, np.arange(256) + 32, np.arange(256))]
 IN_WORD = ~np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
 
 
+def _folded(x: np.ndarray) -> np.ndarray:
+    """A number of the same remainder modulo 2**31 - 1, at most 2**31 + x / 2**31."""
+    high = x >> np.uint64(31)
+    high += x & np.uint64(_PRIME)
+    return high
+
+
+def _reduced(x: np.ndarray) -> np.ndarray:
+    """Numbers modulo 2**31 - 1."""
+    x = _folded(_folded(x))
+    return np.minimum(x, x - np.uint64(_PRIME))  # a difference below 0 wraps round and is the larger
+
+
 class _Powers:
-    up = np.ones(1, np.uint64)
-    down = np.ones(1, np.uint64)
+    """Powers of both bases and of their inverses, as many as the longest batch so far needs."""
+
+    up = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+    down = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+
+    @staticmethod
+    def _table(base: int, n: int) -> np.ndarray:
+        powers = np.ones(1, np.uint64)
+        while len(powers) < n:  # twice as many: the known ones times the next power
+            step = np.uint64(pow(base, len(powers), _PRIME))
+            powers = np.concatenate([powers, _reduced(powers * step)])
+        return powers[:n]
 
     @classmethod
-    def upto(cls, n: int) -> tuple[np.ndarray, np.ndarray]:
-        if len(cls.up) < n:
+    def upto(cls, n: int) -> tuple[list[np.ndarray], list[np.ndarray]]:
+        if len(cls.up[0]) < n:
             size = max(n, BATCH_BYTES + 1)
-            for name, factor in (("up", _BASE), ("down", _INVERSE)):
-                factors = np.full(size, factor, np.uint64)
-                factors[0] = 1
-                setattr(cls, name, np.cumprod(factors, dtype=np.uint64))
+            up = [cls._table(base, size) for base in _BASES]
+            down = [cls._table(pow(base, -1, _PRIME), size) for base in _BASES]
+            if n > 8 * BATCH_BYTES:  # a very long text: not kept
+                return up, down
+            cls.up, cls.down = up, down
         return cls.up, cls.down
 
 
@@ -53,17 +81,28 @@ class Ranges:
 
     def __init__(self, data: np.ndarray, table: np.ndarray = BYTE) -> None:
         up, self._down = _Powers.upto(len(data) + 1)
-        self._sum = np.zeros(len(data) + 1, np.uint64)
-        np.cumsum(table[data] * up[: len(data)], out=self._sum[1:])
+        self._sums = []
+        for powers, shift in zip(up, (0, 32), strict=True):
+            values = ((table >> np.uint64(shift)) & np.uint64(_PRIME)) % np.uint64(_PRIME)
+            sums = np.zeros(len(data) + 1, np.uint64)
+            terms = values[data]
+            terms *= powers[: len(data)]
+            # below 2**64 as long as a batch has fewer than 2**31 bytes
+            np.cumsum(_folded(terms), out=sums[1:])
+            self._sums.append(sums)
 
     def hash(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        """64-bit hashes of data[start:end]."""
-        value = (self._sum[end] - self._sum[start]) * self._down[start]
-        return mix(value + (end - start).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+        """62-bit hashes of data[start:end], mixed with the length."""
+        one, two = (
+            _reduced(_folded(_folded(sums[end] - sums[start])) * down[start])
+            for sums, down in zip(self._sums, self._down, strict=True)
+        )
+        return mix((one << np.uint64(31) | two) + (end - start).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
 
     def rolling(self, width: int) -> np.ndarray:
-        """Hashes of all ranges of ``width`` bytes."""
-        return mix((self._sum[width:] - self._sum[:-width]) * self._down[: len(self._sum) - width])
+        """Numbers for all ranges of ``width`` bytes that depend on their bytes alone, of one polynomial: to choose by."""
+        sums, down = self._sums[0], self._down[0]
+        return mix(_reduced(_folded(_folded(sums[width:] - sums[:-width])) * down[: len(sums) - width]))
 
 
 class Texts:
@@ -116,6 +155,8 @@ def pieces(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[
             filled += int(size)
         part = batch.slice(start)
         yield part, Texts(part.column(column))
+    # workers are used again: what this task no longer needs goes back
+    pa.default_memory_pool().release_unused()
 
 
 def runs(documents: np.ndarray, n: int) -> np.ndarray:
