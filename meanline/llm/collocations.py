@@ -38,7 +38,7 @@ from meanline.llm.text import Texts, mix, pieces
 from meanline.sources.storage import scratch, shared_table
 
 #: Words whose windows a task counts together.
-CHUNK_WORDS = 1_000_000
+CHUNK_WORDS = 2_000_000
 _ROWS = 50_000
 #: One document in so many is looked at for beginnings that hold more than one window in ``HOT_SHARE``.
 SAMPLE_SHARE, HOT_SHARE = 64, 1000
@@ -212,19 +212,25 @@ def frequent_windows(df: DataFrame, longest: int, min_count: int, text: str = "t
     return shortened.groupBy("lang", *names).agg(F.sum("n").alias("n"))
 
 
+def _rolled(rows: DataFrame, names: list[str]) -> DataFrame:
+    """lang, words, f: occurrences of every beginning of the windows of ``rows``, also of the empty one."""
+    counted = rows.rollup("lang", *names).agg(F.sum("n").alias("f"), F.grouping_id().alias("level"))
+    depth = F.lit(len(names)) - F.bit_count("level").cast("int")  # -1 for the total of all langs
+    last = F.element_at(F.array(F.lit("-"), *names), depth + 1)
+    wanted = (depth == 0) | (depth > 0) & (last != "")  # else the beginning ends in padding
+    return counted.where(wanted).select("lang", F.slice(F.array(*names), F.lit(1), depth).alias("words"), "f")
+
+
 def phrase_counts(df: DataFrame, longest: int, min_count: int, text: str = "text", lang: str = "lang") -> DataFrame:
     """lang, words (an array), f: phrases of up to ``longest`` words that occur ``min_count`` times or more.
 
     The row without words has the number of all words of its lang.
     """
     names = [f"w{i + 1}" for i in range(longest)]
-    counted = frequent_windows(df, longest, min_count, text, lang).rollup("lang", *names).agg(
-        F.sum("n").alias("f"), F.grouping_id().alias("level")
-    )
-    depth = F.lit(longest) - F.bit_count("level").cast("int")  # -1 for the total of all langs
-    last = F.element_at(F.array(F.lit("-"), *names), depth + 1)
-    wanted = (depth == 0) | (depth > 0) & (F.col("f") >= min_count) & (last != "")  # else the phrase ends in padding
-    return counted.where(wanted).select("lang", F.slice(F.array(*names), F.lit(1), depth).alias("words"), "f")
+    counted = shared_table(frequent_windows(df, longest, min_count, text, lang), "windows")
+    # windows left with one word have no beginnings of two
+    rolled = _rolled(counted.where("w2 != ''"), names).unionByName(_rolled(counted.where("w2 = ''"), names[:1]))
+    return rolled.groupBy("lang", "words").agg(F.sum("f").alias("f")).where((F.size("words") == 0) | (F.col("f") >= min_count))
 
 
 def _phrase(words: Column) -> Column:
