@@ -20,7 +20,8 @@ from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from meanline.operators.order import FREQUENT_SHARE, WINDOW_ROWS, global_rank
+from meanline.operators.frequent import frequent_keys
+from meanline.operators.order import WINDOW_ROWS, global_rank
 from meanline.operators.study import KEY_TYPES, key_slot, key_value, multi_column_study, steady
 from meanline.sources.storage import cut
 
@@ -80,7 +81,7 @@ class Encoding:
             columns = list(self.sizes)
         outputs = dict(columns) if isinstance(columns, Mapping) else {c: c for c in columns}
         large = self._large(outputs, broadcast_rows)
-        frequent = frequent_keys(df, {c: key_value(df, c) for c in large}) if large else {}
+        frequent = _frequent_values(df, {c: key_value(df, c) for c in large}) if large else {}
         joined, codes = df, {}
         for position, (column, output) in enumerate(outputs.items()):
             key, code = f"_k{position}", f"_c{position}"
@@ -104,25 +105,10 @@ class Encoding:
         return large
 
 
-def frequent_keys(df: DataFrame, keys: Mapping[str, Column]) -> dict[str, list]:
-    """Per name, the values that hold more than one row in 256 each (so fewer than 256); one pass for all names."""
-    kinds = {name: df.select(key.alias("k")).schema["k"].dataType.simpleString() for name, key in keys.items()}
-    slots = sorted(set(kinds.values()))
-    entries = []
-    for name, key in keys.items():
-        entries.append(F.lit(name))
-        entries += [key if kind == kinds[name] else F.lit(None).cast(kind) for kind in slots]
-    named = [f"k{i}" for i in range(len(slots))]
-    counts = df.select(F.stack(F.lit(len(keys)), *entries).alias("name", *named)).groupBy("name", *named).agg(
-        F.count(F.lit(1)).alias("n")
-    )
-    totals = counts.groupBy("name").agg(F.sum("n").alias("total"))
-    found: dict[str, list] = {name: [] for name in keys}
-    for row in counts.join(F.broadcast(totals), "name").where(F.col("n") * FREQUENT_SHARE > F.col("total")).collect():
-        value = row[named[slots.index(kinds[row["name"]])]]
-        if value is not None:
-            found[row["name"]].append(value)
-    return found
+def _frequent_values(df: DataFrame, keys: Mapping[str, Column]) -> dict[str, list]:
+    """Per name, the values other than null that hold many rows; two passes for all names."""
+    found = frequent_keys(df, {name: [key] for name, key in keys.items()})
+    return {name: [value for value, _ in rows if value is not None] for name, rows in found.items()}
 
 
 def lookup_join(
@@ -230,7 +216,7 @@ def held_out_means(
     small = extent[0] <= broadcast_rows and folds_bytes <= BROADCAST_BYTES
     own = F.col("_own")[F.col(fold)]
     mean = (F.col("_s") - own["s"]).cast("double") / F.nullif(F.col("_n") - own["n"], F.lit(0))
-    frequent = None if small else frequent_keys(df, {column: key})[column]
+    frequent = None if small else _frequent_values(df, {column: key})[column]
     joined = lookup_join(df, key, lookup, "_k", frequent)
     return joined.select(*[F.col(f"`{c}`") for c in df.columns], mean.alias(output))
 

@@ -18,14 +18,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from meanline.operators.frequent import frequent_keys
 from meanline.sources.storage import cut, shared_table
 
 #: Values brought to the driver to finish one order statistic.
 BRACKET_ROWS = 5_000
 
-#: A value held by more than one row in this many counts as frequent.
-FREQUENT_SHARE = 256
-
 #: Rows one task may rank by itself.
 WINDOW_ROWS = 200_000
 
@@ -397,30 +395,10 @@ def global_rank(df: DataFrame, order_by: Sequence[str], output: str = "rnk") ->
     return singles.unionByName(copies.select(rank.alias(output), *names))
 
 
-def _frequent_keys(df: DataFrame, order_by: Sequence[str], share: int = FREQUENT_SHARE) -> list[tuple]:
-    """Ordering keys held by more than one row in ``share`` (so fewer than ``share`` keys), with counts.
-
-    A sketch of the first ordering column tells whether any value is that
-    frequent; only rows with such a value are then counted by their whole key.
-    """
-    first, total = order_by[0], df.count()
-    rows, kind = df, df.schema[first].dataType
-    if isinstance(kind, _SKETCHABLE):
-        steps = [i / (2 * share) for i in range(2 * share + 1)]
-        row = df.agg(
-            F.percentile_approx(F.col(f"`{first}`"), steps, _ACCURACY).alias("q"),
-            F.count_if(F.col(f"`{first}`").isNull()).alias("empty"),
-        ).first()
-        cuts = row["q"] or []
-        repeated = sorted({a for a, b in zip(cuts, cuts[1:]) if a == b})
-        test = F.col(f"`{first}`").isin([_literal(v, kind) for v in repeated]) if repeated else F.lit(False)
-        if row["empty"] * share > total:
-            test = test | F.col(f"`{first}`").isNull()
-        elif not repeated:
-            return []
-        rows = df.where(test)
-    counts = rows.groupBy(*order_by).agg(F.count(F.lit(1)).alias("_n"))
-    return [tuple(row) for row in counts.where((F.col("_n") * share > total) & (F.col("_n") > 1)).collect()]
+def _frequent_keys(df: DataFrame, order_by: Sequence[str], share: int | None = None) -> list[tuple]:
+    """Ordering keys that hold a large part of a task's rows, with counts; see `frequent_keys`."""
+    found = frequent_keys(df, {"order": [F.col(f"`{c}`") for c in order_by]}, share)["order"]
+    return [row for row in found if row[-1] > 1]
 
 
 def _running_total(
