@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from meanline.operators.frequent import frequent_keys
 from meanline.operators.order import WINDOW_ROWS, global_rank
-from meanline.operators.study import KEY_TYPES, key_slot, key_value, multi_column_study, steady
+from meanline.operators.study import KEY_TYPES, key_slot, key_value, multi_column_study, steady, unpivoted
 from meanline.sources.storage import cut
 
 #: Lookup sides are broadcast up to this many rows each and this many bytes together.
@@ -128,8 +128,9 @@ def lookup_join(
     hot = key.isNull() | key.isin(list(frequent)) if frequent else key.isNull()
     few = packed.where(F.col(lookup_key).isin(list(frequent)) if frequent else F.lit(False)).toDF("_hot_key", "_hot")
     many = packed.withColumn("_cold_salt", F.lit(0)).withColumnRenamed(lookup_key, "_cold_key")
+    spread_by = [F.col(f"`{c}`") for c, kind in df.dtypes if "map<" not in kind]  # maps have no hash
     rows = df.select("*", F.when(~hot, key).alias("_key"), F.when(hot, key).alias("_frequent")).withColumn(
-        "_salt", F.when(F.col("_key").isNotNull(), 0).otherwise(1 + F.pmod(F.xxhash64(*df.columns), F.lit(1 << 16)).cast("int"))
+        "_salt", F.when(F.col("_key").isNotNull(), 0).otherwise(1 + F.pmod(F.xxhash64(*spread_by) if spread_by else F.lit(0), F.lit(1 << 16)).cast("int"))
     )
     joined = rows.join(F.broadcast(few), F.col("_frequent") == F.col("_hot_key"), "left").join(
         many, F.col("_key").eqNullSafe(F.col("_cold_key")) & (F.col("_salt") == F.col("_cold_salt")), "left"
@@ -221,6 +222,57 @@ def held_out_means(
     return joined.select(*[F.col(f"`{c}`") for c in df.columns], mean.alias(output))
 
 
+def held_out_codes(
+    df: DataFrame, columns: Mapping[str, str] | Sequence[str], label: str, fold: str, *,
+    unseen: float | None = 0.0, broadcast_rows: int = BROADCAST_ROWS,
+) -> DataFrame:
+    """``df`` with each column's values as their mean label over the *other* folds; ``unseen`` where there are none.
+
+    ``columns`` maps inputs to outputs, or lists columns to replace in place.  One pass sums labels by
+    (column, value, fold) for all columns, so every fold's means are differences of sums; a second pass
+    looks all of them up, in one stage while the sums are small.
+    """
+    outputs = dict(columns) if isinstance(columns, Mapping) else {c: c for c in columns}
+    if not outputs:
+        return df
+    cube = unpivoted(df, list(outputs), label, [fold]).groupBy(fold, "feature", *KEY_TYPES).agg(
+        F.sum("_y").alias("s"), F.count("_y").alias("n")
+    )
+    totals = cube.groupBy("feature", *KEY_TYPES).agg(
+        F.sum("s").alias("S"), F.sum("n").alias("N"), F.collect_list(F.struct(F.col(fold).alias("f"), "s", "n")).alias("own")
+    )
+    ratio = lambda s, n: s.cast("double") / F.nullif(n, F.lit(0))
+    without = F.map_from_entries(F.transform(
+        "own", lambda o: F.struct(o["f"], F.struct(ratio(F.col("S") - F.coalesce(o["s"], F.lit(0)), F.col("N") - o["n"]).alias("mean")))
+    ))
+    table = cut(totals.select("feature", *KEY_TYPES, ratio(F.col("S"), F.col("N")).alias("overall"), without.alias("without")))
+    extents = {
+        r["feature"]: r for r in table.groupBy("feature").agg(
+            F.count(F.lit(1)).alias("keys"),
+            F.sum(F.coalesce(F.octet_length("text_key"), F.lit(8)) + 48 * F.size("without")).alias("bytes"),
+        ).collect()  # one row per column
+    }
+    large, held = [], 0
+    for column in sorted(extents, key=lambda c: (extents[c]["bytes"], c)):
+        held += extents[column]["bytes"]
+        if extents[column]["keys"] > broadcast_rows or held > BROADCAST_BYTES:
+            large.append(column)
+    frequent = _frequent_values(df, {c: key_value(df, c) for c in large}) if large else {}
+    joined, codes = df, {}
+    for position, (column, output) in enumerate(outputs.items()):
+        key, mean, parts = f"_k{position}", f"_m{position}", f"_w{position}"
+        stored = F.col(key_slot(df, column))
+        lookup = table.where((F.col("feature") == column) & stored.isNotNull()).select(
+            stored.alias(key), F.col("overall").alias(mean), F.col("without").alias(parts)
+        )
+        joined = lookup_join(joined, key_value(df, column), lookup, key, frequent.get(column))
+        own = F.col(parts)[F.col(fold)]
+        code = F.when(own.isNull(), F.col(mean)).otherwise(own["mean"])
+        codes[output] = code if unseen is None else F.coalesce(code, F.lit(float(unseen)))
+    kept = [codes.pop(name).alias(name) if name in codes else F.col(f"`{name}`") for name in df.columns]
+    return joined.select(*kept, *[code.alias(name) for name, code in codes.items()])
+
+
 class _MeanEncoderParams(HasInputCols, HasOutputCols, HasLabelCol):
     unseen: Param[str] = Param(
         Params._dummy(), "unseen", "code of an unseen value: a number as text, 'mean' or 'null'",

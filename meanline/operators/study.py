@@ -55,21 +55,25 @@ def key_value(df: DataFrame, column: str) -> Column:
     return F.col(f"`{column}`").cast(KEY_TYPES[key_slot(df, column)])
 
 
-def multi_column_study(df: DataFrame, columns: Sequence[str], label: str, by: Sequence[str] = ()) -> DataFrame:
-    """Studies of many columns in one pass: (feature, num_key, int_key, text_key, sum_label, n, mean_label).
-
-    Each row is unpivoted into one entry per column and summed up before the
-    shuffle, so what moves is the distinct keys, whatever the number of rows.
-    """
+def unpivoted(df: DataFrame, columns: Sequence[str], label: str, by: Sequence[str] = ()) -> DataFrame:
+    """(by, feature, num_key, int_key, text_key, _y): one row for each row and column, in the same stage."""
     entries = []
     for column in columns:
         own = key_slot(df, column)
         entries.append(F.lit(column))
         entries += [key_value(df, column) if slot == own else F.lit(None).cast(kind) for slot, kind in KEY_TYPES.items()]
-    tall = df.select(
-        *by, F.col(label).alias("_y"),
-        F.stack(F.lit(len(columns)), *entries).alias("feature", *KEY_TYPES),
+    return df.select(
+        *by, F.col(label).alias("_y"), F.stack(F.lit(len(columns)), *entries).alias("feature", *KEY_TYPES)
     )
+
+
+def multi_column_study(df: DataFrame, columns: Sequence[str], label: str, by: Sequence[str] = ()) -> DataFrame:
+    """Studies of many columns in one pass: (feature, num_key, int_key, text_key, sum_label, n, mean_label).
+
+    Each row is unpivoted into one entry per column and summed up before the
+    shuffle, so what moves is the distinct keys, whatever the number of rows.
+    """
+    tall = unpivoted(df, columns, label, by)
     grouped = tall.groupBy(*by, "feature", *KEY_TYPES).agg(
         F.sum("_y").cast("double").alias("sum_label"), F.count("_y").alias("n")
     )

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
 from meanline.functions.recode import recode_fixed
-from meanline.operators.encode import fit_means, held_out_means
+from meanline.operators.encode import fit_means, held_out_codes
 from meanline.operators.metrics import metric_columns
 from meanline.operators.order import rank_first, rank_last, rank_middle
 from meanline.operators.project import filter_month, label_first
@@ -91,8 +91,12 @@ def _run(rows: DataFrame, job: RegressionJob) -> JobRun:
     prepared = models.preparation(job.features, job.max_categories).fit(train)
     if job.means:
         # folds see means of the other folds only, so a fold's labels are in none of its features
-        shown = fold_encoded(hash_split(rows, "key", job.train_ratio, job.seed)[0], job)
-        tuned, grid, estimator = _tune(models.preparation(job.features, job.max_categories).fit(shown).transform(shown), job)
+        shown = fold_encoded(hash_split(rows, "key", job.train_ratio, job.seed)[0], job).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            ready = models.preparation(job.features, job.max_categories).fit(shown).transform(shown)
+            tuned, grid, estimator = _tune(ready, job)
+        finally:
+            shown.unpersist()
         better = max if job.metric == "r2" else min
         point = tuned.avgMetrics.index(better(tuned.avgMetrics))
         model = estimator.fit(prepared.transform(train).select("label", "features"), grid[point])
@@ -120,10 +124,7 @@ def _run(rows: DataFrame, job: RegressionJob) -> JobRun:
 def fold_encoded(train: DataFrame, job: RegressionJob) -> DataFrame:
     """Training rows with their fold, each mean-encoded by the other folds; values met in no other fold become 0.0."""
     rows = with_fold(train, "key", job.folds, seed=job.folds)
-    for column in job.means:
-        rows = held_out_means(rows, column, "label", "fold", "_mean")
-        rows = rows.withColumn(column, F.coalesce("_mean", F.lit(0.0))).drop("_mean")
-    return rows
+    return held_out_codes(rows, job.means, "label", "fold")
 
 
 def _tune(prepared: DataFrame, job: RegressionJob):

@@ -128,3 +128,52 @@ def test_encoder_fitted_on_no_rows_gives_the_default(tiny):
     encoding = encode.fit_means(tiny.where("id < 0"), ["hr"], "label")
     assert {r["hr"] for r in encoding.apply(tiny, unseen=-1.0).collect()} == {-1.0}
     assert {r["hr"] for r in encoding.apply(tiny, unseen="mean").collect()} == {None}
+
+
+@pytest.mark.parametrize("broadcast_rows", [0, 1_000_000])
+def test_all_columns_by_the_other_folds_against_brute_force(skewed, broadcast_rows):
+    rows = with_fold(skewed, "id", 5).withColumn("again", F.col("key") % 10)
+    columns = {"key": "a", "name": "name", "again": "b"}
+    got = encode.held_out_codes(rows, columns, "label", "fold", unseen=None, broadcast_rows=broadcast_rows)
+    assert got.columns == [*rows.columns, "a", "b"]
+    plain = rows.collect()
+    sums = {}
+    for r in plain:
+        for c in columns:
+            for part in (None, r["fold"]):
+                s, n = sums.get((c, r[c], part), (0, 0))
+                sums[c, r[c], part] = s + r["label"], n + 1
+
+    def mean(r, c):
+        if r[c] is None:
+            return None
+        (s, n), (own, m) = sums[c, r[c], None], sums[c, r[c], r["fold"]]
+        return float(s - own) / (n - m) if n > m else None
+
+    want = {}
+    for r in plain:
+        row = (r["id"], r["fold"], *(mean(r, c) for c in ("key", "name", "again")))
+        want[row] = want.get(row, 0) + 1
+    seen = {}
+    for r in got.collect():
+        row = (r["id"], r["fold"], r["a"], r["name"], r["b"])
+        seen[row] = seen.get(row, 0) + 1
+    assert {k[:2]: n for k, n in seen.items()} == {k[:2]: n for k, n in want.items()}
+    ordered = lambda rows: sorted(rows, key=lambda k: tuple((x is None, x or 0) for x in k))
+    for a, b in zip(ordered(seen), ordered(want), strict=True):
+        assert [x is None for x in a] == [x is None for x in b]
+        assert a == pytest.approx(b, rel=1e-12, nan_ok=True) if None not in a else True
+
+
+def test_all_columns_are_encoded_in_two_passes(spark, skewed):
+    """One aggregation and one stage of broadcast joins, however many columns there are."""
+    rows = with_fold(skewed, "id", 5).select("fold", "label", *(F.col("key").alias(f"c{i}") for i in range(8)))
+    plan = encode.held_out_codes(rows, [f"c{i}" for i in range(8)], "label", "fold")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("BroadcastHashJoin") == 8
+    assert "SortMergeJoin" not in plan and "hashpartitioning" not in plan
+
+
+def test_encoding_by_folds_of_no_rows_and_no_columns(spark, skewed):
+    rows = with_fold(skewed, "id", 5)
+    assert encode.held_out_codes(rows.limit(0), ["key"], "label", "fold").count() == 0
+    assert encode.held_out_codes(rows, [], "label", "fold") is rows
