@@ -10,46 +10,116 @@ instead of 216 times.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from multiprocessing.pool import ThreadPool
 
 import numpy as np
+import pyarrow as pa
+from pyspark.ml.linalg import Vectors, VectorUDT
 from pyspark.ml.regression import LinearRegression, LinearRegressionModel
 from pyspark.ml.tuning import CrossValidatorModel
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from meanline.plans.models import assembler
+#: Beyond so many features the sums of products are not written out one by one but summed as matrices.
+WRITTEN_OUT = 24
+_BLOCK_ROWS = 64
 
-def moment_rows(df: DataFrame, features: Sequence[str], label: str = "label", fold: str = "fold") -> DataFrame:
-    """(fold, features, label, weight): weighted rows with each fold's count, means and covariances."""
-    names = [*features, label]
-    pairs = [(i, j) for i in range(len(names)) for j in range(i, len(names))]
-    values = [F.col(f"`{name}`").cast("double") for name in names]
-    pivot = df.agg(*[F.avg(v).alias(str(i)) for i, v in enumerate(values)]).first()
-    centred = [v - F.lit(float(pivot[str(i)] or 0.0)) for i, v in enumerate(values)]
+
+def _written_out(df: DataFrame, values: Sequence[Column], fold: str) -> list[tuple[int, int, np.ndarray, np.ndarray]]:
+    """(fold, rows, sums, sums of products) of each fold, one aggregate for each pair."""
+    pairs = [(i, j) for i in range(len(values)) for j in range(i, len(values))]
     sums = df.groupBy(F.col(fold).cast("int").alias("fold")).agg(
         F.count(F.lit(1)).alias("n"),
-        F.array(*[F.sum(v) for v in centred]).alias("s"),
-        F.array(*[F.sum(centred[i] * centred[j]) for i, j in pairs]).alias("ss"),
+        F.array(*[F.sum(v) for v in values]).alias("s"),
+        F.array(*[F.sum(values[i] * values[j]) for i, j in pairs]).alias("ss"),
     )
-    size, rows = len(names), []
-    shift = np.array([pivot[str(i)] or 0.0 for i in range(size)], dtype=float)
+    found = []
     for group in sums.collect():  # one row per fold
-        mean = np.array(group["s"]) / group["n"]
-        second = np.zeros((size, size))
-        for (i, j), value in zip(pairs, group["ss"]):
-            second[i, j] = second[j, i] = value / group["n"]
-        spread, axes = np.linalg.eigh(second - np.outer(mean, mean))
+        products = np.zeros((len(values), len(values)))
+        for (i, j), value in zip(pairs, group["ss"], strict=True):
+            products[i, j] = products[j, i] = value
+        found.append((group["fold"], group["n"], np.array(group["s"]), products))
+    return found
+
+
+def _as_matrices(df: DataFrame, values: Sequence[Column], fold: str) -> list[tuple[int, int, np.ndarray, np.ndarray]]:
+    """The same by products of matrices: tasks add up one matrix a fold, blocks of its rows are then merged."""
+    size = len(values)
+    schema = "fold int, block int, n bigint, sums array<double>"
+
+    def multiply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, np.ndarray] = {}
+        counts: dict[int, int] = {}
+        for batch in batches:
+            folds = batch.column(0).to_numpy()
+            # a column of ones gives the plain sums
+            table = np.column_stack([*(c.to_numpy() for c in batch.columns[1:]), np.ones(batch.num_rows)])
+            for number in np.unique(folds).tolist():
+                part = table[folds == number]
+                held[number] = held.get(number, 0) + part.T @ part
+                counts[number] = counts.get(number, 0) + len(part)
+        for number, matrix in held.items():
+            for at in range(0, size + 1, _BLOCK_ROWS):
+                yield blocks([(number, at, counts[number], matrix[at : at + _BLOCK_ROWS].ravel())])
+
+    def blocks(rows: list[tuple[int, int, int, np.ndarray]]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(
+            [pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.int32()),
+             pa.array([r[2] for r in rows], pa.int64()), pa.array([r[3] for r in rows], pa.list_(pa.float64()))],
+            names=["fold", "block", "n", "sums"],
+        )
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[tuple[int, int], tuple[int, np.ndarray]] = {}
+        for batch in batches:
+            for i in range(batch.num_rows):
+                key = batch.column(0)[i].as_py(), batch.column(1)[i].as_py()
+                n, sums = held.get(key, (0, 0.0))
+                held[key] = n + batch.column(2)[i].as_py(), sums + batch.column(3)[i].values.to_numpy()
+        for (number, at), (n, sums) in held.items():
+            yield blocks([(number, at, n, sums)])
+
+    flat = df.select(F.col(fold).cast("int").alias("fold"), *(v.alias(f"v{i}") for i, v in enumerate(values)))
+    merged = flat.mapInArrow(multiply, schema).repartition("fold", "block").mapInArrow(merge, schema)
+    counts: dict[int, int] = {}
+    matrices: dict[int, np.ndarray] = {}
+    for row in merged.collect():  # (p + 2) ** 2 numbers per fold
+        matrix = matrices.setdefault(row["fold"], np.zeros((size + 1, size + 1)))
+        matrix[row["block"] : row["block"] + _BLOCK_ROWS] = np.reshape(row["sums"], (-1, size + 1))
+        counts[row["fold"]] = row["n"]
+    return [(number, counts[number], m[size, :size], m[:size, :size]) for number, m in matrices.items()]
+
+
+def moment_rows(df: DataFrame, features: Sequence[str], label: str = "label", fold: str = "fold") -> DataFrame:
+    """(fold, features, label, weight): weighted rows with each fold's count, means and covariances.
+
+    Rows with a null or NaN among features and label have no moments: they raise ``ValueError``, as a fit
+    on the rows themselves would.
+    """
+    names = [*features, label]
+    values = [F.col(f"`{name}`").cast("double") for name in names]
+    odd = F.exists(F.array(*values), lambda v: v.isNull() | F.isnan(v)) | F.col(fold).isNull()
+    pivot = df.agg(*[F.avg(v).alias(str(i)) for i, v in enumerate(values)], F.count_if(odd).alias("odd")).first()
+    if pivot["odd"]:
+        raise ValueError(f"{pivot['odd']} rows have a null or NaN among {', '.join(names[:20])} or no fold")
+    shift = np.array([pivot[str(i)] or 0.0 for i in range(len(names))], dtype=float)
+    centred = [v - F.lit(float(at)) for v, at in zip(values, shift, strict=True)]
+    size, rows = len(names), []
+    summed = _written_out if len(features) <= WRITTEN_OUT else _as_matrices
+    for number, n, sums, products in summed(df, centred, fold):
+        mean = sums / n
+        spread, axes = np.linalg.eigh(products / n - np.outer(mean, mean))
         steps = axes * np.sqrt(np.clip(spread, 0.0, None) * size)
-        weight = group["n"] / (2.0 * size)
+        weight = n / (2.0 * size)
         for step in np.vstack([steps.T, -steps.T]):
-            point = shift + mean + step
-            rows.append((group["fold"], weight, *point.tolist()))
-    slots = [f"x{i}" for i in range(size - 1)]
-    schema = ", ".join(["fold int", "weight double", *[f"{slot} double" for slot in slots], "label double"])
-    flat = df.sparkSession.createDataFrame(rows, schema).coalesce(1)
-    return assembler(slots, "features").transform(flat).select("fold", "features", "label", "weight")
+            rows.append((number, Vectors.dense((shift + mean + step)[:-1]), float((shift + mean + step)[-1]), weight))
+    schema = T.StructType([
+        T.StructField("fold", T.IntegerType()), T.StructField("features", VectorUDT()),
+        T.StructField("label", T.DoubleType()), T.StructField("weight", T.DoubleType()),
+    ])
+    return df.sparkSession.createDataFrame(rows, schema).coalesce(1)
 
 
 def _scores(models: list[LinearRegressionModel], points: np.ndarray, weight: np.ndarray, metric: str) -> list[float]:
