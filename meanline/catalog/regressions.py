@@ -7,6 +7,7 @@ from pyspark.ml.regression import LinearRegression
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from meanline.catalog import job_rows
 from meanline.catalog.registry import query, values
 from meanline.functions import fixed_values
 from meanline.functions.clean import fill_empty
@@ -106,13 +107,8 @@ def residual_rows(spark: SparkSession, directory: str) -> DataFrame:
     )
 
 
-def _listed_sql(table: dict[float, float], step: str) -> str:
-    readings = sorted(table)
-    return f"({readings}::double[])[cast(least(greatest({step}, 0), {len(readings) - 1}) as integer) + 1]"
-
-
-_FELT = _listed_sql(fixed_values.FELT_TEMPERATURE_RANK, "floor(l_extendedprice / 1600)")
-_WIND = _listed_sql(fixed_values.WIND_BIN, "round(l_tax * 100)")
+_FELT = job_rows.listed_sql(fixed_values.FELT_TEMPERATURE_RANK, "floor(l_extendedprice / 1600)")
+_WIND = job_rows.listed_sql(fixed_values.WIND_BIN, "round(l_tax * 100)")
 
 
 def _unlisted_sql(column: str, value: str, table: dict[float, float]) -> str:
@@ -504,6 +500,7 @@ def _register(name: str, job: jobs.RegressionJob) -> None:
 
 for _name, _job in JOBS.items():
     _register(_name, _job)
+job_rows.register_rows(JOBS)
 
 
 @query(
@@ -521,25 +518,32 @@ def job_band_report(spark: SparkSession, directory: str) -> DataFrame:
     return jobs.band_report(run.scored).drop("prediction")
 
 
-def _fit_report(rows: DataFrame, features: list[str]) -> DataFrame:
-    """Least squares on all rows: residual spread, rmse and r2."""
+def _fit_report(rows: DataFrame, features: list[str], digits: int = 4) -> DataFrame:
+    """Least squares on all rows: rmse, r2 and residual spread, in as many digits as a fit has."""
     prepared, model = jobs.fit_ols(rows, features)
     scored = residuals(model.transform(prepared.transform(rows)))
-    return scored.agg(
-        *metric_columns(), F.min("residual").alias("min_residual"), F.max("residual").alias("max_residual")
-    )
+    spread_of = [F.round(F.min("residual"), digits).alias("min_residual"), F.round(F.max("residual"), digits).alias("max_residual")]
+    return scored.agg(*_rounded_metrics(), *spread_of)
+
+
+def _rounded_metrics() -> list:
+    n, rmse, r2 = metric_columns()
+    return [n, F.round(rmse, 5).alias("rmse"), F.round(r2, 7).alias("r2")]
 
 
-@query("job_linear_all_rows")
+@query("job_linear_all_rows", f"{job_rows.least_squares_sql(job_rows.TRIP_ROWS_SQL, TRIP_FEATURES, 'cnt')} {job_rows.report_sql(4)}")
 def job_linear_all_rows(spark: SparkSession, directory: str) -> DataFrame:
     return _fit_report(trips_view(spark, directory).withColumnRenamed("cnt", "label"), list(TRIP_FEATURES))
 
 
-@query("job_linear_train_test")
+@query(
+    "job_linear_train_test",
+    job_rows.least_squares_sql(job_rows.TRIP_ROWS_SQL, TRIP_FEATURES, "cnt", "key % 5 < 4", "key % 5 >= 4") + job_rows.QUALITY_SQL,
+)
 def job_linear_train_test(spark: SparkSession, directory: str) -> DataFrame:
     train, test = hash_split(trips_view(spark, directory).withColumnRenamed("cnt", "label"), "key")
     model = models.full_pipeline(TRIP_FEATURES, 4, LinearRegression()).fit(train)
-    return regression_metrics(model.transform(test))
+    return model.transform(test).agg(*_rounded_metrics())
 
 
 def _purchase_codes() -> list:
@@ -556,20 +560,29 @@ def _purchase_codes() -> list:
 _PURCHASE_FEATURES = ["gender", "age", "occupation", "city", "years", "marital"]
 
 
-@query("job_purchases_per_user")
+@query(
+    "job_purchases_per_user",
+    job_rows.least_squares_sql(job_rows.USER_ROWS_SQL, _PURCHASE_FEATURES, "total") + job_rows.report_sql(1),
+)
 def job_purchases_per_user(spark: SparkSession, directory: str) -> DataFrame:
     """Totals per user, recoded attributes, least squares."""
     attributes = ["Gender", "Age", "Occupation", "City_Category", "Stay_In_Current_City_Years", "Marital_Status"]
     users = sum_per_user(purchases_view(spark, directory), "User_ID", "Purchase", attributes, scale=2)
     rows = users.select(*_purchase_codes(), F.col("total").cast("double").alias("label"))
-    return _fit_report(rows, _PURCHASE_FEATURES)
+    return _fit_report(rows, _PURCHASE_FEATURES, 1)
 
 
-@query("job_purchases_filled")
+@query(
+    "job_purchases_filled",
+    job_rows.least_squares_sql(
+        job_rows.PURCHASE_ROWS_SQL, [*_PURCHASE_FEATURES, *(f"product_category_{i}" for i in (1, 2, 3))], "purchase"
+    ) + job_rows.report_sql(0),
+)
 def job_purchases_filled(spark: SparkSession, directory: str) -> DataFrame:
     """Single purchases with empty categories filled, recoded attributes, least squares."""
     categories = [f"Product_Category_{i}" for i in (1, 2, 3)]
     rows = purchases_view(spark, directory).select(
         *_purchase_codes(), *[fill_empty(c).alias(c.lower()) for c in categories], F.col("Purchase").alias("label")
     )
-    return _fit_report(rows, [*_PURCHASE_FEATURES, *[c.lower() for c in categories]])
+    # occupation and first category agree here, and such a fit is iterated: fewer digits are certain
+    return _fit_report(rows, [*_PURCHASE_FEATURES, *[c.lower() for c in categories]], 0)

@@ -6,8 +6,8 @@ from __spark_entry__ import oracle_sql, queries
 from check import compare
 
 # run below, or beside the operators they belong to
-APART = {n for n in queries() if n.startswith(("job_", "op")) or n in ("elastic_net_cv", "cv_best_row", "pipeline")}
-JOBS = sorted(n for n in queries() if n.startswith("job_") or n in ("elastic_net_cv", "cv_best_row"))
+APART = {n for n in queries() if n.startswith(("job_", "rows_of_", "op")) or n in ("elastic_net_cv", "cv_best_row", "pipeline")}
+JOBS = sorted(n for n in queries() if n.startswith(("job_", "rows_of_")) or n in ("elastic_net_cv", "cv_best_row"))
 
 
 @pytest.mark.parametrize("name", sorted(set(queries()) - APART))
