@@ -10,8 +10,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import warnings
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -48,35 +50,48 @@ def shared_table(df: DataFrame, name: str) -> DataFrame:
     reads touch only the columns they ask for.
     """
     path = new_path(df.sparkSession, name)
-    if _scratch:
-        _scratch[-1].append(path)
+    if blocks := _scratch.get():
+        blocks[-1].append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-#: Paths written within the blocks of `scratch` that are open, innermost last.
-_scratch: list[list[str]] = []
+#: Paths written within the blocks of `scratch` that are open in this thread, innermost last.
+_scratch: ContextVar[tuple[list[str], ...]] = ContextVar("scratch", default=())
 
 
 @contextmanager
 def scratch(spark: SparkSession) -> Iterator[Callable[[DataFrame, str], DataFrame]]:
-    """Remove what `shared_table` writes inside the block when it ends.
+    """Remove what `shared_table` writes inside the block, in the same thread, when it ends.
 
     The block gets a function that stores a result for longer; only what went
     through it may be read afterwards.
     """
-    _scratch.append([])
+    outer = _scratch.get()
+    own: list[str] = []
+    token = _scratch.set((*outer, own))
 
     def keep(df: DataFrame, name: str) -> DataFrame:
         held = shared_table(df, name)
-        path = _scratch[-1].pop()
-        if len(_scratch) > 1:
-            _scratch[-2].append(path)
+        path = own.pop()
+        if outer:
+            outer[-1].append(path)
         return held
 
     try:
         yield keep
     finally:
-        for path in _scratch.pop():
-            place = spark._jvm.org.apache.hadoop.fs.Path(path)
-            place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+        _scratch.reset(token)
+        failed = [error for path in own if (error := _removed(spark, path))]
+        if failed:
+            warnings.warn(f"{len(failed)} of {len(own)} intermediate tables are left: {failed[0]}", stacklevel=3)
+
+
+def _removed(spark: SparkSession, path: str) -> str | None:
+    """Remove one table; the reason if that fails, so that the others are removed all the same."""
+    try:
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+    except Exception as error:
+        return f"{path}: {type(error).__name__}"
+    return None

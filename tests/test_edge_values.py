@@ -104,3 +104,58 @@ def test_extreme_ratios_without_a_seed_leave_no_part_empty(spark):
     assert [d.count() for d in hash_split(rows, "id", 0.33333)] == [66_667, 133_333]
     with pytest.raises(ValueError, match="ratio"):
         is_train("id", 1e-12)
+
+
+@pytest.mark.parametrize("robust", [False, True])
+def test_stray_dates_stretch_no_calendar(spark, robust):
+    """Two rows of the years 1 and 9999 leave the anomalies of the others as they were."""
+    draw = [(day * 7 + hour * 3) % 5 for day in range(40) for hour in range(24)]
+    times = [
+        f"{datetime.date(2024, 1, 1) + datetime.timedelta(day)} {hour:02d}:10:00"
+        for day in range(40) for hour in range(24) for _ in range(10 + draw[day * 24 + hour] + (50 if (day, hour) == (20, 5) else 0))
+    ]
+    at = F.col("t").cast("timestamp").alias("ts")
+    plain = spark.createDataFrame([(t,) for t in times], "t string").select(at)
+    strays = spark.createDataFrame([("0001-01-01 05:00:00",), ("9999-12-31 05:00:00",), (None,)], "t string").select(at)
+    want = segments.count_anomalies(plain, "ts", 5.0, robust=robust).collect()
+    assert [(r["day"], r["hr"]) for r in want] == [(datetime.date(2024, 1, 21), 5)]
+    got = segments.count_anomalies(plain.unionByName(strays), "ts", 5.0, robust=robust).collect()
+    assert sorted(map(tuple, got)) == sorted(map(tuple, want))
+    assert segments.hourly_counts(plain.unionByName(strays), "ts").count() == 40 * 24
+
+
+def test_anomalies_of_no_rows(spark):
+    empty = spark.createDataFrame([(None,)], "ts timestamp")
+    assert segments.usual_days(empty, "ts") is None
+    assert segments.count_anomalies(empty, "ts").count() == 0
+
+
+def test_a_spread_that_few_hours_cannot_move(spark):
+    """Median and median deviation by hand: counts 8, 10, 10, 12, 40 have centre 10 and deviation 2."""
+    rows = [(f"2024-03-{day:02d} 09:00:00",) for day, n in enumerate((8, 10, 10, 12, 40), 1) for _ in range(n)]
+    df = spark.createDataFrame(rows, "t string").select(F.col("t").cast("timestamp").alias("ts"))
+    got = segments.count_anomalies(df, "ts", 1.0, robust=True).collect()
+    assert [(r["day"].day, r["n"], round(r["z"], 6)) for r in got] == [(5, 40, round(30 / (2 * 1.4826), 6))]
+
+
+def test_each_thread_removes_its_own_tables(spark):
+    from concurrent.futures import ThreadPoolExecutor
+    from threading import Barrier
+
+    from meanline.sources.storage import scratch, shared_table
+
+    both = Barrier(2)
+
+    def work(size):
+        with scratch(spark) as keep:
+            both.wait()
+            held = shared_table(spark.range(size), "thread")
+            both.wait()
+            kept = keep(held.selectExpr("id + 1 as id"), "kept")
+        both.wait()
+        with pytest.raises(Exception, match="(?i)exist|not.found"):
+            spark.read.parquet(held.inputFiles()[0])
+        return kept.count()
+
+    with ThreadPoolExecutor(2) as pool:
+        assert list(pool.map(work, [10, 20])) == [10, 20]
