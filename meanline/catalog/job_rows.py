@@ -86,9 +86,12 @@ def register_rows(all_jobs: Mapping[str, jobs.RegressionJob]) -> None:
         register(name, job)
 
 
-def least_squares_sql(rows: str, features: Sequence[str], label: str, train: str = "true", judged: str = "true") -> str:
+def least_squares_sql(
+    rows: str, features: Sequence[str], label: str, train: str = "true", judged: str = "true", ridge: float = 0.0
+) -> str:
     """Tables up to ``scored`` (label, residual): least squares on the ``train`` rows, residuals of the ``judged`` rows.
 
+    With ``ridge``, slopes of the standardized features are held back by so much of the label's deviation.
     The correlations of the features are eliminated column by column; a column that depends on those before
     it, or is constant, has no pivot left and takes no part.
     """
@@ -96,8 +99,11 @@ def least_squares_sql(rows: str, features: Sequence[str], label: str, train: str
     names = [*features, label]
     x = [f"cast({c} as double)" for c in names]
     scale = [f"nullif(stddev_pop({v}), 0)" for v in x]
+    held_back = lambda i, j: f" + {ridge!r}::double / {scale[p]}" if ridge and i == j else ""
     lines = ", ".join(
-        "[" + ", ".join(f"coalesce(covar_pop({x[i]}, {x[j]}) / ({scale[i]} * {scale[j]}), 0)" for j in range(p + 1)) + "]"
+        "[" + ", ".join(
+            f"coalesce(covar_pop({x[i]}, {x[j]}) / ({scale[i]} * {scale[j]}){held_back(i, j)}, 0)" for j in range(p + 1)
+        ) + "]"
         for i in range(p)
     )
     means = ", ".join(f"avg({v})" for v in x)
@@ -141,3 +147,20 @@ USER_ROWS_SQL = f"""select {_CODES_SQL.format(gender="gender", customer="user_id
     select o_custkey as user_id, min(o_orderstatus) as gender, min(l_linenumber) as line, min({_LETTER}) as flag,
       min(l_linestatus) as status, cast(sum(cast(l_extendedprice as decimal(18, 2))) as double) as total
     from lineitem join orders on l_orderkey = o_orderkey group by 1)"""
+
+
+def hold_out_sql(rows: str, features: Sequence[str], label: str, regs: Sequence[float]) -> str:
+    """(point, regParam, avg_metric, r2_test): ridges judged on every fourth key of the training rows, the best on the test rows."""
+    train, test = "key % 5 < 4", "key % 5 >= 4"
+
+    def r2(fitted: str, judged: str, ridge: float) -> str:
+        tables = least_squares_sql(rows, features, label, fitted, judged, ridge)
+        return f"({tables} select 1 - sum(residual * residual) / (var_pop(label) * count(*)) as r2 from scored)"
+
+    points = " union all ".join(
+        f"select {i} as point, {reg!r}::double as regParam, h.r2 as avg_metric, t.r2 as r2 from"
+        f" {r2(f'{train} and key % 4 < 3', f'{train} and key % 4 >= 3', reg)} h, {r2(train, test, reg)} t"
+        for i, reg in enumerate(regs)
+    )
+    return f"""with points as ({points}) select cast(point as integer) as point, regParam, round(avg_metric, 7) as avg_metric,
+        round((select r2 from points order by avg_metric desc, point limit 1), 7) as r2_test from points"""

@@ -425,17 +425,18 @@ def tree_cv(spark: SparkSession, directory: str) -> DataFrame:
     return models.metrics_table(spark, grid, tuned.avgMetrics, tuned.stdMetrics)
 
 
-@query("train_validation_split")
+@query("train_validation_split", job_rows.hold_out_sql(job_rows.TRIP_ROWS_SQL, TRIP_FEATURES, "cnt", models.RIDGE_PAIR))
 def train_validation_split(spark: SparkSession, directory: str) -> DataFrame:
-    """A ridge tuned on a hold-out, as the last stage of a pipeline."""
+    """A ridge on all features tuned on a hold-out drawn by key, as the last stage of a pipeline."""
     train, test = hash_split(trips_view(spark, directory).withColumnRenamed("cnt", "label"), "key")
     regression = LinearRegression()
-    tuner = models.hold_out_tuner(regression, models.ridge_grid(regression))
+    tuner = models.KeyedHoldOut(regression, models.ridge_grid(regression), "key", ratio=0.75)
     model = models.full_pipeline(TRIP_FEATURES, 4, tuner).fit(train)
-    tuned = model.stages[-1]
-    metrics = models.metrics_table(spark, models.ridge_grid(regression), tuned.validationMetrics)
+    metrics = models.metrics_table(spark, models.ridge_grid(regression), model.stages[-1].validationMetrics)
     test_r2 = regression_metrics(model.transform(test)).first()["r2"]
-    return metrics.select("point", "regParam", "avg_metric", F.lit(test_r2).alias("r2_test"))
+    return metrics.select(
+        "point", "regParam", F.round("avg_metric", 7).alias("avg_metric"), F.round(F.lit(test_r2), 7).alias("r2_test")
+    )
 
 
 _MEANS = ("hr", "weathersit", "temp", "atemp", "hum", "windspeed")

@@ -16,7 +16,10 @@ from pyspark import keyword_only
 from pyspark.ml import Estimator, Model
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasInputCols, HasLabelCol, HasOutputCols
-from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
+from pyspark.ml.util import (
+    DefaultParamsReadable, DefaultParamsReader, DefaultParamsWritable, DefaultParamsWriter, MLReadable, MLReader,
+    MLWritable, MLWriter,
+)
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -304,8 +307,8 @@ class MeanEncoder(Estimator, _MeanEncoderParams, DefaultParamsReadable, DefaultP
         return self._copyValues(MeanEncoderModel(encoding))
 
 
-class MeanEncoderModel(Model, _MeanEncoderParams):
-    """A fitted `MeanEncoder`."""
+class MeanEncoderModel(Model, _MeanEncoderParams, MLWritable, MLReadable):
+    """A fitted `MeanEncoder`; saved as its parameters and, beside them, its table."""
 
     def __init__(self, encoding: Encoding | None = None):
         super().__init__()
@@ -315,3 +318,37 @@ class MeanEncoderModel(Model, _MeanEncoderParams):
     def _transform(self, dataset: DataFrame) -> DataFrame:
         outputs = dict(zip(self.getInputCols(), self.getOutputCols()))
         return self.encoding.apply(dataset, outputs, self._fallback())
+
+    def write(self) -> MLWriter:
+        return _MeanEncoderModelWriter(self)
+
+    @classmethod
+    def read(cls) -> MLReader:
+        return _MeanEncoderModelReader(cls)
+
+
+class _MeanEncoderModelWriter(MLWriter):
+    def __init__(self, model: MeanEncoderModel):
+        super().__init__()
+        self.model = model
+
+    def saveImpl(self, path: str) -> None:
+        DefaultParamsWriter.saveMetadata(self.model, path, self.sparkSession)
+        self.model.encoding.save(f"{path}/table")
+
+
+class _MeanEncoderModelReader(MLReader):
+    def __init__(self, kind: type[MeanEncoderModel]):
+        super().__init__()
+        self.kind = kind
+
+    def load(self, path: str) -> MeanEncoderModel:
+        metadata = DefaultParamsReader.loadMetadata(path, self.sparkSession)
+        stored = Encoding.load(self.sparkSession, f"{path}/table")
+        model = self.kind()
+        model._resetUid(metadata["uid"])
+        DefaultParamsReader.getAndSetParams(model, metadata)
+        # a column whose rows were all without a value has no entry in the table
+        sizes = {column: stored.sizes.get(column, Size(0, 0, 0.0, 0)) for column in model.getInputCols()}
+        model.encoding = Encoding(stored.table, sizes)
+        return model

@@ -10,15 +10,16 @@ from pyspark.ml import Estimator, Model, Pipeline
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import VectorAssembler, VectorIndexer
 from pyspark.ml.regression import DecisionTreeRegressionModel, DecisionTreeRegressor, LinearRegression
-from pyspark.ml.tuning import CrossValidatorModel, ParamGridBuilder, TrainValidationSplit
+from pyspark.ml.tuning import CrossValidatorModel, ParamGridBuilder, TrainValidationSplit, TrainValidationSplitModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
 from meanline.operators.metrics import METRICS, metric_columns, regression_metrics
+from meanline.operators.split import is_train
 from meanline.sources.readers import spread
 
-#: The elastic-net search: strength, mix and (optionally) the intercept.
+#: The elastic-net search (strength, mix and, optionally, the intercept) and the ridge pair.
 REG_PARAMS = (0.1, 0.01, 0.001)
 ELASTIC_NET_PARAMS = (0.0, 0.2, 0.4, 0.6, 0.8, 1.0)
 RIDGE_PAIR = (10000.0, 0.1)
@@ -121,6 +122,35 @@ def hold_out_tuner(regression: Estimator, grid: list[dict], metric: str = "r2",
     )
 
 
+class KeyedHoldOut(Estimator):
+    """Tuning on one hold-out drawn by key: the last stage of a pipeline whose rows carry the key.
+
+    Rows of a key are on one side together, and the sides stay what they are after any repartitioning or
+    retry, which a random draw by row position does not promise.  The best point is fitted anew on all rows.
+    """
+
+    def __init__(
+        self, regression: Estimator, grid: list[dict], key: str, metric: str = "r2", ratio: float = 0.8, seed: int | None = None
+    ):
+        super().__init__()
+        self.regression, self.grid, self.key, self.metric, self.ratio, self.seed = regression, grid, key, metric, ratio, seed
+
+    def _fit(self, dataset: DataFrame) -> TrainValidationSplitModel:
+        label, features = self.regression.getLabelCol(), self.regression.getFeaturesCol()
+        held = F.when(is_train(self.key, self.ratio, self.seed), 1).otherwise(0).alias("fold")
+        ready = dataset.select(F.col(features).alias("features"), F.col(label).alias("label"), held)
+        ready = ready.persist(StorageLevel.MEMORY_AND_DISK)
+        regression = self.regression.copy({self.regression.labelCol: "label", self.regression.featuresCol: "features"})
+        try:
+            if ready.where("fold = 0").isEmpty() or ready.where("fold = 1").isEmpty():
+                raise ValueError(f"the keys in {self.key} leave one side of the hold-out without rows")
+            tuned = cross_validate(ready, regression, self.grid, self.metric, 2, held=[0])
+        finally:
+            ready.unpersist()
+        best = tuned.bestModel.setFeaturesCol(features)
+        return TrainValidationSplitModel(best, tuned.avgMetrics)
+
+
 def metrics_table(
     spark: SparkSession, grid: list[dict], averages: Sequence[float], spreads: Sequence[float] | None = None
 ) -> DataFrame:

@@ -177,3 +177,52 @@ def test_encoding_by_folds_of_no_rows_and_no_columns(spark, skewed):
     rows = with_fold(skewed, "id", 5)
     assert encode.held_out_codes(rows.limit(0), ["key"], "label", "fold").count() == 0
     assert encode.held_out_codes(rows, [], "label", "fold") is rows
+
+
+@pytest.mark.parametrize("unseen", ["0.0", "mean", "null"])
+def test_a_tuned_pipeline_with_an_encoder_is_saved_and_scores_alike(spark, skewed, unseen):
+    from pyspark.ml import PipelineModel
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.regression import LinearRegression
+
+    rows = skewed.where("label is not null").withColumn("label", F.col("label").cast("double"))
+    train, test = rows.where("id % 3 > 0"), rows.where("id % 3 = 0 or id > 29000")
+    encoder = encode.MeanEncoder(inputCols=["key", "name"], outputCols=["a", "b"], labelCol="label", unseen=unseen)
+    regression = LinearRegression()
+    tuner = models.KeyedHoldOut(regression, models.ridge_grid(regression), "id")
+    assembler = VectorAssembler(inputCols=["a", "b"], outputCol="features", handleInvalid="skip")
+    fitted = Pipeline(stages=[encoder, assembler, tuner]).fit(train)
+    # the tuned stage is stored as its best model
+    model = PipelineModel([*fitted.stages[:2], fitted.stages[2].bestModel])
+    path = new_path(spark, "pipeline")
+    model.save(path)
+    again = PipelineModel.load(path)
+    assert again.stages[0].uid == model.stages[0].uid
+    assert again.stages[0].getInputCols() == ["key", "name"]
+    columns = ["id", "a", "b", "prediction"]
+    want = sorted(map(tuple, model.transform(test).select(*columns).collect()))
+    assert sorted(map(tuple, again.transform(test).select(*columns).collect())) == want
+    assert want
+
+
+def test_an_encoder_of_no_rows_is_saved(spark, skewed):
+    rows = skewed.limit(0)
+    model = encode.MeanEncoder(inputCols=["key"], outputCols=["a"], labelCol="label", unseen="-1.0").fit(rows)
+    path = new_path(spark, "encoder")
+    model.save(path)
+    again = encode.MeanEncoderModel.load(path)
+    assert {r["a"] for r in again.transform(skewed.limit(5)).collect()} == {-1.0}
+
+
+def test_keyed_hold_out_stays_after_repartitioning(spark, skewed):
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.regression import LinearRegression
+
+    rows = skewed.where("key is not null").select("id", F.col("key").cast("double").alias("x"), F.col("label").cast("double"))
+    vectors = VectorAssembler(inputCols=["x"], outputCol="features").transform(rows)
+    regression = LinearRegression()
+    tuner = models.KeyedHoldOut(regression, models.ridge_grid(regression), "id", seed=5)
+    one, two = tuner.fit(vectors), tuner.fit(vectors.repartition(7))
+    assert one.validationMetrics == pytest.approx(two.validationMetrics, rel=1e-9)
+    with pytest.raises(ValueError, match="without rows"):
+        tuner.fit(vectors.where("id = 0"))
