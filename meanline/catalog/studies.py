@@ -10,6 +10,7 @@ from meanline.functions import calendar
 from meanline.functions.fixed_values import MONTH_DAYS
 from meanline.operators import study
 from meanline.sources.readers import read_table
+from meanline.sources.storage import shared_table
 from meanline.sources.views import charged, hourly_view, measures_view, monthly_view
 
 
@@ -155,7 +156,26 @@ def summary_profile(spark: SparkSession, directory: str) -> DataFrame:
     return profile.select("feature", "n", "min", "max", *rounded)
 
 
-@query("summary_profile_sketched")
+_PROFILED = ("l_quantity", "l_discount", "l_tax", "l_extendedprice")
+
+
+@query(
+    "summary_profile_sketched",
+    " union all ".join(
+        f"""select '{c}' as feature, count({c}) as n, count(distinct l_shipdate) as n_periods, round(avg({c}), 6) as mean,
+            cast(min({c}) as double) as min, cast(max({c}) as double) as max, cast(3 as bigint) as n_quantiles,
+            true as within_bound from lineitem"""
+        for c in _PROFILED
+    ),
+)
 def summary_profile_sketched(spark: SparkSession, directory: str) -> DataFrame:
-    columns = ["l_quantity", "l_discount", "l_tax", "l_extendedprice"]
-    return study.summary_profile(read_table(spark, directory, "lineitem"), columns, exact=False)
+    """Profiles merged from sketches of every day; the exact ranks of their quantiles are within the sketches' bound."""
+    lines = read_table(spark, directory, "lineitem")
+    daily = shared_table(study.sketched_by(lines, _PROFILED, {"day": F.col("l_shipdate")}), "daily-sketches")
+    profile = shared_table(study.merged_profile(daily), "profile")
+    errors = study.rank_errors(lines, profile).groupBy("feature").agg(
+        F.count("value").alias("n_quantiles"), (F.max("error") <= study.RANK_ERROR).alias("within_bound")
+    )
+    return profile.join(errors, "feature").select(
+        "feature", "n", "n_periods", F.round("mean", 6).alias("mean"), "min", "max", "n_quantiles", "within_bound"
+    )

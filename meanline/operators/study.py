@@ -130,3 +130,59 @@ def summary_profile(
             )
         )
     return df.agg(F.array(*entries).alias("_s")).select(F.inline("_s"))
+
+
+#: Size of the quantile sketches, and the error of a rank as a share of all rows that one of half the size keeps to.
+SKETCH_SIZE, RANK_ERROR = 400, 0.0165
+
+
+def sketched_by(df: DataFrame, columns: Sequence[str], by: Mapping[str, Column]) -> DataFrame:
+    """(by, feature, n, sum_value, min, max, sketch): one row per period and column, of a bounded size each.
+
+    Such rows are kept instead of the data: profiles of any periods come from merging theirs, see
+    `merged_profile`.  Nulls and NaNs are left out.  One pass over the rows.
+    """
+    entries = []
+    for column in columns:
+        value = F.col(f"`{column}`").cast("double")
+        entries += [F.lit(column), F.when(~F.isnan(value), value)]
+    tall = df.select(*[period.alias(name) for name, period in by.items()], F.stack(F.lit(len(columns)), *entries).alias("feature", "v"))
+    return tall.where(F.col("v").isNotNull()).groupBy(*by, "feature").agg(
+        F.count("v").alias("n"), F.sum("v").alias("sum_value"), F.min("v").alias("min"), F.max("v").alias("max"),
+        F.kll_sketch_agg_double("v", F.lit(SKETCH_SIZE)).alias("sketch"),
+    )
+
+
+def merged_profile(sketches: DataFrame, fractions: Sequence[float] = (0.25, 0.5, 0.75), by: Sequence[str] = ()) -> DataFrame:
+    """(by, feature, n, n_periods, mean, min, max, quantiles): the rows of `sketched_by` put together, without the data."""
+    merged = sketches.groupBy(*by, "feature").agg(
+        F.sum("n").alias("n"), F.count(F.lit(1)).alias("n_periods"), (F.sum("sum_value") / F.sum("n")).alias("mean"),
+        F.min("min").alias("min"), F.max("max").alias("max"), F.kll_merge_agg_double("sketch").alias("_sketch"),
+    )
+    wanted = F.array(*map(F.lit, map(float, fractions)))
+    return merged.withColumn("quantiles", F.kll_sketch_get_quantile_double("_sketch", wanted)).drop("_sketch")
+
+
+def rank_errors(df: DataFrame, profile: DataFrame, fractions: Sequence[float] = (0.25, 0.5, 0.75)) -> DataFrame:
+    """(feature, fraction, value, error): how far the exact ranks of a profile's quantiles are from the wanted ones.
+
+    Errors are shares of all rows; one pass counts the rows below and up to every quantile.
+    """
+    places = [
+        (row["feature"], fraction, float(value), row["n"])
+        for row in profile.select("feature", "n", "quantiles").collect()  # one row per column
+        for fraction, value in zip(fractions, row["quantiles"], strict=True)
+    ]
+    counts = []
+    for i, (feature, _, value, _) in enumerate(places):
+        v = F.col(f"`{feature}`").cast("double")
+        counts += [
+            F.count_if(~F.isnan(v) & (v < F.lit(value))).alias(f"less_{i}"),
+            F.count_if(~F.isnan(v) & (v <= F.lit(value))).alias(f"upto_{i}"),
+        ]
+    row = df.agg(F.count(F.lit(1)), *counts).first()
+    found = []
+    for i, (feature, fraction, value, n) in enumerate(places):
+        rank = fraction * n
+        found.append((feature, float(fraction), value, max(0.0, row[f"less_{i}"] - rank, rank - row[f"upto_{i}"]) / n))
+    return df.sparkSession.createDataFrame(found, "feature string, fraction double, value double, error double")
