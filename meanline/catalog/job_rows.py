@@ -164,3 +164,60 @@ def hold_out_sql(rows: str, features: Sequence[str], label: str, regs: Sequence[
     )
     return f"""with points as ({points}) select cast(point as integer) as point, regParam, round(avg_metric, 7) as avg_metric,
         round((select r2 from points order by avg_metric desc, point limit 1), 7) as r2_test from points"""
+
+
+def ridge_folds_sql(rows: str, features: Sequence[str], label: str, fold: str, folds: int, regs: Sequence[float]) -> str:
+    """(point, regParam, elasticNetParam, fitIntercept, avg_metric, std_metric): r2 of ridges over folds, by elimination."""
+    parts = []
+    for i, reg in enumerate(regs):
+        for f in range(folds):
+            tables = least_squares_sql(rows, features, label, f"{fold} <> {f}", f"{fold} = {f}", reg)
+            parts.append(
+                f"select {i} as point, {reg!r}::double as reg, r2 from"
+                f" ({tables} select 1 - sum(residual * residual) / (var_pop(label) * count(*)) as r2 from scored)"
+            )
+    return f"""select cast(point as integer) as point, reg as "regParam", cast(null as double) as "elasticNetParam",
+        cast(null as boolean) as "fitIntercept", round(avg(r2), 7) as avg_metric, round(stddev_pop(r2), 7) as std_metric
+        from ({" union all ".join(parts)}) group by point, reg"""
+
+
+#: Rounds of coordinate descent in `elastic_net_sql`.
+SWEEPS = 150
+
+
+def elastic_net_sql(
+    rows: str, features: Sequence[str], label: str, fold: str, points: Sequence[tuple[int, float, float, bool]]
+) -> str:
+    """(point, fold, r2) of elastic nets over folds: coordinate descent on the moments, one coordinate a recursion step.
+
+    ``points`` are (point, strength, mix, with intercept).  Slopes are those of standardized columns, centred
+    if there is an intercept; a constant column takes no part.
+    """
+    p, names = len(features), [*features, label]
+    x = [f"cast({c} as double)" for c in names]
+    sums = ", ".join(f"sum({v})" for v in x)
+    products = ", ".join("[" + ", ".join(f"sum({x[i]} * {x[j]})" for j in range(p + 1)) + "]" for i in range(p + 1))
+    listed = ", ".join(f"({i}, {reg!r}::double, {mix!r}::double, {str(intercept).lower()})" for i, reg, mix, intercept in points)
+    return f"""with recursive d as (select {fold} as fold, * from ({rows})),
+      h as materialized (select fold, cast(count(*) as double) as n, [{sums}] as s, [{products}] as ss from d group by fold),
+      tr as (select a.fold, sum(b.n) as n, [{", ".join(f"sum(b.s[{i + 1}])" for i in range(p + 1))}] as s,
+        [{", ".join("[" + ", ".join(f"sum(b.ss[{i + 1}][{j + 1}])" for j in range(p + 1)) + "]" for i in range(p + 1))}] as ss
+        from h a join h b on a.fold <> b.fold group by a.fold),
+      sd as (select *, [{", ".join(f"sqrt(greatest(ss[{i + 1}][{i + 1}] / n - (s[{i + 1}] / n) * (s[{i + 1}] / n), 0))" for i in range(p + 1))}] as sd from tr),
+      points(point, reg, mix, with_intercept) as (values {listed}),
+      m as materialized (select point, fold, reg / sd[{p + 1}] as strength, mix, with_intercept, n, s, sd,
+        list_transform(ss, lambda line, i: list_transform(line, lambda v, j: case when sd[i] < 1e-9 or sd[j] < 1e-9 then 0
+          else (v / n - case when with_intercept then (s[i] / n) * (s[j] / n) else 0 end) / (sd[i] * sd[j]) end)) as c
+        from sd, points),
+      walk(point, fold, k, b) as (select point, fold, 0, list_transform(range({p}), lambda i: 0.0::double) from m union all
+        select point, fold, k + 1, list_transform(b, lambda v, i: case when i <> k % {p} + 1 or c[i][i] = 0 then v
+          else sign(rest) * greatest(abs(rest) - mix * strength, 0) / (c[i][i] + (1 - mix) * strength) end)
+        from (select w.point, w.fold, w.k, w.b, m.c, m.strength, m.mix, m.c[w.k % {p} + 1][{p + 1}] - list_sum(list_transform(w.b,
+            lambda v, j: case when j = w.k % {p} + 1 then 0 else v * m.c[w.k % {p} + 1][j] end)) as rest
+          from walk w join m using (point, fold) where w.k < {SWEEPS * p})),
+      u as (select point, fold, with_intercept, m.n, m.s, list_append(list_transform(b, lambda v, i: case when m.sd[i] < 1e-9 then 0
+          else -v * m.sd[{p + 1}] / m.sd[i] end), 1) as u from walk join m using (point, fold) where k = {SWEEPS * p}),
+      v as (select *, case when with_intercept then list_dot_product(u, s) / n else 0 end as base from u),
+      q as (select v.point, v.fold, 1 - (list_dot_product(v.u, list_transform(h.ss, lambda line: list_dot_product(line, v.u)))
+          - 2 * base * list_dot_product(v.u, h.s) + h.n * base * base)
+          / (h.ss[{p + 1}][{p + 1}] - h.s[{p + 1}] * h.s[{p + 1}] / h.n) as r2 from v join h using (fold))"""
