@@ -31,12 +31,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from meanline.llm.filters import maybe_in
-from meanline.llm.text import Ranges, Texts, mix, pieces
+from meanline.llm.text import BATCH_BYTES, Ranges, Texts, mix, pieces
 from meanline.sources.storage import scratch, shared_table
 
 LENGTH = 100
@@ -177,8 +178,19 @@ def _compared(strings: DataFrame, length: int) -> DataFrame:
         if kept:
             yield pa.Table.from_batches(kept)
 
+    def parts(table: pa.Table) -> Iterator[pa.Table]:
+        """The table cut between blocks into parts of a batch's bytes, or of one block."""
+        blocks = table.column("block").to_numpy()
+        upto = np.cumsum(pc.binary_length(table.column("bytes")).to_numpy())
+        begin, ends = 0, np.append(np.flatnonzero(blocks[1:] != blocks[:-1]) + 1, len(blocks))
+        while begin < len(blocks):
+            most = np.searchsorted(upto, (upto[begin - 1] if begin else 0) + BATCH_BYTES, "right")
+            at = max(np.searchsorted(ends, most, "right") - 1, np.searchsorted(ends, begin, "right"))
+            yield table.slice(begin, ends[at] - begin)
+            begin = ends[at]
+
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in whole_blocks(batches):
+        for table in (part for whole in whole_blocks(batches) for part in parts(whole)):
             names, of, inner = _names(table.column("bytes").to_pylist(), length)
             # rows come in the order of their blocks, documents and places, so a stable sort keeps the first first
             order = np.argsort(names, kind="stable")

@@ -53,16 +53,18 @@ def _reduced(x: np.ndarray) -> np.ndarray:
 class _Powers:
     """Powers of both bases and of their inverses, as many as the longest batch so far needs."""
 
-    up = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
-    down = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+    up = [np.ones(1, np.uint32), np.ones(1, np.uint32)]
+    down = [np.ones(1, np.uint32), np.ones(1, np.uint32)]
 
     @staticmethod
     def _table(base: int, n: int) -> np.ndarray:
-        powers = np.ones(1, np.uint64)
-        while len(powers) < n:  # twice as many: the known ones times the next power
-            step = np.uint64(pow(base, len(powers), _PRIME))
-            powers = np.concatenate([powers, _reduced(powers * step)])
-        return powers[:n]
+        powers = np.ones(n, np.uint32)
+        known = 1
+        while known < n:  # twice as many: the known ones times the next power
+            more = powers[: min(known, n - known)].astype(np.uint64) * np.uint64(pow(base, known, _PRIME))
+            powers[known : known + len(more)] = _reduced(more)
+            known += len(more)
+        return powers
 
     @classmethod
     def upto(cls, n: int) -> tuple[list[np.ndarray], list[np.ndarray]]:
@@ -70,7 +72,7 @@ class _Powers:
             size = max(n, BATCH_BYTES + 1)
             up = [cls._table(base, size) for base in _BASES]
             down = [cls._table(pow(base, -1, _PRIME), size) for base in _BASES]
-            if n > 8 * BATCH_BYTES:  # a very long text: not kept
+            if n > 4 * BATCH_BYTES:  # a very long text: not kept
                 return up, down
             cls.up, cls.down = up, down
         return cls.up, cls.down
