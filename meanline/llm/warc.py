@@ -21,6 +21,7 @@ import hashlib
 import struct
 import uuid
 from collections.abc import Iterator
+from contextlib import ExitStack
 from typing import NamedTuple
 
 import pyarrow as pa
@@ -201,6 +202,10 @@ _READ_SCHEMA = "page_id bigint, payload_bytes bigint, payload_digest string, rec
 
 def _read(places: DataFrame, folder: str, whole_frames: bool, with_payload: bool) -> DataFrame:
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        with ExitStack() as opened:
+            yield from records(batches, opened)
+
+    def records(batches: Iterator[pa.RecordBatch], opened: ExitStack) -> Iterator[pa.RecordBatch]:
         store, base = _store(folder)
         name, reader, number, frame = None, None, None, b""
         for batch in batches:
@@ -208,7 +213,8 @@ def _read(places: DataFrame, folder: str, whole_frames: bool, with_payload: bool
             for row in batch.to_pylist():
                 if row["bundle"] != name:
                     name, number = row["bundle"], None
-                    reader = BundleReader(store.open_input_file(f"{base}/{name}"))
+                    opened.close()  # the bundle before
+                    reader = BundleReader(opened.enter_context(store.open_input_file(f"{base}/{name}")))
                 if row["frame"] != number:
                     number = row["frame"]
                     frame = reader.frame(number)
@@ -240,14 +246,23 @@ def _batch(records: list[Record], with_payload: bool) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(columns, names=names)
 
 
+#: Frames that one task reads, about: their rows are small, so their number and not their bytes has to be dealt out.
+TASK_FRAMES = 64
+
+
+def _by_frame(places: DataFrame, *order: str) -> DataFrame:
+    """Places dealt to tasks by frame, as many tasks as the frames need."""
+    frames = places.select("bundle", "frame").distinct().count()
+    dealt = places.repartition(max(1, -(-frames // TASK_FRAMES)), "bundle", "frame")
+    return dealt.sortWithinPartitions("bundle", "frame", *order)
+
+
 def read_archive(spark: SparkSession, folder: str) -> DataFrame:
     """Every record of an archive, frame by frame."""
-    frames = read_index(spark, folder).select("bundle", "frame").distinct()
-    return _read(frames.repartition("bundle", "frame").sortWithinPartitions("bundle", "frame"), folder, True, False)
+    return _read(_by_frame(read_index(spark, folder).select("bundle", "frame").distinct()), folder, True, False)
 
 
 def fetch(spark: SparkSession, folder: str, ids: DataFrame) -> DataFrame:
     """The records of the ids in ``ids`` (page_id), payloads included; only the frames that hold them are read."""
     places = read_index(spark, folder).join(ids.select("page_id").distinct(), "page_id", "left_semi")
-    places = places.repartition("bundle", "frame").sortWithinPartitions("bundle", "frame", "offset")
-    return _read(places, folder, False, True)
+    return _read(_by_frame(places, "offset"), folder, False, True)
