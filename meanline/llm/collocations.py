@@ -37,8 +37,8 @@ from pyspark.sql import functions as F
 from meanline.llm.text import Texts, mix, pieces
 from meanline.sources.storage import scratch, shared_table
 
-#: Words whose windows a task counts together.
-CHUNK_WORDS = 2_000_000
+#: Words, and bytes of text, whose windows a task counts together.
+CHUNK_WORDS, CHUNK_BYTES = 2_000_000, 64 << 20
 _ROWS = 50_000
 #: One document in so many is looked at for beginnings that hold more than one window in ``HOT_SHARE``.
 SAMPLE_SHARE, HOT_SHARE = 64, 1000
@@ -95,7 +95,7 @@ def _counted(words: pa.Array, follows: np.ndarray, langs: np.ndarray, longest: i
 
 def _beginnings(words: pa.Array, langs: list[str], columns: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """A hash of lang and the first two words of each window, and one of the third word."""
-    crc = np.fromiter((zlib.crc32(w.encode()) for w in words.to_pylist()), np.uint64, len(words))
+    crc = np.fromiter(map(zlib.crc32, words.cast(pa.binary()).to_pylist()), np.uint64, len(words))
     of_lang = np.fromiter((zlib.crc32(x.encode()) for x in langs), np.uint64, len(langs))
     first = mix(of_lang[columns[0]] << np.uint64(32) ^ crc[columns[1]])
     third = crc[columns[3]] if len(columns) > 3 else np.zeros(len(first), np.uint64)
@@ -115,7 +115,7 @@ def windows(
     salted = np.array(hot, np.int64).view(np.uint64)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size, number = [], 0, {}
+        held, size, weight, number = [], 0, 0, {}
 
         def flush() -> Iterator[pa.RecordBatch]:
             words, follows, langs = (list(x) for x in zip(*held, strict=True))
@@ -146,10 +146,10 @@ def windows(
                 continue
             of = np.array([number.setdefault(x, len(number)) for x in batch.column("lang").to_pylist()], np.int64)
             held.append((words, follows, of[documents]))
-            size += len(words)
-            if size >= CHUNK_WORDS:
+            size, weight = size + len(words), weight + len(texts.data)
+            if size >= CHUNK_WORDS or weight >= CHUNK_BYTES:
                 yield from flush()
-                size = 0
+                size = weight = 0
         if held:
             yield from flush()
 
