@@ -140,10 +140,11 @@ class Codebooks:
         return hashlib.sha256(",".join(str(x) for book in self.books for entry in book for x in entry).encode()).hexdigest()
 
     def searchers(self) -> list[Orchard]:
-        found = []
-        for book in self.books:
+        found, cuts = [], _bounds(self.length, len(self.books))
+        for p, book in enumerate(self.books):
             large = max((abs(x) for entry in book for x in entry), default=0) >= _EXACT
-            found.append(Orchard(np.array(book, object if large else np.float64).reshape(len(book), -1)))
+            table = np.array(book, object if large else np.float64)
+            found.append(Orchard(table.reshape(len(book), cuts[p + 1] - cuts[p])))
         return found
 
     def assign(self, vectors: np.ndarray, searchers: list[Orchard]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
