@@ -16,11 +16,11 @@ from meanline.functions.clean import fill_empty
 from meanline.functions.recode import age_code, city_code, gender_code, marital_code, topcoded_years
 from meanline.operators.metrics import metric_columns, regression_metrics, residuals
 from meanline.operators.split import hash_split, is_train, with_fold
-from meanline.operators.totals import sum_per_user
+from meanline.operators.totals import equal_rows, sum_per_user
 from meanline.plans import jobs, models
 from meanline.plans.moments import tune_linear
 from meanline.sources.readers import literal_rows, read_table, spread
-from meanline.sources.storage import cut
+from meanline.sources.storage import cut, shared_table
 from meanline.sources.views import TRIP_FEATURES, purchases_view, trips_view
 
 _CHARGED = "l_extendedprice * (1 - l_discount) / 1000"
@@ -444,15 +444,14 @@ def cv_metrics_table(spark: SparkSession, directory: str) -> DataFrame:
 @query("tree_cv")
 def tree_cv(spark: SparkSession, directory: str) -> DataFrame:
     view = spread(trips_view(spark, directory).withColumnRenamed("cnt", "label"))
-    rows = with_fold(view, "key", 3).persist()
+    rows = shared_table(equal_rows(with_fold(view, "key", 3), [*TRIP_FEATURES, "fold"]), "groups")
     prepared = models.preparation(TRIP_FEATURES, 24).fit(rows)
-    ready = prepared.transform(rows).select("features", "label", "fold").persist()
+    ready = spread(prepared.transform(rows).select("features", "label", "fold", "n_rows", "label_var")).persist()
     grid = models.default_grid()
     try:
-        tuned = models.cross_validate(ready, models.tree(), grid, "rmse", 3)
+        tuned = models.cross_validate(ready, models.tree(grouped=True), grid, "rmse", 3, grouped=True)
     finally:
         ready.unpersist()
-        rows.unpersist()
     return models.metrics_table(spark, grid, tuned.avgMetrics, tuned.stdMetrics)
 
 

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from meanline.operators.frequent import frequent_keys
 from meanline.operators.order import WINDOW_ROWS, global_rank
-from meanline.operators.study import KEY_TYPES, key_slot, key_value, multi_column_study, steady, unpivoted
+from meanline.operators.study import KEY_TYPES, key_slot, key_value, label_sums, multi_column_study, steady, unpivoted
 from meanline.sources.storage import cut
 
 #: Lookup sides are broadcast up to this many rows each and this many bytes together.
@@ -155,9 +155,9 @@ def _measure(table: DataFrame, columns: Sequence[str] = ()) -> dict[str, Size]:
     return sizes
 
 
-def fit_means(df: DataFrame, columns: Sequence[str], label: str) -> Encoding:
-    """Each value's code is the mean label of the rows that have it."""
-    table = cut(multi_column_study(df, columns, label).withColumn("code", F.col("mean_label")))
+def fit_means(df: DataFrame, columns: Sequence[str], label: str, weight: str | None = None) -> Encoding:
+    """Each value's code is the mean label of the rows that have it; ``weight`` counts the rows behind a row."""
+    table = cut(multi_column_study(df, columns, label, weight=weight).withColumn("code", F.col("mean_label")))
     return Encoding(table, _measure(table, columns))
 
 
@@ -227,20 +227,21 @@ def held_out_means(
 
 def held_out_codes(
     df: DataFrame, columns: Mapping[str, str] | Sequence[str], label: str, fold: str, *,
-    unseen: float | None = 0.0, broadcast_rows: int = BROADCAST_ROWS,
+    unseen: float | None = 0.0, broadcast_rows: int = BROADCAST_ROWS, weight: str | None = None,
 ) -> DataFrame:
     """``df`` with each column's values as their mean label over the *other* folds; ``unseen`` where there are none.
 
     ``columns`` maps inputs to outputs, or lists columns to replace in place.  One pass sums labels by
     (column, value, fold) for all columns, so every fold's means are differences of sums; a second pass
-    looks all of them up, in one stage while the sums are small.
+    looks all of them up, in one stage while the sums are small.  ``weight`` counts the rows behind a row.
     """
     outputs = dict(columns) if isinstance(columns, Mapping) else {c: c for c in columns}
     if not outputs:
         return df
-    cube = unpivoted(df, list(outputs), label, [fold]).groupBy(fold, "feature", *KEY_TYPES).agg(
-        F.sum("_y").alias("s"), F.count("_y").alias("n")
-    )
+    total, n = label_sums(weight)
+    cube = unpivoted(df, list(outputs), label, [fold, weight] if weight else [fold]).groupBy(
+        fold, "feature", *KEY_TYPES
+    ).agg(total.alias("s"), n.alias("n"))
     totals = cube.groupBy("feature", *KEY_TYPES).agg(
         F.sum("s").alias("S"), F.sum("n").alias("N"), F.collect_list(F.struct(F.col(fold).alias("f"), "s", "n")).alias("own")
     )

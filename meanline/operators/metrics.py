@@ -24,6 +24,22 @@ def metric_columns(label: str = "label", prediction: str = "prediction") -> list
     ]
 
 
+def group_metric_columns(label: str = "label", prediction: str = "prediction", centre: float = 0.0) -> list[Column]:
+    """The same of the rows behind groups from `totals.equal_rows`, whose rows share a prediction.
+
+    Labels are taken from ``centre``, best their mean, lest their squares outweigh their variance.
+    """
+    n_rows, within = F.col("n_rows"), F.col("label_var")
+    y, error = F.col(label) - F.lit(centre), F.col(label) - F.col(prediction)
+    n, residual = F.sum(n_rows), F.sum(n_rows * (error * error + within))
+    total = F.sum(n_rows * (y * y + within)) - F.sum(n_rows * y) * F.sum(n_rows * y) / n
+    return [
+        n.alias("n"),
+        F.sqrt(residual / n).alias("rmse"),
+        (1 - residual / F.nullif(total, F.lit(0.0))).alias("r2"),
+    ]
+
+
 def regression_metrics(
     df: DataFrame, label: str = "label", prediction: str = "prediction", by: Sequence[str] = ()
 ) -> DataFrame:

@@ -67,19 +67,28 @@ def unpivoted(df: DataFrame, columns: Sequence[str], label: str, by: Sequence[st
     )
 
 
-def multi_column_study(df: DataFrame, columns: Sequence[str], label: str, by: Sequence[str] = ()) -> DataFrame:
+def multi_column_study(
+    df: DataFrame, columns: Sequence[str], label: str, by: Sequence[str] = (), weight: str | None = None
+) -> DataFrame:
     """Studies of many columns in one pass: (feature, num_key, int_key, text_key, sum_label, n, mean_label).
 
     Each row is unpivoted into one entry per column and summed up before the
     shuffle, so what moves is the distinct keys, whatever the number of rows.
+    ``weight`` names the number of rows that a row with their mean label stands for.
     """
-    tall = unpivoted(df, columns, label, by)
-    grouped = tall.groupBy(*by, "feature", *KEY_TYPES).agg(
-        F.sum("_y").cast("double").alias("sum_label"), F.count("_y").alias("n")
-    )
+    tall = unpivoted(df, columns, label, [*by, weight] if weight else by)
+    total, n = label_sums(weight)
+    grouped = tall.groupBy(*by, "feature", *KEY_TYPES).agg(total.cast("double").alias("sum_label"), n.alias("n"))
     return grouped.withColumn("mean_label", F.col("sum_label") / F.nullif(F.col("n"), F.lit(0)))
 
 
+def label_sums(weight: str | None) -> tuple[Column, Column]:
+    """Sum and number of the labels of an unpivoted table."""
+    if weight is None:
+        return F.sum("_y"), F.count("_y")
+    return F.sum(F.col("_y") * F.col(weight)), F.coalesce(F.sum(F.when(F.col("_y").isNotNull(), F.col(weight))), F.lit(0))
+
+
 def month_mean_per_day(
     df: DataFrame, date: str, label: str, days: Mapping[int, float] = MONTH_DAYS
 ) -> DataFrame:

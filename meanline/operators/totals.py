@@ -31,6 +31,26 @@ def sum_per_user(
     )
 
 
+def equal_rows(df: DataFrame, by: Sequence[str], label: str = "label", *, extremes: bool = False) -> DataFrame:
+    """(by…, label, n_rows, label_var): one row for the rows that agree in ``by``, with their mean label.
+
+    Least squares and regression trees see of such rows only their number, their mean label and, in squared
+    errors, its population variance within the group.  With ``extremes`` also label_min and label_max.  A
+    null label among them makes the group's label null, so that a fit refuses it as it would the row.
+    """
+    taken = {"label", "n_rows", "label_var", "label_min", "label_max"} & set(by)
+    if taken:
+        raise ValueError(f"rename the columns {', '.join(sorted(taken))} first")
+    whole = F.count(label) == F.count(F.lit(1))
+    measures = [
+        F.when(whole, F.avg(F.col(label).cast("double"))).alias("label"), F.count(F.lit(1)).alias("n_rows"),
+        F.var_pop(F.col(label).cast("double")).alias("label_var"),
+    ]
+    if extremes:
+        measures += [F.min(label).alias("label_min"), F.max(label).alias("label_max")]
+    return df.groupBy(*by).agg(*measures)
+
+
 def daily_rollup(df: DataFrame, ts: str, value: str, scale: int | None = None) -> DataFrame:
     """(day, n, total, mean_value) per date of ``ts``; the mean is over the values that are there."""
     total = total_of(df, value, scale)

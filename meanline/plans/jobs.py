@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.ml import Model
+from pyspark.ml import Estimator, Model
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import LinearRegression
 from pyspark.sql import DataFrame
@@ -18,8 +18,9 @@ from meanline.operators.metrics import metric_columns
 from meanline.operators.order import rank_first, rank_last, rank_middle
 from meanline.operators.project import filter_month, label_first
 from meanline.operators.split import hash_split, with_fold
+from meanline.operators.totals import equal_rows
 from meanline.plans import models
-from meanline.plans.moments import tune_linear
+from meanline.plans.moments import moment_rows, tune_linear
 from meanline.sources.readers import spread
 from meanline.sources.storage import shared_table
 
@@ -78,20 +79,20 @@ def encoded_parts(frame: DataFrame, job: RegressionJob) -> tuple[DataFrame, Data
 
 
 def run_job(df: DataFrame, job: RegressionJob, label: str = "cnt") -> JobRun:
-    """Run ``job`` on a table with a ``key`` column."""
-    rows = spread(select_rows(df, job, label)).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        return _run(rows, job)
-    finally:
-        rows.unpersist()
-
+    """Run ``job`` on a table with a ``key`` column.
 
-def _run(rows: DataFrame, job: RegressionJob) -> JobRun:
-    train, test = encoded_parts(rows, job)
-    prepared = models.preparation(job.features, job.max_categories).fit(train)
+    The table is read twice: training rows become groups that agree in fold and features, on which all
+    encoders and models are fitted with the number of their rows; then the test rows are scored.
+    """
+    train, test = hash_split(spread(select_rows(df, job, label)), "key", job.train_ratio, job.seed)
+    folds = with_fold(train, "key", job.folds, seed=job.folds)
+    groups = shared_table(equal_rows(folds, [*job.features, "fold"]), "groups")
     if job.means:
+        encoding = fit_means(groups, job.means, "label", weight="n_rows")
+        known, test = encoding.apply(groups), encoding.apply(test)
+        prepared = models.preparation(job.features, job.max_categories).fit(known)
         # folds see means of the other folds only, so a fold's labels are in none of its features
-        shown = fold_encoded(hash_split(rows, "key", job.train_ratio, job.seed)[0], job).persist(StorageLevel.MEMORY_AND_DISK)
+        shown = held_out_codes(groups, job.means, "label", "fold", weight="n_rows").persist(StorageLevel.MEMORY_AND_DISK)
         try:
             ready = models.preparation(job.features, job.max_categories).fit(shown).transform(shown)
             tuned, grid, estimator = _tune(ready, job)
@@ -99,12 +100,12 @@ def _run(rows: DataFrame, job: RegressionJob) -> JobRun:
             shown.unpersist()
         better = max if job.metric == "r2" else min
         point = tuned.avgMetrics.index(better(tuned.avgMetrics))
-        model = estimator.fit(prepared.transform(train).select("label", "features"), grid[point])
+        model = _fit_groups(prepared.transform(known), job, estimator, grid[point])
     else:
-        folds = with_fold(train, "key", job.folds, seed=job.folds)
-        tuned, grid, _ = _tune(prepared.transform(folds), job)
+        prepared = models.preparation(job.features, job.max_categories).fit(groups)
+        tuned, grid, _ = _tune(prepared.transform(groups), job)
         model = tuned.bestModel
-    spark = rows.sparkSession
+    spark = groups.sparkSession
     metrics = models.metrics_table(spark, grid, tuned.avgMetrics, tuned.stdMetrics)
     scored = shared_table(
         model.transform(prepared.transform(test)).select("key", *job.features, "label", "prediction"),
@@ -127,23 +128,48 @@ def fold_encoded(train: DataFrame, job: RegressionJob) -> DataFrame:
     return held_out_codes(rows, job.means, "label", "fold")
 
 
+def _flat(prepared: DataFrame, job: RegressionJob) -> tuple[DataFrame, list[str]]:
+    """Groups with a column for each slot of their vectors, and the names of those; indexed features are read back."""
+    slots = vector_to_array("features")
+    names = [f"x{i}" for i in range(len(job.features))]
+    columns = [slots[i].alias(name) for i, name in enumerate(names)]
+    return prepared.select("fold", "label", "n_rows", "label_var", *columns), names
+
+
+def _fit_groups(prepared: DataFrame, job: RegressionJob, estimator: Estimator, point: dict) -> Model:
+    """One model on all groups; a penalty depends on the spread of the rows' labels, which moments have."""
+    if job.regressor != "linear":
+        return estimator.fit(prepared.select("label", "features", "n_rows"), point)
+    flat, names = _flat(prepared, job)
+    flat = flat.withColumn("fold", F.lit(0)).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return estimator.setWeightCol("weight").fit(moment_rows(flat, names, grouped=True), point)
+    finally:
+        flat.unpersist()
+
+
 def _tune(prepared: DataFrame, job: RegressionJob):
-    """Grid metrics over the folds of a prepared frame: (tuned, grid, estimator)."""
+    """Grid metrics over the folds of prepared groups: (tuned, grid, estimator)."""
     if job.regressor == "linear":
-        # tuned on moments; indexed features are read back out of the vector
-        slots = vector_to_array("features")
-        names = [f"x{i}" for i in range(len(job.features))]
-        flat = prepared.select("fold", "label", *[slots[i].alias(name) for i, name in enumerate(names)])
+        # tuned on moments
+        flat, names = _flat(prepared, job)
         intercept = job.grid == "full"
-        tuned, _ = tune_linear(
-            flat, names, lambda r: models.elastic_net_grid(r, intercept=intercept), job.metric, job.folds
-        )
+        flat = flat.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            tuned, _ = tune_linear(
+                flat, names, lambda r: models.elastic_net_grid(r, intercept=intercept), job.metric, job.folds,
+                grouped=True,
+            )
+        finally:
+            flat.unpersist()
         regression = LinearRegression()
         return tuned, models.elastic_net_grid(regression, intercept=intercept), regression
-    ready = prepared.select("label", "features", "fold").persist(StorageLevel.MEMORY_AND_DISK)
-    estimator, grid = models.tree(max_bins=max(32, (job.max_categories or 0) + 1)), models.default_grid()
+    columns = ("label", "features", "fold", "n_rows", "label_var")
+    ready = spread(prepared.select(*columns)).persist(StorageLevel.MEMORY_AND_DISK)
+    estimator = models.tree(max_bins=max(32, (job.max_categories or 0) + 1), grouped=True)
+    grid = models.default_grid()
     try:
-        return models.cross_validate(ready, estimator, grid, job.metric, job.folds), grid, estimator
+        return models.cross_validate(ready, estimator, grid, job.metric, job.folds, grouped=True), grid, estimator
     finally:
         ready.unpersist()
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import partial
 from multiprocessing.pool import ThreadPool
 
 import numpy as np
@@ -15,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
-from meanline.operators.metrics import METRICS, metric_columns, regression_metrics
+from meanline.operators.metrics import METRICS, group_metric_columns, metric_columns
 from meanline.operators.split import is_train
 from meanline.sources.readers import spread
 
@@ -63,10 +64,12 @@ def default_grid() -> list[dict]:
     return ParamGridBuilder().build()
 
 
-def tree(max_depth: int = 5, max_bins: int = 32, seed: int = 7) -> DecisionTreeRegressor:
-    return DecisionTreeRegressor(
+def tree(max_depth: int = 5, max_bins: int = 32, seed: int = 7, *, grouped: bool = False) -> DecisionTreeRegressor:
+    """A tree on rows or, with ``grouped``, on groups of them: what a split gains depends on numbers and means only."""
+    regressor = DecisionTreeRegressor(
         featuresCol="features", labelCol="label", maxDepth=max_depth, maxBins=max_bins, seed=seed
     )
+    return regressor.setWeightCol("n_rows") if grouped else regressor
 
 
 def fit_tree(vectors: DataFrame, regressor: DecisionTreeRegressor) -> DecisionTreeRegressionModel:
@@ -84,26 +87,32 @@ def evaluator(metric: str) -> RegressionEvaluator:
 
 def cross_validate(
     frame: DataFrame, estimator: Estimator, grid: list[dict], metric: str, folds: int, *,
-    fold_col: str = "fold", parallelism: int = 4, held: Sequence[int] | None = None,
+    fold_col: str = "fold", parallelism: int = 4, held: Sequence[int] | None = None, grouped: bool = False,
 ) -> CrossValidatorModel:
     """K-fold tuning with folds given by a column, so they survive repartitioning.
 
     Gives what `CrossValidator` with a fold column gives.  That one checks the
     column with a Python function per row, caches every fold twice and scores one
     grid point at a time; here folds are plain filters on ``frame`` (persist it)
-    and all grid points of a fold are scored in one aggregation.
+    and all grid points of a fold are scored in one aggregation.  With ``grouped`` the rows of ``frame`` are
+    groups from `totals.equal_rows`, ``estimator`` takes n_rows as weights, and the metrics are those of the rows behind.
     """
+    measured = metric_columns
+    if grouped:
+        label = F.col("label")
+        centre = frame.agg(F.sum(label * F.col("n_rows")) / F.sum("n_rows")).first()[0]
+        measured = partial(group_metric_columns, centre=centre or 0.0)
 
     def run(fold: int) -> list[float]:
         train, held = frame.where(F.col(fold_col) != fold), frame.where(F.col(fold_col) == fold)
         fitted = [model for _, model in sorted(estimator.fitMultiple(train, grid), key=lambda pair: pair[0])]
         if isinstance(estimator, Pipeline):  # its inner columns cannot be made twice in one plan
-            return [regression_metrics(model.transform(held)).first()[metric] for model in fitted]
+            return [model.transform(held).agg(*measured()).first()[metric] for model in fitted]
         scored, measures = held, []
         for point, model in enumerate(fitted):
             output = f"prediction_{point}"
             scored = model.setPredictionCol(output).transform(scored)
-            measures += [c.alias(f"{name}_{point}") for name, c in zip(METRICS, metric_columns("label", output))]
+            measures += [c.alias(f"{name}_{point}") for name, c in zip(METRICS, measured("label", output))]
         row = scored.agg(*measures).first()
         return [row[f"{metric}_{point}"] for point in range(len(grid))]
 

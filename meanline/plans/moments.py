@@ -27,24 +27,35 @@ WRITTEN_OUT = 24
 _BLOCK_ROWS = 64
 
 
-def _written_out(df: DataFrame, values: Sequence[Column], fold: str) -> list[tuple[int, int, np.ndarray, np.ndarray]]:
+def _written_out(
+    df: DataFrame, values: Sequence[Column], fold: str, grouped: bool = False
+) -> list[tuple[int, int, np.ndarray, np.ndarray]]:
     """(fold, rows, sums, sums of products) of each fold, one aggregate for each pair."""
+    label = len(values) - 1
+    n, weighed, within = F.count(F.lit(1)), values, F.lit(0.0)
+    if grouped:
+        n, weighed = F.sum("n_rows"), [F.col("n_rows") * v for v in values]
+        within = F.sum(F.col("n_rows") * F.col("label_var"))
     pairs = [(i, j) for i in range(len(values)) for j in range(i, len(values))]
     sums = df.groupBy(F.col(fold).cast("int").alias("fold")).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.array(*[F.sum(v) for v in values]).alias("s"),
-        F.array(*[F.sum(values[i] * values[j]) for i, j in pairs]).alias("ss"),
+        n.alias("n"),
+        F.array(*[F.sum(v) for v in weighed]).alias("s"),
+        F.array(*[F.sum(weighed[i] * values[j]) for i, j in pairs]).alias("ss"),
+        within.alias("within"),
     )
     found = []
     for group in sums.collect():  # one row per fold
         products = np.zeros((len(values), len(values)))
         for (i, j), value in zip(pairs, group["ss"], strict=True):
             products[i, j] = products[j, i] = value
+        products[label, label] += group["within"]
         found.append((group["fold"], group["n"], np.array(group["s"]), products))
     return found
 
 
-def _as_matrices(df: DataFrame, values: Sequence[Column], fold: str) -> list[tuple[int, int, np.ndarray, np.ndarray]]:
+def _as_matrices(
+    df: DataFrame, values: Sequence[Column], fold: str, grouped: bool = False
+) -> list[tuple[int, int, np.ndarray, np.ndarray]]:
     """The same by products of matrices: tasks add up one matrix a fold, blocks of its rows are then merged."""
     size = len(values)
     schema = "fold int, block int, n bigint, sums array<double>"
@@ -54,12 +65,16 @@ def _as_matrices(df: DataFrame, values: Sequence[Column], fold: str) -> list[tup
         counts: dict[int, int] = {}
         for batch in batches:
             folds = batch.column(0).to_numpy()
+            weights, spread = batch.column(1).to_numpy(), batch.column(2).to_numpy()
             # a column of ones gives the plain sums
-            table = np.column_stack([*(c.to_numpy() for c in batch.columns[1:]), np.ones(batch.num_rows)])
+            table = np.column_stack([*(c.to_numpy() for c in batch.columns[3:]), np.ones(batch.num_rows)])
             for number in np.unique(folds).tolist():
-                part = table[folds == number]
-                held[number] = held.get(number, 0) + part.T @ part
-                counts[number] = counts.get(number, 0) + len(part)
+                here = folds == number
+                part, many = table[here], weights[here]
+                products = part.T @ (part * many[:, None])
+                products[size - 1, size - 1] += many @ spread[here]
+                held[number] = held.get(number, 0) + products
+                counts[number] = counts.get(number, 0) + int(many.sum())
         for number, matrix in held.items():
             for at in range(0, size + 1, _BLOCK_ROWS):
                 yield blocks([(number, at, counts[number], matrix[at : at + _BLOCK_ROWS].ravel())])
@@ -81,7 +96,8 @@ def _as_matrices(df: DataFrame, values: Sequence[Column], fold: str) -> list[tup
         for (number, at), (n, sums) in held.items():
             yield blocks([(number, at, n, sums)])
 
-    flat = df.select(F.col(fold).cast("int").alias("fold"), *(v.alias(f"v{i}") for i, v in enumerate(values)))
+    kept = ("n_rows", "label_var") if grouped else (F.lit(1).cast("bigint").alias("n_rows"), F.lit(0.0).alias("label_var"))
+    flat = df.select(F.col(fold).cast("int").alias("fold"), *kept, *(v.alias(f"v{i}") for i, v in enumerate(values)))
     merged = flat.mapInArrow(multiply, schema).repartition("fold", "block").mapInArrow(merge, schema)
     counts: dict[int, int] = {}
     matrices: dict[int, np.ndarray] = {}
@@ -92,23 +108,27 @@ def _as_matrices(df: DataFrame, values: Sequence[Column], fold: str) -> list[tup
     return [(number, counts[number], m[size, :size], m[:size, :size]) for number, m in matrices.items()]
 
 
-def moment_rows(df: DataFrame, features: Sequence[str], label: str = "label", fold: str = "fold") -> DataFrame:
+def moment_rows(
+    df: DataFrame, features: Sequence[str], label: str = "label", fold: str = "fold", *, grouped: bool = False
+) -> DataFrame:
     """(fold, features, label, weight): weighted rows with each fold's count, means and covariances.
 
+    With ``grouped`` the rows of ``df`` are groups from `totals.equal_rows`, and the moments those of the rows behind.
     Rows with a null or NaN among features and label have no moments: they raise ``ValueError``, as a fit
     on the rows themselves would.
     """
     names = [*features, label]
     values = [F.col(f"`{name}`").cast("double") for name in names]
     odd = F.exists(F.array(*values), lambda v: v.isNull() | F.isnan(v)) | F.col(fold).isNull()
-    pivot = df.agg(*[F.avg(v).alias(str(i)) for i, v in enumerate(values)], F.count_if(odd).alias("odd")).first()
+    bad = F.coalesce(F.sum(F.when(odd, F.col("n_rows") if grouped else 1)), F.lit(0)).alias("odd")
+    pivot = df.agg(*[F.avg(v).alias(str(i)) for i, v in enumerate(values)], bad).first()
     if pivot["odd"]:
         raise ValueError(f"{pivot['odd']} rows have a null or NaN among {', '.join(names[:20])} or no fold")
     shift = np.array([pivot[str(i)] or 0.0 for i in range(len(names))], dtype=float)
     centred = [v - F.lit(float(at)) for v, at in zip(values, shift, strict=True)]
     size, rows = len(names), []
     summed = _written_out if len(features) <= WRITTEN_OUT else _as_matrices
-    for number, n, sums, products in summed(df, centred, fold):
+    for number, n, sums, products in summed(df, centred, fold, grouped):
         mean = sums / n
         spread, axes = np.linalg.eigh(products / n - np.outer(mean, mean))
         steps = axes * np.sqrt(np.clip(spread, 0.0, None) * size)
@@ -144,6 +164,7 @@ def tune_linear(
     fold: str = "fold",
     label: str = "label",
     parallelism: int = 8,
+    grouped: bool = False,
 ) -> tuple[CrossValidatorModel, list[dict]]:
     """Cross-validate an elastic-net regression; ``grid_of`` builds its grid.
 
@@ -152,7 +173,7 @@ def tune_linear(
     """
     regression = LinearRegression(featuresCol="features", labelCol="label", weightCol="weight", solver="normal")
     grid = grid_of(regression)
-    rows = moment_rows(df, features, label, fold).cache()
+    rows = moment_rows(df, features, label, fold, grouped=grouped).cache()
     try:
         held = {}
         for row in rows.collect():  # 2 (p + 1) rows per fold

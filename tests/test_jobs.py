@@ -5,7 +5,9 @@ from pyspark.sql import functions as F
 
 from meanline.catalog.regressions import FLAGSHIP, JOBS
 from meanline.operators.split import is_train
-from meanline.plans import jobs
+from meanline.operators.totals import equal_rows
+from meanline.plans import jobs, models, moments
+from meanline.plans.moments import moment_rows, tune_linear
 from meanline.sources.views import trips_view
 
 
@@ -57,3 +59,61 @@ def test_the_tuning_figure_of_a_noise_label_promises_nothing(spark, regressor):
     quality = jobs.run_job(rows, job).quality.first()
     assert quality["cv_value"] < 0.1
     assert quality["r2_test"] < 0.1
+
+
+@pytest.mark.parametrize("name", ["job_tree_year_means", "job_linear_year_means", "job_tree_raw"])
+def test_models_are_fitted_on_groups_of_equal_rows(spark, trips, name, monkeypatch):
+    job, sizes, fit = JOBS[name], [], jobs._tune
+
+    def counted(prepared, job):
+        sizes.append((prepared.count(), prepared.agg(F.sum("n_rows")).first()[0]))
+        return fit(prepared, job)
+
+    monkeypatch.setattr(jobs, "_tune", counted)
+    copies = trips.crossJoin(spark.range(40).withColumnRenamed("id", "copy"))
+    copies = copies.withColumn("key", F.col("key") + F.col("copy") * 1_000_000).drop("copy").where("dteday < '1996-01-01'")
+    jobs.run_job(copies, job)
+    train = copies.where(is_train("key"))
+    (groups, rows), = sizes
+    assert rows == train.count()
+    assert groups <= train.select(*job.features).distinct().count() * job.folds < rows
+
+
+@pytest.mark.parametrize("metric", ["rmse", "r2"])
+def test_groups_give_the_models_and_metrics_of_their_rows(spark, metric):
+    i = F.col("id")
+    rows = spark.range(3000).select(
+        (i % 7).cast("double").alias("a"), (F.pmod(F.xxhash64(i), F.lit(5)) * 0.5).alias("b"),
+        F.pmod(F.xxhash64(i, F.lit(2)), F.lit(3)).cast("int").alias("fold"),
+        (1e4 + i % 7 * 3 + F.pmod(F.xxhash64(i), F.lit(5)) + F.pmod(F.xxhash64(i, F.lit(3)), F.lit(100)) / 10).alias("label"),
+    ).cache()
+    groups = equal_rows(rows, ["a", "b", "fold"])
+    assert groups.count() < 120
+    grid, tuned = models.default_grid(), []
+    for frame, grouped in ((rows, False), (groups, True)):
+        ready = models.assembler(["a", "b"], "features").transform(frame).cache()
+        tree = models.cross_validate(ready, models.tree(grouped=grouped), grid, metric, 3, grouped=grouped)
+        linear, _ = tune_linear(frame, ["a", "b"], lambda r: models.elastic_net_grid(r), metric, 3, grouped=grouped)
+        moments = moment_rows(frame, ["a", "b"], grouped=grouped).groupBy("fold").agg(F.sum("weight").alias("n")).orderBy("fold")
+        tuned.append((tree.avgMetrics, tree.bestModel.toDebugString.split("\n", 1)[1], linear.avgMetrics, moments.toPandas().n.tolist()))
+    (tree, nodes, linear, n), (group_tree, group_nodes, group_linear, group_n) = tuned
+    assert group_tree == pytest.approx(tree, rel=1e-9)
+    assert group_nodes.count("Predict") == nodes.count("Predict")
+    assert group_linear == pytest.approx(linear, rel=1e-7)
+    assert group_n == pytest.approx(n)
+
+
+def test_matrices_weigh_groups_as_well(spark, monkeypatch):
+    i = F.col("id")
+    rows = spark.range(2000).select(
+        (i % 3).cast("double").alias("x"), (i % 2).cast("int").alias("fold"), (i % 11 + i % 3).cast("double").alias("label")
+    ).cache()
+    monkeypatch.setattr(moments, "WRITTEN_OUT", 0)
+    measures = [F.sum("weight"), F.sum(F.col("weight") * F.col("label") ** 2)]
+    want = moment_rows(rows, ["x"]).agg(*measures).first()
+    assert moment_rows(equal_rows(rows, ["x", "fold"]), ["x"], grouped=True).agg(*measures).first() == pytest.approx(want)
+
+
+def test_a_row_without_a_label_is_refused_in_a_group_too(spark):
+    rows = spark.createDataFrame([(1.0, 2.0), (1.0, None)], "x double, label double")
+    assert equal_rows(rows, ["x"]).first()["label"] is None
