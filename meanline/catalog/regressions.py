@@ -14,7 +14,7 @@ from meanline.catalog.registry import query, values
 from meanline.functions import fixed_values
 from meanline.functions.clean import fill_empty
 from meanline.functions.recode import age_code, city_code, gender_code, marital_code, topcoded_years
-from meanline.operators.metrics import metric_columns, regression_metrics, residuals
+from meanline.operators.metrics import group_metric_columns, metric_columns, regression_metrics, residuals
 from meanline.operators.split import hash_split, is_train, with_fold
 from meanline.operators.totals import equal_rows, sum_per_user
 from meanline.plans import jobs, models
@@ -557,6 +557,21 @@ def _fit_report(rows: DataFrame, features: list[str], digits: int = 4) -> DataFr
     return scored.agg(*_rounded_metrics(), *spread_of)
 
 
+def _group_report(rows: DataFrame, features: list[str], digits: int) -> DataFrame:
+    """`_fit_report` of rows with few different features, read once: their groups hold all that it needs."""
+    groups = shared_table(equal_rows(rows, features, extremes=True), "groups")
+    prepared = models.preparation(features, None).fit(groups)
+    ready = prepared.transform(groups)
+    model = LinearRegression(featuresCol="features", labelCol="label", weightCol="n_rows", solver="normal").fit(ready)
+    centre = groups.agg(F.sum(F.col("label") * F.col("n_rows")) / F.sum("n_rows")).first()[0]
+    n, rmse, r2 = group_metric_columns(centre=centre or 0.0)
+    return model.transform(ready).agg(
+        n, F.round(rmse, 5).alias("rmse"), F.round(r2, 7).alias("r2"),
+        F.round(F.min(F.col("label_min") - F.col("prediction")), digits).alias("min_residual"),
+        F.round(F.max(F.col("label_max") - F.col("prediction")), digits).alias("max_residual"),
+    )
+
+
 def _rounded_metrics() -> list:
     n, rmse, r2 = metric_columns()
     return [n, F.round(rmse, 5).alias("rmse"), F.round(r2, 7).alias("r2")]
@@ -600,7 +615,7 @@ def job_purchases_per_user(spark: SparkSession, directory: str) -> DataFrame:
     attributes = ["Gender", "Age", "Occupation", "City_Category", "Stay_In_Current_City_Years", "Marital_Status"]
     users = sum_per_user(purchases_view(spark, directory), "User_ID", "Purchase", attributes, scale=2)
     rows = users.select(*_purchase_codes(), F.col("total").cast("double").alias("label"))
-    return _fit_report(rows, _PURCHASE_FEATURES, 1)
+    return _group_report(rows, _PURCHASE_FEATURES, 1)
 
 
 @query(
@@ -616,4 +631,4 @@ def job_purchases_filled(spark: SparkSession, directory: str) -> DataFrame:
         *_purchase_codes(), *[fill_empty(c).alias(c.lower()) for c in categories], F.col("Purchase").alias("label")
     )
     # occupation and first category agree here, and such a fit is iterated: fewer digits are certain
-    return _fit_report(rows, [*_PURCHASE_FEATURES, *[c.lower() for c in categories]], 0)
+    return _group_report(rows, [*_PURCHASE_FEATURES, *[c.lower() for c in categories]], 0)

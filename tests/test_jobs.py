@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from meanline.catalog import QUERIES, regressions
 from meanline.catalog.regressions import FLAGSHIP, JOBS
 from meanline.operators.split import is_train
 from meanline.operators.totals import equal_rows
@@ -117,3 +118,24 @@ def test_matrices_weigh_groups_as_well(spark, monkeypatch):
 def test_a_row_without_a_label_is_refused_in_a_group_too(spark):
     rows = spark.createDataFrame([(1.0, 2.0), (1.0, None)], "x double, label double")
     assert equal_rows(rows, ["x"]).first()["label"] is None
+
+
+@pytest.mark.parametrize("name", ["job_purchases_per_user", "job_purchases_filled"])
+def test_purchases_are_joined_once(spark, small, name, monkeypatch):
+    views, read = [], regressions.purchases_view
+
+    def counted(spark, directory):
+        seen = spark.sparkContext.accumulator(0)
+        views.append(seen)
+        rows = read(spark, directory)
+
+        def pass_on(batches):
+            for batch in batches:
+                seen.add(batch.num_rows)
+                yield batch
+
+        return rows.mapInArrow(pass_on, rows.schema)
+
+    monkeypatch.setattr(regressions, "purchases_view", counted)
+    QUERIES[name](spark, small).collect()
+    assert [v.value for v in views] == [read(spark, small).count()]
