@@ -205,25 +205,43 @@ def _compared(strings: DataFrame, length: int) -> DataFrame:
 
 
 def _compared_one_by_one(strings: DataFrame, length: int) -> DataFrame:
-    """The same for blocks with too many regions for a task: each string is a row."""
+    """The same for blocks with too many regions for a task, which compares what it holds of them.
+
+    Strings that a part of a task holds earlier as well repeat wherever the first one is; only the first of
+    each string in a part is a row that meets those of other parts.
+    """
     kind = strings.schema["doc_id"].dataType.simpleString()
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, TASK_REGIONS):
-                part = batch.slice(at, TASK_REGIONS)
+                part = pa.Table.from_batches([batch.slice(at, TASK_REGIONS)]).sort_by([("doc_id", "ascending"), ("place", "ascending")])
                 names, of, inner = _names(part.column("bytes").to_pylist(), length)
-                starts = (part.column("place").to_numpy() >> 16)[of] + inner
+                begin, ids = part.column("place").to_numpy() >> 16, part.column("doc_id").combine_chunks()
+                starts, who = begin[of] + inner, ids.dictionary_encode().indices.to_numpy()[of]
+                order = np.argsort(names, kind="stable")
+                head = np.ones(len(order), bool)
+                head[1:] = names[order][1:] != names[order][:-1]
+                firsts = order[head]
+                first = firsts[np.cumsum(head) - 1]
+                again = np.zeros(len(names), bool)
+                # rows that share a doc_id share its strings
+                again[order] = (who[order] != who[first]) | (starts[order] != starts[first])
+                region, place, count = _runs(again, of, inner)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(names.view(np.int64)), part.column("doc_id").take(pa.array(of)), pa.array(starts)],
-                    names=["name", "doc_id", "start"],
+                    [pa.array(np.append(names[firsts].view(np.int64), np.zeros(len(region), np.int64)),
+                              mask=np.arange(len(firsts) + len(region)) >= len(firsts)),
+                     ids.take(pa.array(np.append(of[firsts], region))),
+                     pa.array(np.append(starts[firsts], begin[region] + place)),
+                     pa.array(np.append(np.ones(len(firsts), np.int64), count.astype(np.int64)))],
+                    names=["name", "doc_id", "start", "n"],
                 )
 
-    rows = shared_table(strings.mapInArrow(split, f"name bigint, doc_id {kind}, start bigint"), "strings")
+    found = shared_table(strings.mapInArrow(split, f"name bigint, doc_id {kind}, start bigint, n bigint"), "strings")
+    repeats, rows = found.where("name is null").drop("name"), found.where("name is not null").drop("n")
     first = rows.groupBy("name").agg(F.min(F.struct("doc_id", "start")).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    return rows.join(first.drop("n"), "name").where(F.struct("doc_id", "start") != F.col("first")).select(
-        "doc_id", "start", F.lit(1).cast("bigint").alias("n")
-    )
+    others = rows.join(first.drop("n"), "name").where(F.struct("doc_id", "start") != F.col("first"))
+    return repeats.unionByName(others.select("doc_id", "start", F.lit(1).cast("bigint").alias("n")))
 
 
 def repeated_ranges(documents: DataFrame, length: int = LENGTH, block: int = BLOCK) -> DataFrame:

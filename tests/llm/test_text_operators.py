@@ -173,6 +173,22 @@ def test_passages_of_periodic_and_edited_texts(spark, monkeypatch, limit):
     assert cut == {i: None if t is None else brute.cut_text(t, flags[i]) for i, t in rows}
 
 
+def test_a_common_passage_is_no_row_for_each_string(spark):
+    rng = random.Random(3)
+    passage = "".join(rng.choice("abcdefgh ") for _ in range(130))
+    rows = [(i, f"{i:05d}".encode() + passage.encode()) for i in range(300)]
+    strings = spark.createDataFrame([(1, i, i % 7 << 16 | 36, data) for i, data in rows], "block bigint, doc_id bigint, place bigint, bytes binary")
+    found = passages._compared_one_by_one(strings.coalesce(1), 100).collect()
+    assert len(found) < 1000
+    got = {(r.doc_id, r.start + k) for r in found for k in range(r.n)}
+    seen, want = set(), set()
+    for i, data in rows:
+        for k in range(36):
+            want |= {(i, i % 7 + k)} if data[k : k + 100] in seen else set()
+        seen |= {data[k : k + 100] for k in range(36)}
+    assert got == want and sum(r.n for r in found) == len(want)
+
+
 def test_passages_of_odd_rows(spark):
     rows = [*ODD, (None, "y" * 300), (30, "z" * 120 + "q"), (30, "z" * 120 + "q")]
     got = passages.summarize(frame(spark, rows)).collect()
