@@ -311,19 +311,23 @@ def near_duplicates(
         signed = shared_table(_signed(documents, shingle_words, length), "signed")
         usable = signed.where("n_shingles > 0 and doc_id is not null")
         copies = shared_table(
-            usable.groupBy("set_a", "set_b", "n_shingles").agg(F.min("doc_id").alias("node")), "copies"
+            # equal sets have equal signatures
+            usable.groupBy("set_a", "set_b", "n_shingles").agg(
+                F.min("doc_id").alias("node"), F.any_value("signature").alias("signature")
+            ),
+            "copies",
         )
         member = shared_table(
-            usable.select("doc_id", "set_a", "set_b", "n_shingles").join(copies, ["set_a", "set_b", "n_shingles"])
+            usable.select("doc_id", "set_a", "set_b", "n_shingles")
+            .join(copies.drop("signature"), ["set_a", "set_b", "n_shingles"])
             .select("doc_id", "node"),
             "copy-members",
         )
         # one row for each set: its first document carries the signature
-        nodes = shared_table(
-            usable.join(copies.withColumnRenamed("node", "doc_id"), ["doc_id", "set_a", "set_b", "n_shingles"], "left_semi")
-            .select(F.col("doc_id").alias("node"), "signature").dropDuplicates(["node"]),
-            "nodes",
-        )
+        nodes = copies.select("node", "signature")
+        several = shared_table(nodes.groupBy("node").count().where("count > 1").select("node"), "nodes-of-several-sets")
+        if not several.isEmpty():  # rows that repeat a doc_id with another text
+            nodes = shared_table(nodes.dropDuplicates(["node"]), "nodes")
         banded = shared_table(_banded(nodes, bands, band_rows), "bands")
         shared = banded.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
         buckets = shared_table(banded.join(shared, "key"), "buckets")

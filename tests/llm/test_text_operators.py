@@ -90,6 +90,22 @@ def test_near_duplicates(spark, small, texts, width, percent):
     }
 
 
+@pytest.mark.parametrize("repeated", [False, True])
+def test_signatures_are_stored_once_unless_a_doc_id_has_several_sets(spark, monkeypatch, repeated):
+    tables, store = [], near.shared_table
+
+    def named(df, name):
+        tables.append((name, df.columns))
+        return store(df, name)
+
+    monkeypatch.setattr(near, "shared_table", named)
+    rows = [(1, "a b c d e f"), (2, "a b c d e f"), (3, "u v w x y z"), (1 if repeated else 4, "k l m n o p")]
+    got = sorted((r.doc_id, r.component_id) for r in near.near_duplicates(frame(spark, rows)).collect())
+    assert got == sorted((i, 1 if i == 2 else i) for i, _ in rows)
+    carrying = [name for name, columns in tables if "signature" in columns]
+    assert carrying == ["signed", "copies", *(["nodes"] if repeated else [])]
+
+
 def test_near_duplicates_of_odd_rows(spark):
     got = near.near_duplicates(frame(spark, ODD), shingle_words=3, percent=85).collect()
     assert len(got) == len(ODD)
